@@ -7,14 +7,22 @@ from collections.abc import Callable
 import public_tokenizers as tokens
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, media, packing
+from quillspark.llm import bpe, linededup, media, packing, pii
 from quillspark.llm.common import table
 
 
+def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(table(spark, sf_dir, "documents"))
 
@@ -24,8 +32,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_bpe": op4_bpe, "op7_telephony": op7_telephony, "op8_packing": op8_packing}
+    return {"op3_linededup": op3_linededup, "op4_bpe": op4_bpe, "op5_pii": op5_pii, "op7_telephony": op7_telephony, "op8_packing": op8_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_linededup": linededup.oracle()}
