@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as tokens
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, linededup, media, packing, pii
+from quillspark.llm import bpe, embeddings, linededup, media, minhash, packing, pii
 from quillspark.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(table(spark, sf_dir, "documents"))
 
@@ -31,9 +35,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokens.path("byte_bpe_50k.json"), tokens.PATTERN)
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_linededup": op3_linededup, "op4_bpe": op4_bpe, "op5_pii": op5_pii, "op7_telephony": op7_telephony, "op8_packing": op8_packing}
+    return {f.__name__: f for f in (op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_linededup": linededup.oracle()}
+    return {"op3_linededup": linededup.oracle(), "op6_vectors": embeddings.oracle(), "op9_minhash": minhash.oracle()}
