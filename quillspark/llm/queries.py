@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers as tokens
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, embeddings, linededup, media, minhash, packing, pii
+from quillspark.llm import bpe, embeddings, linededup, media, minhash, packing, pii, toxicity
 from quillspark.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -40,7 +45,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash)}
+    return {f.__name__: f for f in (op1_toxicity, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
