@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as tokens
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, embeddings, linededup, media, minhash, packing, pii, toxicity
+from quillspark.llm import bpe, embeddings, htmltext, linededup, media, minhash, packing, pii, toxicity
 from quillspark.llm.common import table
 
 
@@ -44,8 +44,18 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash)}
+    return {f.__name__: f for f in (op1_toxicity, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash, op10_htmltext, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
