@@ -1,15 +1,601 @@
-"""Registry of the engine's queries and their DuckDB equivalents."""
+"""Registry of the engine's queries on the driver's tables, each with DuckDB SQL for the same rows.
+
+Names say which operator is exercised; the driver's tables hold no units or clauses, so columns
+that stand in for them (brands for stems, event types for status marks) are named in the SQL.
+Queries whose name starts with ``ext_`` are extensions that Spark offers, not operators of the survey.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quillspark.functions import labels as lab
+from quillspark.functions import text as tx
+from quillspark.functions import urls as ur
+from quillspark.functions import yamlish as ym
+from quillspark.operators import fold, joins, ordered, search, tracked, transcript, tree
+from quillspark.sources import shred, tables
+from quillspark.sources.tables import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+#: Slug of the first line of a text, in DuckDB.
+SLUG = "regexp_replace(regexp_replace(lower(strip_accents(substr(string_split(text, chr(10))[1], 1, 80))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+CAPPED = "CASE WHEN length(slug) <= 60 THEN slug ELSE regexp_replace(coalesce(nullif(regexp_extract(substr(slug, 1, 61), '^(.+)-[^-]*$', 1), ''), substr(slug, 1, 60)), '-+$', '') END"
+
+
+def _title():
+    return F.substring(F.split("text", "\n")[0], 1, 80)
+
+
+def _units(d: DataFrame) -> DataFrame:
+    return d.select("doc_id", "lang", "source", "text", F.concat_ws("/", "lang", F.concat(tx.cap_slug(tx.slugify(_title())), F.lit(".md"))).alias("path"))
+
+
+UNITS = f"SELECT doc_id, lang, source, text, lang || '/' || {CAPPED} || '.md' AS path FROM (SELECT *, {SLUG} AS slug FROM documents)"
+
+
+@query(f"SELECT doc_id, slug, {CAPPED} AS capped FROM (SELECT *, {SLUG} AS slug FROM documents)")
+def doc_slug(spark, sf):
+    """slugs of first lines and their capped form."""
+    slug = tx.slugify(_title())
+    return table(spark, sf, "documents").select("doc_id", slug.alias("slug"), tx.cap_slug(slug).alias("capped"))
+
+
+@query(f"""
+SELECT path, min(doc_id) AS canonical, count(*) AS records, count(DISTINCT text) AS contents,
+  '- [' || path || '] ' || string_agg(DISTINCT source, ', ' ORDER BY source) AS line
+FROM ({UNITS}) GROUP BY path""")
+def unit_index(spark, sf):
+    """Flagship. F2-F7, A7, A8, K2: documents by path, whether they say the same, and an index line with their sources."""
+    u = _units(table(spark, sf, "documents"))
+    g = u.groupBy("path").agg(F.min("doc_id").alias("canonical"), F.count(F.lit(1)).alias("records"), F.count_distinct(F.sha2("text", 256)).alias("contents"), F.array_sort(F.collect_set("source")).alias("s"))
+    return g.select("path", "canonical", "records", "contents", F.concat(F.lit("- ["), "path", F.lit("] "), F.array_join("s", ", ")).alias("line"))
+
+
+@query("SELECT min(doc_id) AS canonical, count(*) AS copies, string_agg(DISTINCT source, ', ' ORDER BY source) AS sources FROM documents GROUP BY text HAVING count(*) > 1")
+def dup_fold(spark, sf):
+    """Byte-identical texts folded, canonical by ordinal, sources listed."""
+    g = table(spark, sf, "documents").groupBy(F.sha2("text", 256)).agg(F.min("doc_id").alias("canonical"), F.count(F.lit(1)).alias("copies"), F.array_sort(F.collect_set("source")).alias("s"))
+    return g.where("copies > 1").select("canonical", "copies", F.array_join("s", ", ").alias("sources"))
+
+
+@query(f"""
+WITH u AS ({UNITS}), c AS (SELECT path, text, min(doc_id) AS first, count(*) AS n, string_agg(lang || '-' || source, ', ' ORDER BY doc_id) AS docs FROM u GROUP BY ALL)
+SELECT path, count(*) AS senses, md5(CASE WHEN count(*) = 1 THEN min(text) ELSE string_agg('## Definition ' || rank || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY first) END) AS body_md5
+FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY first) AS rank FROM c) GROUP BY path""")
+def sense_merge(spark, sf):
+    """Distinct bodies of a path under numbered headings, in first-seen order."""
+    c = _units(table(spark, sf, "documents")).groupBy("path", F.sha2("text", 256).alias("d")).agg(F.min("doc_id").alias("first"), F.min_by("text", "doc_id").alias("text"))
+    g = c.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("first", "text"))).alias("p"))
+    many = F.array_join(F.transform("p", lambda s, i: F.concat(F.lit("## Definition "), (i + 1).cast("string"), F.lit("\n\n"), s["text"])), "\n\n")
+    return g.select("path", F.size("p").cast("long").alias("senses"), F.md5(F.when(F.size("p") == 1, F.col("p")[0]["text"]).otherwise(many)).alias("body_md5"))
+
+
+@query("SELECT phrase, doc_id, len(list_filter(string_split(text, chr(10)), lambda x: contains(x, phrase))) AS lines FROM documents, (VALUES ('of the'), ('worthless'), ('Copyright')) p(phrase) WHERE contains(text, phrase)")
+def phrase_hits(spark, sf):
+    """Q2, Q3: phrases by line."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.col("text").alias("content"))
+    out = [search.phrase(d, p).select(F.lit(p).alias("phrase"), F.col("path").alias("doc_id"), F.col("lines").cast("long").alias("lines")) for p in ("of the", "worthless", "Copyright")]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query("SELECT md5(line) AS line_md5, count(*) AS n, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line) <> '' GROUP BY line HAVING count(*) > 1")
+def line_census(spark, sf):
+    """How often a line occurs, and where first."""
+    lines = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''")
+    return lines.groupBy(F.md5("line").alias("line_md5")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("first_doc")).where("n > 1")
+
+
+@query("SELECT lang AS edition, count(*) AS files, max(strlen(text)) AS largest, sum(strlen(text))::BIGINT AS bytes FROM documents GROUP BY lang")
+def size_census(spark, sf):
+    """Q12: files and bytes by edition."""
+    s = search.size_census(table(spark, sf, "documents").select(F.col("lang").alias("edition"), F.col("text").alias("content")))
+    return s.withColumn("largest", F.col("largest").cast("long"))
+
+
+@query("SELECT lang, doc_id, n_chars, rank, more FROM (SELECT lang, doc_id, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rank, greatest(count(*) OVER (PARTITION BY lang) - 20, 0) AS more FROM documents) WHERE rank <= 20")
+def top_truncated(spark, sf):
+    """O3: the first twenty of a group and how many more (the limit is the feature)."""
+    d = table(spark, sf, "documents").select("lang", "doc_id", "n_chars")
+    return ordered.truncated(d, ["lang"], [F.desc("n_chars"), "doc_id"], 20).withColumn("rank", F.col("rank").cast("long"))
+
+
+LINKS = "SELECT DISTINCT page_id, regexp_replace(regexp_replace(link, '[#?].*$', ''), '/+$', '') AS link FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS link FROM pages)"
+
+
+@query(f"SELECT * FROM ({LINKS}) WHERE link <> ''")
+def page_links(spark, sf):
+    """Canonical link targets of pages."""
+    return tables.links(table(spark, sf, "pages"))
+
+
+@query("""
+SELECT page_id, u AS url, regexp_extract(u, '^https?://([^/]+)', 1) AS host, len(list_filter(string_split(regexp_replace(u, '^https?://[^/]+', ''), '/'), lambda x: x <> ''))::BIGINT AS depth,
+  lower(regexp_extract(u, '[.]([^./]+)$', 1)) AS ext, url LIKE 'https://%' AND url NOT LIKE '%?%' AND url NOT LIKE '%#%' AS plain
+FROM (SELECT page_id, url, regexp_replace(regexp_replace(url, '[#?].*$', ''), '/+$', '') AS u FROM pages)""")
+def url_parts(spark, sf):
+    """Canonical URL, host, depth, extension, and whether a URL is plain."""
+    p = table(spark, sf, "pages").withColumn("u", ur.canonical(F.col("url")))
+    path = F.regexp_replace("u", "^https?://[^/]+", "")
+    plain = F.col("url").startswith("https://") & ~F.contains("url", F.lit("?")) & ~F.contains("url", F.lit("#"))
+    return p.select("page_id", F.col("u").alias("url"), F.regexp_extract("u", "^https?://([^/]+)", 1).alias("host"), ur.depth(path).cast("long").alias("depth"), F.lower(F.regexp_extract("u", "[.]([^./]+)$", 1)).alias("ext"), plain.alias("plain"))
+
+
+RANKED = """SELECT DISTINCT regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) || '|' || substr(regexp_extract(url, '^https?://[^/]+/[a-z]+/([0-9]+)', 1), 1, 2) AS key,
+  regexp_replace(regexp_replace(url, '[#?].*$', ''), '/+$', '') AS url, CASE WHEN url LIKE 'https://%' THEN 0 ELSE 1 END AS rank FROM pages"""
+
+
+@query(f"SELECT key, count(*) AS candidates, min(url) AS url FROM (SELECT *, min(rank) OVER (PARTITION BY key) AS best FROM ({RANKED})) WHERE rank = best GROUP BY key")
+def link_collisions(spark, sf):
+    """Per key the URLs of best rank; one is an index entry, several a collision."""
+    key = F.concat_ws("|", F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1), F.substring(F.regexp_extract("url", "^https?://[^/]+/[a-z]+/([0-9]+)", 1), 1, 2))
+    k = table(spark, sf, "pages").select(key.alias("key"), ur.canonical(F.col("url")).alias("url"), F.when(F.col("url").startswith("https://"), 0).otherwise(1).alias("rank")).distinct()
+    best = k.groupBy("key", "rank").agg(F.count(F.lit(1)).alias("candidates"), F.min("url").alias("url"))
+    return best.groupBy("key").agg(F.min_by("candidates", "rank").alias("candidates"), F.min_by("url", "rank").alias("url"))
+
+
+@query("SELECT tag, count(*) AS n, count(DISTINCT page_id) AS pages FROM (SELECT page_id, unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)', 1)) AS tag FROM pages) GROUP BY tag")
+def tag_census(spark, sf):
+    """Start tags of raw pages."""
+    t = table(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<([a-z][a-z0-9]*)"), F.lit(1))).alias("tag"))
+    return t.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("page_id").alias("pages"))
+
+
+@query()
+def tag_containment(spark, sf):
+    """Pages shredded into nodes, and which tag stands in which (no SQL: needs a parser; tested on fixtures)."""
+    return tree.containment(shred.shred(table(spark, sf, "pages"), "page_id", "html", "html"))
+
+
+@query()
+def nearest_class(spark, sf):
+    """The nearest ancestor's class of each paragraph (no SQL: needs a parser; tested on fixtures)."""
+    n = shred.shred(table(spark, sf, "pages"), "page_id", "html", "html").where("tag <> '#text'")
+    return tree.nearest(n, F.col("attrs")["class"], "class").where("tag in ('p', 'li')").groupBy("tag", "class").count().withColumnRenamed("count", "n")
+
+
+@query("""
+WITH RECURSIVE e AS (SELECT n_nationkey AS src, (n_nationkey * 2) % 25 AS dst FROM nation UNION ALL SELECT n_nationkey, (n_nationkey + 7) % 25 FROM nation),
+r AS (SELECT r_regionkey AS node, 0 AS depth FROM region UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.node WHERE r.depth < 3)
+SELECT node, min(depth) AS depth FROM r GROUP BY node""")
+def crawl_closure(spark, sf):
+    """What lies within three links of the seeds, by breadth (edges derived from nation keys)."""
+    n = table(spark, sf, "nation")
+    k = F.col("n_nationkey")
+    edges = n.select(k.alias("src"), (k * 2 % 25).alias("dst")).unionByName(n.select(k.alias("src"), ((k + 7) % 25).alias("dst")))
+    return tables.crawl(edges, table(spark, sf, "region").select(F.col("r_regionkey").alias("node")), 3)
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS transcript FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
+def transcript_concat(spark, sf):
+    """A conversation's answers in order."""
+    e = table(spark, sf, "conversations").select(F.col("conv_id").alias("session"), F.col("turn").alias("ord"), F.when(F.col("role") == "assistant", "agent.message").alias("type"), F.array("text").alias("texts"))
+    return transcript.transcript(e).select(F.col("session").alias("conv_id"), "transcript")
+
+
+@query("SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text FROM conversations WHERE role = 'user' GROUP BY conv_id")
+def last_turn(spark, sf):
+    """The last question of each conversation."""
+    return ordered.last_by(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), "conv_id", "turn", F.col("role") == "user").select("conv_id", "turn", "text")
+
+
+@query("""
+WITH u AS (SELECT lang AS doc, source AS parent, count(*) AS units FROM documents GROUP BY ALL),
+t AS (SELECT lang AS doc, source AS parent, count(*) AS refs FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY ALL),
+e AS (SELECT lang AS doc, source AS parent, count(*) AS expected FROM documents JOIN labels USING (doc_id) GROUP BY ALL)
+SELECT doc, parent, coalesce(units, 0) AS units, coalesce(refs, 0) AS refs, coalesce(expected, 0) AS expected, coalesce(units, 0) + coalesce(refs, 0) - coalesce(expected, 0) AS delta
+FROM u FULL JOIN t USING (doc, parent) FULL JOIN e USING (doc, parent)""")
+def label_parity(spark, sf):
+    """Counts against expected counts, both sides kept."""
+    d = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("doc"), F.col("source").alias("parent"))
+    l = table(spark, sf, "labels").join(d, "doc_id")  # noqa: E741
+    return fold.parity(d.withColumn("full", F.lit(True)), l.where("toxic = 1"), l.groupBy("doc", "parent").agg(F.count(F.lit(1)).alias("expected")))
+
+
+@query("""
+SELECT d.doc_id, d.lang AS term, n.category FROM documents d LEFT JOIN (SELECT lang, min(source) AS category FROM documents GROUP BY lang) n USING (lang)
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def unlabelled_rescue(spark, sf):
+    """What nothing reached, with a category inherited from its term."""
+    d = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("term"))
+    national = table(spark, sf, "documents").select(F.col("lang").alias("term"), F.col("source").alias("category"))
+    return joins.rescued(d.withColumn("category", F.lit(None).cast("string")), table(spark, sf, "labels"), "doc_id", national)
+
+
+@query("""
+SELECT CASE WHEN l.doc_id IS NULL THEN 'only documents' WHEN d.doc_id IS NULL THEN 'only labels' WHEN l.quality = 1 THEN 'kept' ELSE 'changed' END AS membership, count(*) AS n
+FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""")
+def membership_census(spark, sf):
+    """Classes of membership in two sets."""
+    d, l = table(spark, sf, "documents").select("doc_id", F.lit(True).alias("d")), table(spark, sf, "labels").withColumn("l", F.lit(True))  # noqa: E741
+    m = F.when(F.col("l").isNull(), "only documents").when(F.col("d").isNull(), "only labels").when(F.col("quality") == 1, "kept").otherwise("changed")
+    return d.join(l, "doc_id", "full_outer").groupBy(m.alias("membership")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d
+ON contains(' ' || trim(regexp_replace(d.text, '\\s+', ' ', 'g')) || ' ', ' ' || trim(regexp_replace(b.text, '\\s+', ' ', 'g')) || ' ') WHERE trim(b.text) <> ''""")
+def passage_containment(spark, sf):
+    """Passages that texts hold word for word, by an equi-join on the first words of a passage."""
+    return joins.containment_pairs(table(spark, sf, "benchmark"), table(spark, sf, "documents"))
+
+
+@query("""
+WITH s AS (SELECT user_id, event_id, ts, sum(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN -1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM events)
+SELECT event_id, (s - least(0, min(s) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)))::BIGINT AS depth FROM s""")
+def clamped_depth(spark, sf):
+    """A depth counter that never falls below zero (starts and ends stood in for by event types)."""
+    delta = F.when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "purchase", -1).otherwise(0)
+    return tracked.clamped_depth(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], delta).select("event_id", "depth")
+
+
+@query("""
+SELECT user_id, CASE WHEN s = 'signup' THEN 'running' WHEN s = 'purchase' THEN 'done' WHEN s = 'error' THEN 'failed' ELSE 'blocked' END AS state, event_id
+FROM (SELECT user_id, arg_max(event_type, event_id) AS s, max(event_id) AS event_id FROM events WHERE event_type <> 'view' GROUP BY user_id)""")
+def last_status(spark, sf):
+    """The last status of each session (event types stand for states)."""
+    last = ordered.last_by(table(spark, sf, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id", F.col("event_type") != "view")
+    s = F.col("event_type")
+    return last.select("user_id", F.when(s == "signup", "running").when(s == "purchase", "done").when(s == "error", "failed").otherwise("blocked").alias("state"), "event_id")
+
+
+@query("""
+WITH g AS (SELECT user_id, event_type, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS g FROM events)
+SELECT user_id, max(n)::BIGINT AS longest FROM (SELECT user_id, g, count(*) FILTER (WHERE event_type = 'error') AS n FROM g GROUP BY ALL) GROUP BY user_id""")
+def error_islands(spark, sf):
+    """The longest run of failures."""
+    return ordered.error_runs(table(spark, sf, "events"), "user_id", "event_id", F.col("event_type") != "error")
+
+
+@query("""
+WITH r AS (SELECT * FROM part WHERE p_partkey % 7 = 0), l AS (SELECT * FROM part WHERE p_partkey % 7 <> 0),
+t AS (
+  SELECT l.p_partkey, 1 AS rule, min(r.p_partkey) AS match, count(DISTINCT r.p_partkey) AS matches FROM l JOIN r ON l.p_name || '|' || l.p_brand = r.p_name || '|' || r.p_brand GROUP BY 1
+  UNION ALL SELECT l.p_partkey, 2, min(r.p_partkey), count(DISTINCT r.p_partkey) FROM l JOIN r ON l.p_brand || '|' || l.p_size = r.p_brand || '|' || r.p_size GROUP BY 1
+  UNION ALL SELECT l.p_partkey, 3, min(r.p_partkey), count(DISTINCT r.p_partkey) FROM l JOIN r ON l.p_type || '|' || l.p_size = r.p_type || '|' || r.p_size GROUP BY 1)
+SELECT l.p_partkey, coalesce(t.rule, 0) AS rule, coalesce(t.match, -1) AS match, coalesce(t.matches, 0) AS matches FROM l LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY rule) AS k FROM t) t ON t.p_partkey = l.p_partkey AND t.k = 1""")
+def tiered_name_join(spark, sf):
+    """The first rule that matches, and whether it is ambiguous (brands and types stand for stems)."""
+    p = table(spark, sf, "part")
+    key = lambda *c: F.concat_ws("|", *c)
+    tiers = [(key("p_name", "p_brand"),) * 2, (key("p_brand", "p_size"),) * 2, (key("p_type", "p_size"),) * 2]
+    return joins.tiered(p.where("p_partkey % 7 <> 0"), p.where("p_partkey % 7 = 0"), tiers, "p_partkey", "p_partkey").select("p_partkey", F.coalesce("rule", F.lit(0)).alias("rule"), F.coalesce("match", F.lit(-1)).alias("match"), F.coalesce("matches", F.lit(0)).alias("matches"))
+
+
+@query("SELECT r_name AS edition, n_name AS dir, count(*) AS files FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)")
+def census_rollup(spark, sf):
+    """A10: counts by folder with subtotals."""
+    s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return fold.census(s.select(F.concat_ws("/", "r_name", "n_name", F.col("s_suppkey").cast("string")).alias("path")))
+
+
+RECON = "SELECT lang || '/' || source || '/' || doc_id || '.md' AS path, lang || '/' || source AS dir, doc_id, source FROM documents"
+
+
+@query(f"""
+SELECT path, CASE WHEN doc_id % 3 = 0 THEN 'keep' WHEN source IN ('src1', 'src2') THEN 'delete' WHEN source <> 'src9' THEN 'leave' ELSE 'delete' END AS action FROM ({RECON})""")
+def reconcile_plan(spark, sf):
+    """U2, U9, ST2: what to keep, delete and leave of what is on disk."""
+    p = table(spark, sf, "documents").select(F.concat(F.col("lang"), F.lit("/"), F.col("source"), F.lit("/"), F.col("doc_id"), F.lit(".md")).alias("path"), F.concat_ws("/", "lang", "source").alias("dir"), "doc_id", "source")
+    return ordered.reconcile(p.select("path"), p.where("doc_id % 3 = 0"), p.where("source in ('src1', 'src2')"), p.where("source <> 'src9'"))
+
+
+@query("""
+WITH f AS (SELECT DISTINCT o_custkey AS k FROM orders), l AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0)
+SELECT coalesce(f.k, l.k) AS k, CASE WHEN l.k IS NULL THEN 'unlisted' ELSE 'dead' END AS side FROM f FULL JOIN l ON f.k = l.k WHERE f.k IS NULL OR l.k IS NULL""")
+def forward_references(spark, sf):
+    """Found against listed, both differences."""
+    return ordered.both_ways(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k")), "k")
+
+
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_nationkey = 3")
+def dead_rulings(spark, sf):
+    """Declared, less fired, less superseded."""
+    c = table(spark, sf, "customer")
+    return ordered.dead(c.select(F.col("c_custkey").alias("k")), table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), c.where("c_nationkey = 3").select(F.col("c_custkey").alias("k")), "k")
+
+
+@query("""
+WITH refs AS (SELECT o_orderkey AS ref, o_custkey AS conref, o_custkey % 500 AS id, CASE WHEN o_orderkey % 5 = 0 THEN (o_custkey + 1) % 500 ELSE o_custkey % 500 END AS title_id FROM orders),
+c AS (SELECT c_custkey AS conref, CASE WHEN c_custkey % 9 = 0 THEN (c_custkey + 2) % 500 ELSE c_custkey % 500 END AS id FROM customer),
+byid AS (SELECT id, min(conref) AS id_conref, count(*) AS id_files FROM c GROUP BY id), rul AS (SELECT o_orderkey AS ref, 'omit' AS action FROM orders WHERE o_orderkey % 11 = 0)
+SELECT r.ref, CASE WHEN r.id = c.id AND r.title_id = c.id THEN 'agree' WHEN r.id = c.id THEN 'title-only' WHEN r.title_id = c.id THEN coalesce(rul.action, 'id-only')
+  WHEN r.id = r.title_id AND b.id_files = 1 THEN 'redirect' ELSE coalesce(rul.action, 'unresolved') END AS decision
+FROM refs r LEFT JOIN c ON c.conref = r.conref LEFT JOIN byid b ON b.id = r.title_id LEFT JOIN rul ON rul.ref = r.ref""")
+def identity_join(spark, sf):
+    """Three identities reconciled (derived keys stand for ids)."""
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    k = F.col("o_custkey")
+    refs = o.select(F.col("o_orderkey").alias("ref"), k.alias("conref"), (k % 500).alias("id"), F.when(F.col("o_orderkey") % 5 == 0, (k + 1) % 500).otherwise(k % 500).alias("title_id"))
+    k = F.col("c_custkey")
+    files = c.select(k.alias("conref"), F.when(k % 9 == 0, (k + 2) % 500).otherwise(k % 500).alias("id"))
+    by_file = files.withColumnRenamed("id", "file_id")
+    by_id = files.groupBy("id").agg(F.min("conref").alias("id_conref"), F.count(F.lit(1)).alias("id_files")).withColumnRenamed("id", "title_id")
+    rulings = o.where("o_orderkey % 11 = 0").select(F.col("o_orderkey").alias("ref"), F.lit("omit").alias("action"))
+    j = refs.join(by_file, "conref", "left").join(by_id, "title_id", "left").join(rulings, "ref", "left")
+    a, b = F.col("id") == F.col("file_id"), F.col("title_id") == F.col("file_id")
+    d = F.when(a & b, "agree").when(a, "title-only").when(b, F.coalesce("action", F.lit("id-only"))).when((F.col("id") == F.col("title_id")) & (F.col("id_files") == 1), "redirect").otherwise(F.coalesce("action", F.lit("unresolved")))
+    return j.select("ref", d.alias("decision"))
+
+
+@query("SELECT category, count(*) AS n FROM (SELECT CASE WHEN trim(line) = '' THEN 'other' WHEN contains(line, ':') THEN trim(string_split(line, ':')[1]) ELSE 'text' END AS category FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE length(line) < 40) GROUP BY category")
+def warning_categories(spark, sf):
+    """A4: lines by what stands before their first colon (short lines stand for warnings)."""
+    lines = table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) < 40")
+    c = F.when(F.trim("line") == "", "other").when(F.contains("line", F.lit(":")), fold.warning_category(F.col("line"))).otherwise("text")
+    return lines.groupBy(c.alias("category")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT lang, count(l.doc_id) AS resolved, count(*) AS total, printf('%.1f%%', 100.0 * count(l.doc_id) / count(*)) AS share FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY lang")
+def coverage_percent(spark, sf):
+    """Resolved of total, with a percentage."""
+    j = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", F.lit(1).alias("l")), "doc_id", "left")
+    g = j.groupBy("lang").agg(F.count("l").alias("resolved"), F.count(F.lit(1)).alias("total"))
+    return g.withColumn("share", lab.percent(F.col("resolved"), F.col("total")))
+
+
+@query("""
+WITH p AS (SELECT a.doc_id AS key, string_split(a.text, chr(10)) AS x, string_split(b.text, chr(10)) AS y FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1 AND a.lang = b.lang),
+d AS (SELECT key, i, x[i] AS l, y[i] AS r FROM p, unnest(range(1, greatest(len(x), len(y)) + 1)) u(i) WHERE x[i] IS DISTINCT FROM y[i])
+SELECT key, min(i)::BIGINT AS line, arg_min(coalesce(l, '(none)'), i) AS left_line FROM d GROUP BY key""")
+def first_diff_line(spark, sf):
+    """Where neighbouring texts first differ."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    pairs = d.select(F.col("doc_id").alias("key"), "lang", F.col("text").alias("a")).join(d.select((F.col("doc_id") - 1).alias("key"), "lang", F.col("text").alias("b")), ["key", "lang"])
+    return fold.first_difference(pairs).select("key", F.col("line").cast("long").alias("line"), F.coalesce("left", F.lit("(none)")).alias("left_line"))
+
+
+@query("""
+SELECT p_partkey, p_size, CASE WHEN p_size > 26 THEN chr(96 + (p_size - 1) // 26) ELSE '' END || chr(97 + (p_size - 1) % 26) AS alpha,
+  ['', 'x', 'xx', 'xxx', 'xl', 'l'][p_size // 10 + 1] || ['', 'i', 'ii', 'iii', 'iv', 'v', 'vi', 'vii', 'viii', 'ix'][p_size % 10 + 1] AS roman FROM part""")
+def list_labels(spark, sf):
+    """Letters and Roman numerals of sizes."""
+    n = F.col("p_size")
+    return table(spark, sf, "part").select("p_partkey", "p_size", lab.alpha(n).alias("alpha"), lab.roman(n).alias("roman"))
+
+
+@query("""
+SELECT l_orderkey, l_partkey, l_linenumber, '(' || chr((96 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey))::INT) || ')' AS label FROM lineitem WHERE l_quantity > 10""")
+def consumed_labels(spark, sf):
+    """Labels go to the items that are kept only."""
+    n = ordered.numbered(table(spark, sf, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], F.col("l_quantity") > 10)
+    return n.select("l_orderkey", "l_partkey", "l_linenumber", lab.list_label(F.lit("alpha"), F.col("n")).alias("label"))
+
+
+YAML_BAD = " OR ".join(f"regexp_matches(x, '{p.replace(chr(39), chr(39) * 2)}')" for p in ym.UNSAFE)
+
+
+@query(rf"""
+WITH v AS (SELECT DISTINCT x FROM (SELECT url AS x FROM pages UNION ALL SELECT substr(text, 1, 40) FROM documents UNION ALL SELECT p_size::VARCHAR FROM part UNION ALL SELECT props FROM events UNION ALL SELECT c_name || ' #' FROM customer))
+SELECT x, CASE WHEN {YAML_BAD} THEN '"' || replace(replace(replace(replace(replace(x, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t') || '"' ELSE x END AS scalar FROM v""")
+def yaml_scalars(spark, sf):
+    """Which values need quotes, and their escapes."""
+    parts = [table(spark, sf, "pages").select(F.col("url").alias("x")), table(spark, sf, "documents").select(F.substring("text", 1, 40).alias("x")), table(spark, sf, "part").select(F.col("p_size").cast("string").alias("x")), table(spark, sf, "events").select(F.col("props").alias("x")), table(spark, sf, "customer").select(F.concat("c_name", F.lit(" #")).alias("x"))]
+    v = parts[0]
+    for p in parts[1:]:
+        v = v.unionByName(p)
+    return v.distinct().select("x", ym.scalar(F.col("x")).alias("scalar"))
+
+
+@query("""
+SELECT p_partkey, 'https://images.example/' || replace(replace(replace(replace(url_encode(name), '%21', '!'), '%2A', '*'), '%27', ''''), '%7E', '~') AS url,
+  CASE WHEN p_partkey % 2 = 0 THEN '!' ELSE '' END AS mark FROM (SELECT p_partkey, p_name || ' (' || p_brand || ')!~*''' || p_size || CASE WHEN p_partkey % 2 = 0 THEN '.svg' ELSE '.emf' END AS name FROM part)""")
+def file_urls(spark, sf):
+    """Encoded file URLs, parentheses too, and whether a file shows inline."""
+    name = F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")!~*'"), F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 2 == 0, ".svg").otherwise(".emf"))
+    return table(spark, sf, "part").select("p_partkey", ur.file_url(F.lit("https://images.example"), name).alias("url"), ur.inline_mark(name).alias("mark"))
+
+
+@query("""
+SELECT source, CASE WHEN len(l) = 1 THEN l[1] ELSE array_to_string(l[1:len(l) - 1], ', ') || ' and ' || l[len(l)] END AS langs
+FROM (SELECT source, list_sort(list(DISTINCT lang)) AS l FROM documents GROUP BY source)""")
+def prose_lists(spark, sf):
+    """Values as prose."""
+    g = table(spark, sf, "documents").groupBy("source").agg(F.array_sort(F.collect_set("lang")).alias("l"))
+    return g.select("source", tx.prose_list(F.col("l")).alias("langs"))
+
+
+@query("SELECT p_partkey, row_number() OVER (ORDER BY p_brand, CASE WHEN p_size % 4 = 0 THEN '' ELSE p_type END, p_name, p_partkey) AS place FROM part")
+def index_order(spark, sf):
+    """O1, O2, Q9: index order: label, national first, path (the place is global, so the sort is too)."""
+    p = table(spark, sf, "part").select("p_partkey", "p_brand", "p_name", F.when(F.col("p_size") % 4 == 0, F.lit(None)).otherwise(F.col("p_type")).alias("state"))
+    return p.select("p_partkey", F.row_number().over(Window.orderBy("p_brand", F.coalesce("state", F.lit("")), "p_name", "p_partkey")).cast("long").alias("place"))
+
+
+@query("""
+WITH r AS (SELECT * FROM (VALUES (1, 'BUILDING', 3), (2, 'MACHINERY', NULL), (3, 'AUTOMOBILE', 0)) t(id, seg, k))
+SELECT c_custkey, coalesce(r.id, -1) AS ruling FROM (SELECT *, CASE WHEN c_nationkey % 3 = 0 THEN NULL ELSE c_nationkey END AS k FROM customer) c LEFT JOIN r ON c.c_mktsegment = r.seg AND c.k IS NOT DISTINCT FROM r.k""")
+def null_safe_rulings(spark, sf):
+    """Rulings that apply by null-safe keys."""
+    r = spark.createDataFrame([(1, "BUILDING", 3), (2, "MACHINERY", None), (3, "AUTOMOBILE", 0)], "id int, seg string, k int")
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("seg"), F.when(F.col("c_nationkey") % 3 == 0, F.lit(None)).otherwise(F.col("c_nationkey")).alias("k"))
+    return joins.ruled(c, r, ["seg", "k"]).select("c_custkey", F.coalesce("ruling", F.lit(-1)).alias("ruling"))
+
+
+@query("SELECT n_nationkey AS key, count(DISTINCT s_suppkey) AS holders, min(s_suppkey) AS holder FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1")
+def cited_reachable(spark, sf):
+    """How many holders embed what is cited."""
+    e = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("key"), F.col("s_suppkey").alias("holder"))
+    return joins.reachable(table(spark, sf, "nation").select(F.col("n_nationkey").alias("key")), e, "key")
+
+
+@query("SELECT doc_id, md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS collapsed FROM documents")
+def collapsed_text(spark, sf):
+    """white space collapsed."""
+    return table(spark, sf, "documents").select("doc_id", F.md5(tx.collapse(F.col("text"))).alias("collapsed"))
+
+
+@query("""
+SELECT doc_id, md5('---' || chr(10) || 'title: Unit ' || doc_id || chr(10) || 'citation: Code ' || lang || ' Unit ' || doc_id || CASE WHEN doc_id % 4 = 0 THEN ' (' || upper(lang) || ')' ELSE '' END || chr(10) || 'edition: "2025"' || chr(10)
+  || 'volume: ' || source || chr(10) || 'jurisdiction: ' || CASE WHEN doc_id % 4 = 0 THEN lang ELSE 'aus' END || chr(10) || '---' || chr(10) || chr(10) || '# Unit ' || doc_id
+  || CASE WHEN text = '' THEN '' ELSE chr(10) || chr(10) || text END || chr(10)) AS content_md5 FROM (SELECT * REPLACE (coalesce(text, '') AS text) FROM documents) WHERE lang <> 'no'""")
+def front_matter(spark, sf):
+    """Whole files with front matter in the fixed order."""
+    title = F.concat(F.lit("Unit "), F.col("doc_id").cast("string"))
+    state = F.when(F.col("doc_id") % 4 == 0, F.col("lang"))
+    none = F.lit(None).cast("string")
+    head = ym.front_matter({"title": title, "citation": tx.citation(F.concat(F.lit("Code "), "lang"), F.lit("page"), none, none, title, state), "edition": F.lit("2025"), "volume": F.col("source"), "jurisdiction": F.coalesce(state, F.lit("aus"))})
+    body = ym.document(head, tx.heading(F.lit("page"), none, none, title), none, F.col("text"))
+    return table(spark, sf, "documents").where("lang <> 'no'").select("doc_id", F.md5(body).alias("content_md5"))
+
+
+@query("""
+WITH a AS (SELECT source, count(*) AS v FROM documents WHERE lang = 'en' GROUP BY 1), b AS (SELECT source, count(*) AS v FROM documents WHERE lang <> 'en' AND source <> 'src3' GROUP BY 1)
+SELECT coalesce(a.source, b.source) AS source, CASE WHEN b.v IS NULL THEN 'only left' WHEN a.v IS NULL THEN 'only right' WHEN a.v = b.v THEN 'same' ELSE 'changed' END AS state FROM a FULL JOIN b USING (source)""")
+def edition_compare(spark, sf):
+    """Q10: two editions by designation."""
+    d = table(spark, sf, "documents")
+    a = d.where("lang = 'en'").groupBy("source").agg(F.count(F.lit(1)).alias("v"))
+    b = d.where("lang <> 'en' and source <> 'src3'").groupBy("source").agg(F.count(F.lit(1)).alias("v"))
+    return ordered.compare(a, b, ["source"], "v")
+
+
+@query("SELECT user_id AS session, event_type AS kind, coalesce(sum(try_cast(json_extract_string(props, '$.k') AS BIGINT)), 0)::BIGINT AS tokens FROM events GROUP BY ALL")
+def token_usage(spark, sf):
+    """Tokens by session and kind; what isn't a number counts as 0."""
+    k = F.coalesce(F.get_json_object("props", "$.k"), F.lit("none"))
+    e = table(spark, sf, "events").select(F.col("user_id").alias("session"), F.create_map("event_type", k).alias("model_usage"))
+    return transcript.usage(e)
+
+
+@query("""
+SELECT user_id AS session, 'CHECK' || (event_id % 5) AS id, arg_max(event_type, event_id) AS type, arg_max(floor(value)::INT, event_id)::VARCHAR AS value, count(*) AS occurrences FROM events GROUP BY 1, 2""")
+def result_lines(spark, sf):
+    """Result lines of transcripts built from events; the last one counts."""
+    line = F.concat(F.lit("- **CHECK"), (F.col("event_id") % 5).cast("string"), F.lit(" type="), "event_type", F.lit(' value="'), F.floor("value").cast("int").cast("string"), F.lit('"**'))
+    e = table(spark, sf, "events").select(F.col("user_id").alias("session"), F.col("event_id").alias("ord"), F.lit("agent.message").alias("type"), F.array(line).alias("texts"))
+    r = transcript.result_lines(transcript.transcript(e))
+    return r.select("session", "id", F.col("fields")["type"].alias("type"), F.col("fields")["value"].alias("value"), "occurrences")
+
+
+@query("""
+WITH t AS (SELECT user_id AS session, max(event_type) FILTER (WHERE event_type = 'purchase') AS bought, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1)
+SELECT session, bought IS NOT NULL AND errors < 15 AS passed, (CASE WHEN bought IS NULL THEN 1 ELSE 0 END + CASE WHEN errors >= 15 THEN 1 ELSE 0 END)::BIGINT AS failed FROM t""")
+def session_verdicts(spark, sf):
+    """Q13, Q14: checks against session lines, all of which must pass."""
+    g = table(spark, sf, "events").groupBy(F.col("user_id").alias("session")).agg(F.max((F.col("event_type") == "purchase").cast("int")).alias("b"), F.sum((F.col("event_type") == "error").cast("int")).alias("e"))
+    t = g.withColumn("transcript", F.concat(F.lit("C1 bought="), F.when(F.col("b") == 1, "yes").otherwise("no"), F.lit("\nC2 errors="), F.when(F.col("e") < 15, "few").otherwise("many")))
+    checks = spark.createDataFrame([("C1", "bought", "yes", None, "^C1 "), ("C2", "errors", None, "^f", None)], "id string, field string, expected string, pattern string, evidence string")
+    return transcript.verdicts(transcript.grade(transcript.result_lines(t), t, checks))
+
+
+@query("""
+SELECT event_id, 200 + (event_id % 4) * 100 + (event_id % 30) AS status, CASE WHEN event_type = 'view' AND user_id % 5 < 4 AND (200 + (event_id % 4) * 100 + (event_id % 30) IN (408, 429) OR 200 + (event_id % 4) * 100 + (event_id % 30) >= 500) THEN true ELSE false END AS retry,
+  least(CASE WHEN event_id % 6 = 0 THEN value * 1000 ELSE 500 * pow(2, user_id % 5) END, 60000)::BIGINT AS delay FROM (SELECT * REPLACE (floor(value) AS value) FROM events)""")
+def retry_policy(spark, sf):
+    """Which requests to repeat, and after how long."""
+    e = table(spark, sf, "events")
+    status = 200 + (F.col("event_id") % 4) * 100 + F.col("event_id") % 30
+    attempt = F.col("user_id") % 5
+    after = F.when(F.col("event_id") % 6 == 0, F.floor("value").cast("string"))
+    return e.select("event_id", status.alias("status"), ur.should_retry(F.when(F.col("event_type") == "view", "get").otherwise("post"), status, attempt).alias("retry"), ur.retry_delay_ms(attempt, after).alias("delay"))
+
+
+@query("SELECT doc_id, len(string_split(text, chr(10))[1:7])::BIGINT AS lines, contains(array_to_string(string_split(text, chr(10))[1:7], chr(10)), 'the') AS cited FROM documents")
+def head_window(spark, sf):
+    """What stands in a file's first lines."""
+    head = ordered.head_lines(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", F.size(head).cast("long").alias("lines"), F.contains(F.array_join(head, "\n"), F.lit("the")).alias("cited"))
+
+
+@query("""
+WITH t AS (SELECT DISTINCT doc_id, regexp_replace(lower(strip_accents(w)), '[^a-z0-9]+', '', 'g') AS k FROM (SELECT doc_id, unnest(string_split(string_split(text, chr(10))[1], ' ')) AS w FROM documents)),
+p AS (SELECT p_name, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS k FROM (SELECT DISTINCT split_part(p_name, ' ', 1) AS p_name FROM part))
+SELECT k, count(DISTINCT doc_id) AS docs, max(CASE WHEN p.p_name IS NOT NULL THEN 1 ELSE 0 END)::INT AS defined FROM t LEFT JOIN p USING (k) WHERE k <> '' GROUP BY k""")
+def term_sources(spark, sf):
+    """Terms by folded form, and whether something defines them (part names stand for a glossary)."""
+    t = table(spark, sf, "documents").select("doc_id", F.explode(F.split(F.split("text", "\n")[0], " ")).alias("w")).select("doc_id", tx.squash(F.col("w")).alias("k")).where("k <> ''").distinct()
+    p = table(spark, sf, "part").select(tx.squash(F.split("p_name", " ")[0]).alias("k")).distinct().withColumn("d", F.lit(1))
+    return t.join(p, "k", "left").groupBy("k").agg(F.count("doc_id").alias("docs"), F.max(F.coalesce("d", F.lit(0))).alias("defined"))
+
+
+@query("SELECT url, string_agg(DISTINCT page_id::VARCHAR, ',' ORDER BY page_id::VARCHAR) AS pages, count(DISTINCT page_id) AS n FROM (" + LINKS.replace("AS link FROM (", "AS url FROM (", 1) + ") WHERE url <> '' GROUP BY url")
+def link_inverted(spark, sf):
+    """An inverted index of link targets. A target's pages are one array, as the report lists them."""
+    l = tables.links(table(spark, sf, "pages"))  # noqa: E741
+    g = l.groupBy(F.col("link").alias("url")).agg(F.array_sort(F.collect_set(F.col("page_id").cast("string"))).alias("p"))
+    return g.select("url", F.array_join("p", ",").alias("pages"), F.size("p").cast("long").alias("n"))
+
+
+@query("SELECT DISTINCT requested AS section FROM (VALUES ('src1'), ('src2'), ('nowhere')) t(requested) EXCEPT SELECT source FROM documents")
+def absent_sections(spark, sf):
+    """Requested sections that aren't there."""
+    r = spark.createDataFrame([("src1",), ("src2",), ("nowhere",)], "section string")
+    return r.subtract(table(spark, sf, "documents").select(F.col("source").alias("section")))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, number FROM (
+  SELECT *, CASE WHEN lag(l_quantity) OVER w < 10 THEN lag(l_quantity) OVER w END AS number, l_quantity < 10 AS is_num, lead(l_quantity) OVER w < 10 AS next_num, lead(l_quantity) OVER w IS NULL AS last
+  FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)) WHERE NOT is_num""")
+def pending_numbers(spark, sf):
+    """A number goes to the paragraph right after it (small quantities stand for numbers)."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    l = table(spark, sf, "lineitem").withColumn("p", F.lag("l_quantity").over(w))  # noqa: E741
+    return l.where("l_quantity >= 10").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.when(F.col("p") < 10, F.col("p")).alias("number"))
+
+
+@query("SELECT event_type, sum(n)::BIGINT AS runs, max(n) AS longest FROM (SELECT user_id, event_type, g, count(*) AS n FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS g FROM events) GROUP BY ALL) GROUP BY event_type")
+def run_lengths(spark, sf):
+    """Runs of equal rows."""
+    r = joins.collapse_runs(table(spark, sf, "events"), ["user_id"], ["event_id"], "event_type")
+    return r.groupBy("event_type").agg(F.sum("length").alias("runs"), F.max("length").alias("longest"))
+
+
+@query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def ext_tumbling(spark, sf):
+    """Extension: event-time windows."""
+    g = table(spark, sf, "events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return g.select(F.col("w.start").alias("start"), "event_type", "n", "total")
+
+
+@query("""
+SELECT e.event_id, coalesce(p.event_id, -1) AS purchase FROM (SELECT * FROM events WHERE event_type = 'error') e ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p ON e.user_id = p.user_id AND e.event_id >= p.event_id""")
+def ext_asof(spark, sf):
+    """Extension: the latest purchase before each error, by one window over the union instead of a range join."""
+    e = table(spark, sf, "events").where("event_type in ('error', 'purchase')")
+    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return e.withColumn("purchase", F.last(F.when(F.col("event_type") == "purchase", F.col("event_id")), True).over(w)).where("event_type = 'error'").select("event_id", F.coalesce("purchase", F.lit(-1)).alias("purchase"))
+
+
+@query("""
+SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, round(avg(l_discount), 6) AS avg_disc, count(*) AS n
+FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2""")
+def ext_pricing(spark, sf):
+    """Extension: a pricing summary."""
+    l = table(spark, sf, "lineitem").where("l_shipdate <= timestamp '1998-09-02'")  # noqa: E741
+    return l.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.round(F.avg("l_discount"), 6).alias("avg_disc"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN nation ON c_nationkey = n_nationkey
+WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1996-01-01' GROUP BY n_name""")
+def ext_revenue(spark, sf):
+    """Extension: revenue by nation over a star of joins."""
+    o = table(spark, sf, "orders").where("o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '1996-01-01'")
+    j = table(spark, sf, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
