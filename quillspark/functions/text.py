@@ -123,7 +123,7 @@ def unit_filename(u: dict[str, Column], tokens: dict[str, str]) -> Column:
     title = cap_slug(slugify(u["title"]))
     tok = container_token(u["containerKind"], u["sectionType"], tokens)
     numbered = F.coalesce(u["containerNum"], F.lit("")) != ""
-    page = F.when(numbered, join_parts(tok, container_number(u["containerNum"], tok), state, title)).otherwise(join_parts(F.lit("page"), state, title))
+    page = F.when(numbered & tok.isNull(), None).when(numbered, join_parts(tok, container_number(u["containerNum"], tok), state, title)).otherwise(join_parts(F.lit("page"), state, title))
     return F.when(u["kind"] == "clause", join_parts(designation(u["id"]), state, title)).when(u["kind"] == "glossary", join_parts(term_slug(trim_ws(u["term"])), state)).when(u["kind"] == "page", page)
 
 

@@ -62,10 +62,10 @@ def unzip(archives: DataFrame) -> DataFrame:
         for info in z.infolist():
             if info.is_dir():
                 continue
-            if info.file_size >= 0xFFFFFFFF or info.extract_version >= 45:
-                yield path, info.filename, None, info.compress_type, "zip64 entries aren't read"
-            elif info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+            if info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
                 yield path, info.filename, None, info.compress_type, f"method {info.compress_type} isn't read"
+            elif info.file_size >= 0xFFFFFFFF or info.extract_version >= 45:
+                yield path, info.filename, None, info.compress_type, "zip64 entries aren't read"
             else:
                 try:
                     data = z.read(info)
