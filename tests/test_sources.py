@@ -20,7 +20,7 @@ def test_unzip_and_refusals(spark):
     odd = archive(("../up", "x"), ("/abs", "y"))
     lzma = archive(("c", "x" * 99), method=zipfile.ZIP_LZMA)
     broken = bytearray(archive(("d", "hello")))
-    broken[broken.index(b"\xcbH")] ^= 1
+    broken[broken.index(b"\xcbH") + 2] ^= 16
     df = spark.createDataFrame([("good", bytearray(good)), ("odd", bytearray(odd)), ("lzma", bytearray(lzma)), ("none", bytearray(b"no zip")), ("broken", broken)], "path string, content binary")
     got = {(r["path"], r["name"]): (r["data"] and bytes(r["data"]), r["error"]) for r in tables.unzip(df).collect()}
     assert got[("good", "a/b.xml")] == (b"<x/>", None) and got[("good", "..name")] == (b"ok", None) and ("good", "a/") not in got
