@@ -5,11 +5,14 @@ permutation of the universe, shifted circularly by k, gives coordinate k of the
 coordinates of a shingle are one contiguous stretch of the permutation.
 
 Texts with equal shingle sets are one node. Nodes that agree in a band share a bucket. Links are
-looked for in two rounds, neither of which forms the pairs of a bucket: first each node is held
-against its bucket's least node; then nodes that this leaves apart from their bucket's least node
-are held against the rest of the bucket, in blocks of bounded size. Pairs whose signatures agree
-too rarely for the threshold (by more than four standard deviations) are dropped; every other
-pair is decided on the full sets. Pairs already in one component need no decision.
+looked for in two rounds, neither of which forms the pairs of a bucket. First each node is held
+against its bucket's least node. Then nodes that this leaves apart from their bucket's least node
+are held against the rest of the bucket by signature, in blocks of bounded size, and a block gives
+only a spanning forest of what is close enough. The components of that are families; each family's
+nodes are laid out in tiles, every pair of tiles is one group that has the full sets at hand, and
+gives a spanning forest of the links it finds between different components. Pairs whose signatures
+agree too rarely for the threshold (by 4.6 standard deviations) are dropped; every other pair is
+decided on the full sets, unless its ends are in one component already.
 """
 
 from __future__ import annotations
@@ -170,7 +173,9 @@ def near_texts(docs: DataFrame, shingle: int = 4, percent: int = 80, bands: int
     least = _agree(percent, bands * rows)
     links = _confirmed(_screened(stars, nodes, percent, least), nodes, docs, shingle, percent)
     roots = components(links)
-    more = _confirmed(_rest(members, nodes, roots, percent, least, block), nodes, docs, shingle, percent)
+    near = materialise(_rest(members, nodes, roots, percent, least, block), "minhash-near")
+    families = components(near.unionByName(roots.select(F.col("node").alias("src"), F.col("root").alias("dst"))))
+    more = materialise(_within(families, roots, nodes, docs, shingle, percent, least, block), "minhash-more")
     roots = components(links.unionByName(more))
     named = sigs.join(roots, F.col("node") == F.col("__set"), "left").select("__row", "__n", F.coalesce("root", "__set").alias("__root")).dropDuplicates(["__row"])
     keep = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")]
@@ -195,13 +200,18 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int
     """The pairs whose full sets meet the threshold; only texts that are in a pair are read into sets."""
     pairs = materialise(pairs, "minhash-pairs")
     wanted = pairs.select(F.col("src").alias("__set")).unionByName(pairs.select(F.col("dst").alias("__set"))).distinct()
-    wanted = nodes.select("__set", "__row").join(wanted, "__set", "left_semi")
-    text = docs.select(row_key("doc_id", "text").alias("__row"), "text").join(wanted, "__row")
-    sets = materialise(text.select("__set", "text").mapInArrow(_full_sets(shingle), "__set binary, __full binary").dropDuplicates(["__set"]), "minhash-sets")
+    sets = _sets(wanted, nodes, docs, shingle)
     both = pairs.join(sets.select(F.col("__set").alias("src"), F.col("__full").alias("__x")), "src").join(sets.select(F.col("__set").alias("dst"), F.col("__full").alias("__y")), "dst")
     return materialise(both.select("src", "dst", "__x", "__y").mapInArrow(_verify(percent), "src binary, dst binary"), "minhash-links")
 
 
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(__set, __full): the whole shingle sets of the nodes of ``wanted`` (__set), from one text each."""
+    rows = nodes.select("__set", "__row").join(wanted, "__set", "left_semi")
+    text = docs.select(row_key("doc_id", "text").alias("__row"), "text").join(rows, "__row")
+    return materialise(text.select("__set", "text").mapInArrow(_full_sets(shingle), "__set binary, __full binary").dropDuplicates(["__set"]), "minhash-sets")
+
+
 def _rest(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, least: float, block: int) -> DataFrame:
     """Pairs of one bucket in different components, of which none is the bucket's least node, screened in blocks."""
     r = lambda node, name: roots.select(F.col("node").alias(node), F.col("root").alias(name))
@@ -215,22 +225,52 @@ def _rest(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int,
     a = m.where("__apart").withColumn("__i", tile("__na")).withColumn("__j", each("__nb")).withColumn("__side", F.lit(0)).select(*cols)
     b = m.withColumn("__j", tile("__nb")).withColumn("__i", each("__na")).withColumn("__side", F.lit(1)).select(*cols)
 
+    return a.unionByName(b).groupBy("__b", "__i", "__j").applyInArrow(_block(percent, least, None), "src binary, dst binary").distinct()
+
+
+def _within(families: DataFrame, roots: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int, least: float, block: int) -> DataFrame:
+    """Links between different components of a family, by pairs of tiles with full sets; a spanning forest of each group's."""
+    f = families.select(F.col("node").alias("__set"), F.col("root").alias("__fam"))
+    f = f.unionByName(families.select(F.col("root").alias("__set"), F.col("root").alias("__fam")).distinct())
+    f = f.join(roots.select(F.col("node").alias("__set"), F.col("root").alias("__r")), "__set", "left").withColumn("__comp", F.coalesce("__r", "__set")).drop("__r")
+    split = f.groupBy("__fam").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("__t"), (F.min("__comp") < F.max("__comp")).alias("__many")).where("__many").drop("__many")
+    f = materialise(f.join(split, "__fam"), "minhash-families")
+    full = _sets(f.select("__set"), nodes, docs, shingle)
+    placed = f.join(nodes.select("__set", "__n", "__sig"), "__set").join(full, "__set").withColumn("__own", F.pmod(F.xxhash64("__set"), F.col("__t")).cast("int"))
+    tiles = placed.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__t") - 1))).withColumn("__i", F.least("__own", "__other")).withColumn("__j", F.greatest("__own", "__other"))
+    # a tile paired with itself is both sides
+    side = F.when(F.col("__i") == F.col("__j"), 2).when(F.col("__own") == F.col("__i"), 0).otherwise(1)
+    return tiles.select("__fam", "__i", "__j", "__set", "__comp", "__n", "__sig", side.alias("__side"), "__full").groupBy("__fam", "__i", "__j").applyInArrow(_block(percent, least, percent), "src binary, dst binary")
+
+
+def _block(percent: int, least: float, decide: int | None):
+    """Pairs of a left and a right row of different components that pass the screen (and with ``decide``
+    the threshold on full sets), so many as join pieces: at most one less than the rows."""
+
     def run(t: pa.Table) -> pa.Table:
         side = t.column("__side").to_numpy()
         sig = np.frombuffer(b"".join(t.column("__sig").to_pylist()), np.uint8).reshape(t.num_rows, -1)
-        keys = np.array(t.column("__set").to_pylist(), dtype=object)
-        comp = np.unique(np.array(t.column("__comp").to_pylist(), dtype=object), return_inverse=True)[1]
+        keys = t.column("__set").to_pylist()
+        piece = np.unique(np.array(t.column("__comp").to_pylist(), dtype=object), return_inverse=True)[1]
+        full = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("__full")] if decide else None
         n = t.column("__n").to_numpy()
-        right = np.flatnonzero(side == 1)
-        src, dst = [], []
-        for i in np.flatnonzero(side == 0):
-            fit = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
-            for j in fit[(sig[fit] == sig[i]).sum(axis=1) >= least]:
-                src.append(min(keys[i], keys[j]))
-                dst.append(max(keys[i], keys[j]))
-        return pa.table({"src": pa.array(src, pa.binary()), "dst": pa.array(dst, pa.binary())})
-
-    return a.unionByName(b).groupBy("__b", "__i", "__j").applyInArrow(run, "src binary, dst binary").distinct()
+        right = np.flatnonzero(side >= 1)
+        out = []
+        for i in np.flatnonzero(side != 1):
+            fit = right[(piece[right] != piece[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
+            fit = fit[(sig[fit] == sig[i]).sum(axis=1) >= least]
+            for j in fit:
+                if piece[j] == piece[i]:
+                    continue
+                if decide:
+                    both = n[i] + n[j] - len(np.union1d(full[i], full[j]))
+                    if 100 * both < decide * (n[i] + n[j] - both):
+                        continue
+                out.append((keys[i], keys[j]))
+                piece[piece == piece[j]] = piece[i]
+        return pa.table({"src": pa.array((a for a, _ in out), pa.binary()), "dst": pa.array((b for _, b in out), pa.binary())})
+
+    return run
 
 
 def oracle(shingle: int = 4, percent: int = 80) -> str:
