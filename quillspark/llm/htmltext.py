@@ -194,7 +194,8 @@ def attribute_parts(attrs: str) -> int:
 
 
 N_PARTS = len(PART_NAMES)
-FEATURES = 18 + 3 * N_PARTS
+BASIC = 14
+FEATURES = BASIC + 3 * N_PARTS
 
 
 def nodes_and_features(root: Node) -> tuple[list[Node], list[int], np.ndarray]:
@@ -209,12 +210,10 @@ def nodes_and_features(root: Node) -> tuple[list[Node], list[int], np.ndarray]:
         parent.append(p)
         stack.extend((k, me) for k in reversed(n.kids))
     count = len(nodes)
-    commas, paragraphs, leaves, headings = ([0] * count for _ in range(4))
+    paragraphs, leaves, headings = ([0] * count for _ in range(3))
     for i in range(count - 1, -1, -1):
         n = nodes[i]
         if n.tag == "#":
-            t = "".join(n.text)
-            commas[i] = t.count(",") + t.count(".") + t.count(";")
             leaves[i] = 1
         elif n.tag == "p":
             paragraphs[i] += 1
@@ -224,10 +223,10 @@ def nodes_and_features(root: Node) -> tuple[list[Node], list[int], np.ndarray]:
             up = nodes[p]
             up.chars += n.chars
             up.linked += n.linked
-            for a in (commas, paragraphs, leaves, headings):
+            for a in (paragraphs, leaves, headings):
                 a[p] += a[i]
     total = max(1, nodes[0].chars)
-    own, above, before = [0] * count, [0] * count, 0
+    own, above = [0] * count, [0] * count
     rows = np.zeros((count, FEATURES), np.float32)
     head = []
     for i, n in enumerate(nodes):
@@ -242,15 +241,13 @@ def nodes_and_features(root: Node) -> tuple[list[Node], list[int], np.ndarray]:
         sib = len(up.kids) if p >= 0 else 1
         head.append(
             (
-                TAG_ID.get(n.tag, TAGS.index("other")), TAG_ID.get(up.tag, TAGS.index("other")), n.depth, np.log1p(n.chars), n.linked / text, commas[i] / text, leaves[i], n.chars / max(1, leaves[i]), paragraphs[i],
-                paragraphs[i] / max(1, leaves[i]), headings[i], sib, n.chars / max(1, up.chars), up.linked / max(1, up.chars), n.chars / total, before / total, up.chars / total, headings[0],
+                TAG_ID.get(n.tag, TAGS.index("other")), TAG_ID.get(up.tag, TAGS.index("other")), n.depth, np.log1p(n.chars), n.linked / text, leaves[i], n.chars / max(1, leaves[i]), paragraphs[i],
+                paragraphs[i] / max(1, leaves[i]), headings[i], sib, n.chars / max(1, up.chars), up.linked / max(1, up.chars), n.chars / total,
             )
         )
-        if n.tag == "#":
-            before += n.chars
-    rows[:, :18] = head
+    rows[:, :BASIC] = head
     bits = np.array([own, above, [own[p] if p >= 0 else 0 for p in parent]], np.int64)
-    rows[:, 18:] = ((bits[:, :, None] >> np.arange(N_PARTS)) & 1).transpose(1, 0, 2).reshape(count, -1)
+    rows[:, BASIC:] = ((bits[:, :, None] >> np.arange(N_PARTS)) & 1).transpose(1, 0, 2).reshape(count, -1)
     return nodes, parent, rows
 
 
@@ -262,7 +259,7 @@ class Trees:
         self.base, self.feature, self.cut, self.leaf = 0.0, [], [], []
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> "Trees":
-        edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, self.bins + 1)[1:-1])) for f in range(x.shape[1])]
+        edges = [self._edges(x[:, f]) for f in range(x.shape[1])]
         binned = np.stack([np.searchsorted(e, x[:, f], side="right") for f, e in enumerate(edges)], axis=1)
         wide, n = self.bins, len(y)
         self.base = float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
@@ -297,6 +294,11 @@ class Trees:
             self.leaf.append(value)
         return self
 
+    def _edges(self, v: np.ndarray) -> np.ndarray:
+        """Cuts between the values if they are few (rare flags keep theirs), else at quantiles."""
+        u = np.unique(v)
+        return (u[1:] + u[:-1]) / 2 if len(u) < self.bins else np.unique(np.quantile(v, np.linspace(0, 1, self.bins + 1)[1:-1]))
+
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         z, row = np.full(len(x), self.base), np.arange(len(x))
         for feature, cut, leaf in zip(self.feature, self.cut, self.leaf, strict=True):
@@ -386,16 +388,16 @@ def training_page(r: random.Random) -> str:
     prose = lambda *w: _prose(r, w)
     nav = lambda: _element(r, "nav", ("nav", "div", "ul", "nav"), f"<ul>{_links(r, r.randint(2, 12))}</ul>" if r.random() < 0.7 else " | ".join(f'<a href="#">{prose(1, 3)}</a>' for _ in range(5)))
     header = lambda: _element(r, "header", ("header", "div", "header"), f"<{r.choice(('h1', 'h2', 'p', 'div'))}><a href='/'>{prose(1, 5)}</a>" + (f"<p>{prose(2, 12)}</p>" if r.random() < 0.5 else ""))
-    ad = lambda: _element(r, "ad", ("div", "aside", "section", "div", "p"), r.choice((f"{prose(2, 60)}", f"<p>{prose(4, 80)}</p>", f"<a href='//ad'>{prose(1, 12)}</a>", f"<h3>{prose(1, 6)}</h3><p>{prose(3, 30)}</p>")))
-    notice = lambda: _element(r, "notice", ("div", "section", "aside", "dialog", "p"), r.choice((f"<p>{prose(5, 50)}</p><button>{prose(1, 2)}</button>", prose(5, 50))))
+    ad = lambda: _element(r, "ad", ("p",), prose(2, 40)) if r.random() < 0.15 else _element(r, "ad", ("div", "aside", "section", "div"), r.choice((f"{prose(2, 60)}", f"<p>{prose(4, 80)}</p>", f"<a href='//ad'>{prose(1, 12)}</a>", f"<h3>{prose(1, 6)}</h3><p>{prose(3, 30)}</p>")))
+    notice = lambda: _element(r, "notice", ("p",), prose(5, 40)) if r.random() < 0.15 else _element(r, "notice", ("div", "section", "aside", "dialog"), r.choice((f"<p>{prose(5, 50)}</p><button>{prose(1, 2)}</button>", prose(5, 50))))
     form = lambda: _element(r, "form", ("form", "form", "div"), f"<form action='/s'><label>{prose(1, 6)}</label><input name=q><p>{prose(2, 20)}</p><button>{prose(1, 2)}</button></form>" if r.random() < 0.5 else f"<h4>{prose(1, 5)}</h4><p>{prose(3, 25)}</p><input><select><option>{prose(1, 2)}</select>")
-    share = lambda: _element(r, "share", ("div", "ul", "p"), r.choice((f"<ul>{_links(r, 4)}</ul>", f"{prose(1, 6)} <a href='#'>{prose(1, 2)}</a>")))
+    share = lambda: _element(r, "share", ("div",), r.choice((f"<ul>{_links(r, 4)}</ul>", f"{prose(1, 6)} <a href='#'>{prose(1, 2)}</a>")))
     side = lambda: _element(r, "side", ("aside", "div", "aside", "section"), f"<h3>{prose(1, 5)}</h3>" + r.choice((f"<ul>{_links(r, r.randint(2, 9))}</ul>", f"<p>{prose(5, 90)}</p>", f"<div>{prose(5, 40)}</div><p>{prose(5, 40)}</p>")))
     reader = lambda: _element(r, "comment", ("div", "li", "article", "div"), f"<h4>{prose(1, 3)}</h4>" * r.randint(0, 1) + f"<p>{prose(3, 90)}</p>" * r.randint(1, 2))
     comments = lambda: _element(r, "comment", ("section", "div", "ol", "div"), f"<h3>{prose(1, 4)}</h3>" * r.randint(0, 1) + "".join(reader() if r.random() < 0.7 else f"<div><p>{prose(3, 80)}</p></div>" for _ in range(r.randint(1, 8))))
     foot = lambda: _element(r, "footer", ("footer", "div", "footer"), r.choice((f"&copy; {prose(1, 4)} &middot; {prose(2, 30)}", f"<p>{prose(3, 40)}</p>", f"<ul>{_links(r, 5)}</ul><p>{prose(2, 12)}</p>")))
     blocks = _main_blocks(r)
-    for extra, chance in ((ad, 0.25), (share, 0.15), (form, 0.1), (side, 0.1), (notice, 0.1)):
+    for extra, chance in ((ad, 0.35), (share, 0.2), (form, 0.25), (side, 0.15), (notice, 0.15), (nav, 0.1)):
         if r.random() < chance:
             blocks.insert(r.randint(0, len(blocks)), extra())
     body = "".join(blocks)
@@ -410,14 +412,16 @@ def training_page(r: random.Random) -> str:
         main = f"<div>{body}</div>"
     if r.random() < 0.3:
         main = r.choice(("<main>{}</main>", '<div class="container">{}</div>', '<div id="content">{}</div>', "<section>{}</section>")).format(main)
-    top = [f() for f, c in ((notice, 0.25), (header, 0.5), (nav, 0.8), (ad, 0.4), (form, 0.15), (side, 0.15)) if r.random() < c]
-    end = [f() for f, c in ((share, 0.2), (comments, 0.35), (side, 0.35), (ad, 0.25), (form, 0.2), (nav, 0.15), (notice, 0.15), (foot, 0.85)) if r.random() < c]
+    rich = r.choice((0.0, 0.5, 1.0, 1.0, 1.0))  # some pages have little beside the main text
+    top = [f() for f, c in ((notice, 0.25), (header, 0.5), (nav, 0.8), (ad, 0.4), (form, 0.15), (side, 0.15)) if r.random() < c * rich]
+    end = [f() for f, c in ((share, 0.2), (comments, 0.35), (side, 0.35), (ad, 0.25), (form, 0.2), (nav, 0.15), (notice, 0.15), (foot, 0.85)) if r.random() < c * rich]
     r.shuffle(top)
     inner = "".join(top) + main + "".join(end)
     if r.random() < 0.3:
         inner = r.choice(('<div id="page">{}</div>', '<div class="wrapper">{}</div>', "<div>{}</div>")).format(inner)
     tail = "</body></html>" if r.random() < 0.85 else ""
-    return f"<!DOCTYPE html><html><head><title>{prose(2, 8)}</title><style>p{{}}</style><script>var a='<p>';</script></head><body>{inner}{tail}"
+    head = f"<!DOCTYPE html><html><head><title>{prose(2, 8)}</title><style>p{{}}</style><script>var a='<p>';</script></head><body>" if r.random() < 0.85 else r.choice(("<body>", "<html><body>", ""))
+    return f"{head}{inner}{tail}"
 
 
 @functools.lru_cache(maxsize=2)
