@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import materialise, row_key
+from quillspark.llm.common import boxed, materialise, row_key, unboxed
 
 KINDS = ("email", "ip", "card", "phone")
 #: The rules' patterns, in the form that Java matches without stack growth or rescanning: groups
@@ -86,7 +86,7 @@ def _key() -> Column:
 
 def shape(token: Column) -> Column:
     """A token's shape: runs of letters become a, of digits 9, mixed ones x; other characters stay."""
-    mixed = F.regexp_replace(token, "[A-Za-z]+[0-9][A-Za-z0-9]*|[0-9]+[A-Za-z][A-Za-z0-9]*", "\u0001")
+    mixed = F.regexp_replace(token, "(?<![A-Za-z0-9])(?:[A-Za-z]++[0-9]|[0-9]++[A-Za-z])[A-Za-z0-9]*+", "\u0001")
     return F.translate(F.regexp_replace(F.regexp_replace(mixed, r"\p{L}+", "a"), "[0-9]+", "9"), "\u0001", "x")
 
 
@@ -97,8 +97,10 @@ def discovered(tokens: DataFrame, rule_matches: DataFrame, rounds: int, confiden
     ``__ok``. A candidate that touches a rule's match is a seed of its kind, or refused.
     """
     t = tokens.select("__id", "__key", F.rtrim(F.col("__m"), F.lit(".,;:!?)\"'")).alias("__v"), "__start", "__left", "__right").withColumn("__end", F.col("__start") + F.length("__v")).where("__end > __start")
-    r = rule_matches.select(F.col("__id").alias("__rid"), F.col("__key").alias("__rkey"), F.col("__kind").alias("__rkind"), F.col("__start").alias("__rs"), F.col("__end").alias("__re"), "__ok")
-    touch = t.join(r, t["__id"].eqNullSafe(r["__rid"]) & (t["__key"] == r["__rkey"]) & (t["__start"] < r["__re"]) & (r["__rs"] < t["__end"]), "left")
+    r = rule_matches.select(F.col("__key").alias("__rkey"), F.col("__kind").alias("__rkind"), F.col("__start").alias("__rs"), F.col("__end").alias("__re"), "__ok")
+    # spans meet by stretches of 64 characters, so a text with many of both doesn't pair them all
+    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / 64), F.floor((F.col(b) - 1) / 64)))
+    touch = t.withColumn("__c", cells("__start", "__end")).join(r.withColumn("__rc", cells("__rs", "__re")), (F.col("__key") == F.col("__rkey")) & (F.col("__c") == F.col("__rc")) & (F.col("__start") < F.col("__re")) & (F.col("__rs") < F.col("__end")), "left")
     t = touch.groupBy(*t.columns).agg(F.min(F.when(F.col("__ok"), F.col("__rkind"))).alias("__seed"), F.coalesce(F.max(F.lit(True) & F.col("__rkind").isNotNull()), F.lit(False)).alias("__seen"))
     pats = F.array(F.concat_ws("\u0002", F.lit("L"), "__left", "__shape"), F.concat_ws("\u0002", F.lit("R"), "__shape", "__right"), F.concat_ws("\u0002", F.lit("B"), "__left", "__right"))
     t = materialise(t.withColumn("__shape", shape(F.col("__v"))).withColumn("__pats", pats), "pii-tokens")
@@ -134,7 +136,7 @@ def find_pii(docs: DataFrame, rounds: int = 3, confidence: float = 0.9, support:
     grouped = spans.groupBy("__id", "__key").agg(F.array_sort(F.collect_set(F.when(F.col("__rule"), item))).alias("__base"), F.array_sort(F.collect_set(item)).alias("__spans"))
     d = docs.select("doc_id", row_key("doc_id", "text").alias("__dkey"))
     none = F.array().cast("array<struct<n:int,kind:string,start:bigint,end:bigint>>")
-    return d.join(grouped, d["doc_id"].eqNullSafe(grouped["__id"]) & (d["__dkey"] == grouped["__key"]), "left").select("doc_id", F.col("__dkey").alias("__key"), F.coalesce("__base", none).alias("__base"), F.coalesce("__spans", none).alias("__spans"))
+    return d.join(grouped.drop("__id"), F.col("__dkey") == F.col("__key"), "left").select("doc_id", F.col("__dkey").alias("__key"), F.coalesce("__base", none).alias("__base"), F.coalesce("__spans", none).alias("__spans"))
 
 
 def digests(docs: DataFrame, **params) -> DataFrame:
@@ -152,16 +154,17 @@ def mask(docs: DataFrame, **params) -> DataFrame:
     Null and empty texts stay. Other columns pass, whatever their names.
     """
     found = find_pii(docs, **params).where("size(__spans) > 0").dropDuplicates(["doc_id", "__key"]).select(F.col("doc_id").alias("__id"), "__key", F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("neg"), s["kind"].alias("kind")))).alias("__spans"))
-    d = docs.select(*(F.col(f"`{c}`") for c in docs.columns), row_key("doc_id", "text").alias("__dkey"))
-    j = d.join(found, d["doc_id"].eqNullSafe(found["__id"]) & (d["__dkey"] == found["__key"]), "left")
+    d, keep = boxed(docs)
+    j = d.join(found.drop("__id"), "__key", "left")
+    old = unboxed("text")
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        gap = F.substring(old, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         added = F.struct((-s["neg"]).alias("at"), F.concat(acc["parts"], F.array(F.concat(gap, F.lit("<"), F.upper(s["kind"]), F.lit(">")))).alias("parts"))
         grown = F.struct(F.greatest(acc["at"], -s["neg"]).alias("at"), acc["parts"].alias("parts"))
         return F.when(s["start"] >= acc["at"], added).otherwise(grown)
 
-    done = F.aggregate("__spans", zero, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))))
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(done)
-    return j.select(*(text.alias(c) if c == "text" else d[f"`{c}`"] for c in docs.columns))
+    done = F.aggregate("__spans", zero, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(old, (acc["at"] + 1).cast("int"), F.length(old))))
+    text = F.when(F.col("__spans").isNull(), old).otherwise(done)
+    return j.select(*(text.alias(c) if c == "text" else unboxed(c) for c in keep))
