@@ -57,6 +57,17 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks(path), special_tokens={})
 
 
+def boxed(docs: DataFrame, drop: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """(__key, __doc): each row's key, and the row as one struct without the columns of ``drop``, with the names
+    kept. In a struct no column of a caller can clash with a column that an operator joins to it."""
+    keep = [c for c in docs.columns if c not in drop]
+    return docs.select(row_key("doc_id", "text").alias("__key"), F.struct(*(F.col(f"`{c}`") for c in keep)).alias("__doc")), keep
+
+
+def unboxed(name: str):
+    return F.col(f"__doc.`{name}`")
+
+
 def row_key(*cols: str):
     """128 bits that identify a row's values; nulls and empty strings differ."""
     parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in cols]

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import materialise, row_key
+from quillspark.llm.common import boxed, materialise, row_key, unboxed
 
 
 def line_words(line: Column) -> Column:
@@ -77,18 +77,19 @@ def dedup_lines(docs: DataFrame, words: int = 50) -> DataFrame:
     stays null (n_lines 0); an empty one has one empty line. Rows that repeat both doc_id and
     text count once as a source and share one result; a null doc_id comes before all others. Other
     columns pass, whatever their names; columns named n_lines and n_removed are replaced. All
-    documents stay, also those of which no line is left (their text is empty).
+    documents stay, also those of which no line is left (their text is empty). Empty lines inside a
+    deleted run go with it. A run that repeats itself at once (one line over and over) keeps one period.
     """
     gone = repeated_lines(docs, words)
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    d = docs.select(*(F.col(f"`{c}`") for c in keep), row_key("doc_id", "text").alias("__key"))
-    j = d.join(gone, d["doc_id"].eqNullSafe(gone["__id"]) & (d["__key"] == gone["__key"]), "left")
-    lines = F.split("text", "\n", -1)
+    d, keep = boxed(docs, ("n_lines", "n_removed"))
+    j = d.join(gone.drop("__id"), "__key", "left")
+    old = unboxed("text")
+    lines = F.split(old, "\n", -1)
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone")), lambda i: F.get(lines, i))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
-    removed = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
-    return j.select(*(text.alias(c) if c == "text" else d[f"`{c}`"] for c in keep), n_lines.alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(removed).cast("long").alias("n_removed"))
+    text = F.when(F.col("__gone").isNull(), old).otherwise(F.array_join(kept, "\n"))
+    n_lines = F.when(old.isNull(), 0).otherwise(F.size(lines)).cast("long")
+    removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long")
+    return j.select(*(text.alias(c) if c == "text" else unboxed(c) for c in keep), n_lines.alias("n_lines"), removed.alias("n_removed"))
 
 
 def oracle(documents: str = "documents", words: int = 50) -> str:

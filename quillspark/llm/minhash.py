@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import materialise, row_key
+from quillspark.llm.common import boxed, materialise, row_key, unboxed
 from quillspark.llm.graph import components
 
 UNIVERSE = 1 << 20
@@ -160,8 +160,6 @@ def near_texts(docs: DataFrame, shingle: int = 4, percent: int = 80, bands: int
     their names; columns of the three names are replaced. A pair at the threshold is missed with a
     probability of about 7e-6, one of similarity 0.9 with less than 1e-12.
     """
-    if not docs.columns:
-        raise ValueError("no columns")
     text = docs.select(row_key("doc_id", "text").alias("__row"), "text")
     sigs = materialise(text.mapInArrow(_signatures(shingle, bands, rows), "__row binary, __n long, __set binary, __sig binary, __bands array<long>"), "minhash")
     nodes = sigs.where("__set is not null").groupBy("__set").agg(F.min("__row").alias("__row"), F.first("__n").alias("__n"), F.first("__sig").alias("__sig"), F.first("__bands").alias("__bands"))
@@ -178,14 +176,14 @@ def near_texts(docs: DataFrame, shingle: int = 4, percent: int = 80, bands: int
     more = materialise(_within(families, roots, nodes, docs, shingle, percent, least, block), "minhash-more")
     roots = components(links.unionByName(more))
     named = sigs.join(roots, F.col("node") == F.col("__set"), "left").select("__row", "__n", F.coalesce("root", "__set").alias("__root")).dropDuplicates(["__row"])
-    keep = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")]
-    d = docs.select(*(F.col(f"`{c}`") for c in keep), row_key("doc_id", "text").alias("__key"))
+    d, keep = boxed(docs, ("n_shingles", "component_id", "kept"))
     ids = docs.select(F.col("doc_id").alias("__id"), row_key("doc_id", "text").alias("__row")).join(named, "__row").where("__root is not null")
     names = ids.groupBy("__root").agg(F.min("__id").alias("__least"))
     named = named.join(names.withColumnRenamed("__root", "__r"), F.col("__r") == F.col("__root"), "left").select("__row", "__n", "__root", "__least")
-    j = d.join(named, d["__key"] == named["__row"], "left")
-    component = F.when(F.col("__root").isNull(), d["doc_id"]).otherwise(F.col("__least"))
-    return j.select(*(d[f"`{c}`"] for c in keep), F.col("__n").alias("n_shingles"), component.alias("component_id"), F.coalesce(d["doc_id"] == component, F.lit(False)).alias("kept"))
+    j = d.join(named, F.col("__key") == F.col("__row"), "left")
+    own = unboxed("doc_id")
+    component = F.when(F.col("__root").isNull(), own).otherwise(F.col("__least"))
+    return j.select(*map(unboxed, keep), F.col("__n").alias("n_shingles"), component.alias("component_id"), F.coalesce(own == component, F.lit(False)).alias("kept"))
 
 
 def _screened(pairs: DataFrame, nodes: DataFrame, percent: int, least: float) -> DataFrame:
