@@ -70,3 +70,15 @@ def should_retry(method: Column, status: Column, attempt: Column, most: int = 4)
 
 def head_state(status: Column) -> Column:
     return F.when(status == 200, "present").when(status == 404, "missing").otherwise("error")
+
+
+def figure_parts(url: Column, host: str) -> Column:
+    """year, key, file and problem of an image URL: https, the host, no query or fragment, five decodable segments."""
+    path = F.regexp_replace(url, "^https://[^/]+/", "")
+    seg = F.split(path, "/")
+    name = F.try_url_decode(F.get(seg, F.lit(4)))
+    problem = (
+        F.when(~url.startswith(f"https://{host}/"), "another host").when(url.rlike("[?#]"), "query or fragment").when(F.size(seg) != 5, "not five segments")
+        .when(name.isNull(), "does not decode").when(name.rlike(r"^[.]{1,2}$|/"), "not a file name")
+    )
+    return F.struct(F.get(seg, F.lit(2)).alias("year"), F.get(seg, F.lit(3)).alias("key"), name.alias("file"), problem.alias("problem"))

@@ -81,6 +81,11 @@ def one_edition(urls: DataFrame, edition: str) -> DataFrame:
     return violation(urls.where(F.col("edition") != edition), "edition", "url", "concat('edition ', edition)")
 
 
+def plausible(urls: DataFrame, least: int = 100) -> DataFrame:
+    """A list of links too short to be a whole crawl."""
+    return violation(urls.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < least).withColumn("list", F.lit("links")), "plausible", "list", "concat('only ', n)")
+
+
 def evidenced(rulings: DataFrame, least: int = 80) -> DataFrame:
     """Rulings without enough evidence."""
     return violation(rulings.where((F.length("evidence") < least) | F.col("evidence").isNull()), "evidence", "id", "concat(coalesce(length(evidence), 0), ' characters')")
