@@ -34,10 +34,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table into the shared folder and read it back.
 
     Unlike a cache the files outlive executors, and unlike an RDD checkpoint they are columnar
-    and compressed, so later steps read only the columns they name.
+    and compressed, so later steps read only the columns they name. The driver's JVM deletes them
+    when it ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

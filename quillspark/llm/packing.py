@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import functools
 import json
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -19,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quillspark.llm.common import materialise
 
@@ -97,11 +97,13 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int = 1, size: int =
     of their own, a null doc_id stays null. An empty table gives no rows. Memory: ``open_windows``
     windows a task; a merging task reads what ``fan_in`` tasks left open.
     """
-    n = docs.rdd.getNumPartitions() if not docs.isStreaming else 1
     first = docs.select("doc_id", "text").mapInArrow(functools.partial(_pack_partition, path=path, pattern=pattern, end_id=end_id, size=size, most=open_windows, fan_in=fan_in), SCHEMA)
     pieces = materialise(first, "pack")
     out, left = pieces.where("ids is null").drop("ids", "unit"), pieces.where("ids is not null")
-    levels = max(1, math.ceil(math.log(max(n, 2), fan_in)))
+    groups = (left.agg(F.max("unit")).first()[0] or 0) + 1
+    levels = 1
+    while groups > 1:
+        groups, levels = -(-groups // fan_in), levels + 1
     for level in range(1, levels + 1):
         merged = left.groupBy("unit").applyInArrow(_merger(level, level == levels, size, fan_in), SCHEMA)
         if level < levels:
