@@ -35,12 +35,12 @@ def query(sql: str | None = None):
 
 
 #: Slug of the first line of a text, in DuckDB.
-SLUG = "regexp_replace(regexp_replace(lower(strip_accents(substr(string_split(text, chr(10))[1], 1, 80))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+SLUG = "regexp_replace(regexp_replace(lower(strip_accents(string_split(text, chr(10))[1])), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
 CAPPED = "CASE WHEN length(slug) <= 60 THEN slug ELSE regexp_replace(coalesce(nullif(regexp_extract(substr(slug, 1, 61), '^(.+)-[^-]*$', 1), ''), substr(slug, 1, 60)), '-+$', '') END"
 
 
 def _title():
-    return F.substring(F.split("text", "\n")[0], 1, 80)
+    return F.split("text", "\n")[0]
 
 
 def _units(d: DataFrame) -> DataFrame:
@@ -264,18 +264,18 @@ def error_islands(spark, sf):
 
 
 @query("""
-WITH r AS (SELECT * FROM part WHERE p_partkey % 7 = 0), l AS (SELECT * FROM part WHERE p_partkey % 7 <> 0),
+WITH r AS (SELECT * FROM part WHERE p_type = 'ECONOMY'), l AS (SELECT * FROM part WHERE p_type <> 'ECONOMY'),
 t AS (
   SELECT l.p_partkey, 1 AS rule, min(r.p_partkey) AS match, count(DISTINCT r.p_partkey) AS matches FROM l JOIN r ON l.p_name || '|' || l.p_brand = r.p_name || '|' || r.p_brand GROUP BY 1
   UNION ALL SELECT l.p_partkey, 2, min(r.p_partkey), count(DISTINCT r.p_partkey) FROM l JOIN r ON l.p_brand || '|' || l.p_size = r.p_brand || '|' || r.p_size GROUP BY 1
-  UNION ALL SELECT l.p_partkey, 3, min(r.p_partkey), count(DISTINCT r.p_partkey) FROM l JOIN r ON l.p_type || '|' || l.p_size = r.p_type || '|' || r.p_size GROUP BY 1)
+  UNION ALL SELECT l.p_partkey, 3, min(r.p_partkey), count(DISTINCT r.p_partkey) FROM l JOIN r ON l.p_name || '|' || l.p_size = r.p_name || '|' || r.p_size GROUP BY 1)
 SELECT l.p_partkey, coalesce(t.rule, 0) AS rule, coalesce(t.match, -1) AS match, coalesce(t.matches, 0) AS matches FROM l LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY rule) AS k FROM t) t ON t.p_partkey = l.p_partkey AND t.k = 1""")
 def tiered_name_join(spark, sf):
     """The first rule that matches, and whether it is ambiguous (brands and types stand for stems)."""
     p = table(spark, sf, "part")
     key = lambda *c: F.concat_ws("|", *c)
-    tiers = [(key("p_name", "p_brand"),) * 2, (key("p_brand", "p_size"),) * 2, (key("p_type", "p_size"),) * 2]
-    return joins.tiered(p.where("p_partkey % 7 <> 0"), p.where("p_partkey % 7 = 0"), tiers, "p_partkey", "p_partkey").select("p_partkey", F.coalesce("rule", F.lit(0)).alias("rule"), F.coalesce("match", F.lit(-1)).alias("match"), F.coalesce("matches", F.lit(0)).alias("matches"))
+    tiers = [(key("p_name", "p_brand"),) * 2, (key("p_brand", "p_size"),) * 2, (key("p_name", "p_size"),) * 2]
+    return joins.tiered(p.where("p_type <> 'ECONOMY'"), p.where("p_type = 'ECONOMY'"), tiers, "p_partkey", "p_partkey").select("p_partkey", F.coalesce("rule", F.lit(0)).alias("rule"), F.coalesce("match", F.lit(-1)).alias("match"), F.coalesce("matches", F.lit(0)).alias("matches"))
 
 
 @query("SELECT r_name AS edition, n_name AS dir, count(*) AS files FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)")
@@ -285,23 +285,23 @@ def census_rollup(spark, sf):
     return fold.census(s.select(F.concat_ws("/", "r_name", "n_name", F.col("s_suppkey").cast("string")).alias("path")))
 
 
-RECON = "SELECT lang || '/' || source || '/' || doc_id || '.md' AS path, lang || '/' || source AS dir, doc_id, source FROM documents"
+RECON = "SELECT lang || '/' || source || '/' || doc_id || '.md' AS path, lang || '/' || source AS dir, doc_id, source, lang FROM documents"
 
 
 @query(f"""
-SELECT path, CASE WHEN doc_id % 3 = 0 THEN 'keep' WHEN source IN ('src1', 'src2') THEN 'delete' WHEN source <> 'src9' THEN 'leave' ELSE 'delete' END AS action FROM ({RECON})""")
+SELECT path, CASE WHEN lang = 'en' THEN 'keep' WHEN source IN ('src1', 'src2') THEN 'delete' WHEN source <> 'src9' THEN 'leave' ELSE 'delete' END AS action FROM ({RECON})""")
 def reconcile_plan(spark, sf):
     """U2, U9, ST2: what to keep, delete and leave of what is on disk."""
-    p = table(spark, sf, "documents").select(F.concat(F.col("lang"), F.lit("/"), F.col("source"), F.lit("/"), F.col("doc_id"), F.lit(".md")).alias("path"), F.concat_ws("/", "lang", "source").alias("dir"), "doc_id", "source")
-    return ordered.reconcile(p.select("path"), p.where("doc_id % 3 = 0"), p.where("source in ('src1', 'src2')"), p.where("source <> 'src9'"))
+    p = table(spark, sf, "documents").select(F.concat(F.col("lang"), F.lit("/"), F.col("source"), F.lit("/"), F.col("doc_id"), F.lit(".md")).alias("path"), F.concat_ws("/", "lang", "source").alias("dir"), "lang", "source")
+    return ordered.reconcile(p.select("path"), p.where("lang = 'en'"), p.where("source in ('src1', 'src2')"), p.where("source <> 'src9'"))
 
 
 @query("""
-WITH f AS (SELECT DISTINCT o_custkey AS k FROM orders), l AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0)
+WITH f AS (SELECT DISTINCT o_custkey AS k FROM orders), l AS (SELECT c_custkey AS k FROM customer WHERE c_mktsegment <> 'BUILDING')
 SELECT coalesce(f.k, l.k) AS k, CASE WHEN l.k IS NULL THEN 'unlisted' ELSE 'dead' END AS side FROM f FULL JOIN l ON f.k = l.k WHERE f.k IS NULL OR l.k IS NULL""")
 def forward_references(spark, sf):
     """Found against listed, both differences."""
-    return ordered.both_ways(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k")), "k")
+    return ordered.both_ways(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("k")), "k")
 
 
 @query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_nationkey = 3")
@@ -314,7 +314,7 @@ def dead_rulings(spark, sf):
 @query("""
 WITH refs AS (SELECT o_orderkey AS ref, o_custkey AS conref, o_custkey % 500 AS id, CASE WHEN o_orderkey % 5 = 0 THEN (o_custkey + 1) % 500 ELSE o_custkey % 500 END AS title_id FROM orders),
 c AS (SELECT c_custkey AS conref, CASE WHEN c_custkey % 9 = 0 THEN (c_custkey + 2) % 500 ELSE c_custkey % 500 END AS id FROM customer),
-byid AS (SELECT id, min(conref) AS id_conref, count(*) AS id_files FROM c GROUP BY id), rul AS (SELECT o_orderkey AS ref, 'omit' AS action FROM orders WHERE o_orderkey % 11 = 0)
+byid AS (SELECT id, min(conref) AS id_conref, count(*) AS id_files FROM c GROUP BY id), rul AS (SELECT o_orderkey AS ref, 'omit' AS action FROM orders WHERE o_orderpriority = '1-URGENT')
 SELECT r.ref, CASE WHEN r.id = c.id AND r.title_id = c.id THEN 'agree' WHEN r.id = c.id THEN 'title-only' WHEN r.title_id = c.id THEN coalesce(rul.action, 'id-only')
   WHEN r.id = r.title_id AND b.id_files = 1 THEN 'redirect' ELSE coalesce(rul.action, 'unresolved') END AS decision
 FROM refs r LEFT JOIN c ON c.conref = r.conref LEFT JOIN byid b ON b.id = r.title_id LEFT JOIN rul ON rul.ref = r.ref""")
@@ -327,17 +327,17 @@ def identity_join(spark, sf):
     files = c.select(k.alias("conref"), F.when(k % 9 == 0, (k + 2) % 500).otherwise(k % 500).alias("id"))
     by_file = files.withColumnRenamed("id", "file_id")
     by_id = files.groupBy("id").agg(F.min("conref").alias("id_conref"), F.count(F.lit(1)).alias("id_files")).withColumnRenamed("id", "title_id")
-    rulings = o.where("o_orderkey % 11 = 0").select(F.col("o_orderkey").alias("ref"), F.lit("omit").alias("action"))
+    rulings = o.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("ref"), F.lit("omit").alias("action"))
     j = refs.join(by_file, "conref", "left").join(by_id, "title_id", "left").join(rulings, "ref", "left")
     a, b = F.col("id") == F.col("file_id"), F.col("title_id") == F.col("file_id")
     d = F.when(a & b, "agree").when(a, "title-only").when(b, F.coalesce("action", F.lit("id-only"))).when((F.col("id") == F.col("title_id")) & (F.col("id_files") == 1), "redirect").otherwise(F.coalesce("action", F.lit("unresolved")))
     return j.select("ref", d.alias("decision"))
 
 
-@query("SELECT category, count(*) AS n FROM (SELECT CASE WHEN trim(line) = '' THEN 'other' WHEN contains(line, ':') THEN trim(string_split(line, ':')[1]) ELSE 'text' END AS category FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE length(line) < 40) GROUP BY category")
+@query("SELECT category, count(*) AS n FROM (SELECT CASE WHEN trim(line) = '' THEN 'other' WHEN contains(line, ':') THEN trim(string_split(line, ':')[1]) ELSE 'text' END AS category FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY category")
 def warning_categories(spark, sf):
-    """A4: lines by what stands before their first colon (short lines stand for warnings)."""
-    lines = table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) < 40")
+    """A4: lines by what stands before their first colon (lines stand for warnings)."""
+    lines = table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
     c = F.when(F.trim("line") == "", "other").when(F.contains("line", F.lit(":")), fold.warning_category(F.col("line"))).otherwise("text")
     return lines.groupBy(c.alias("category")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -382,11 +382,11 @@ YAML_BAD = " OR ".join(f"regexp_matches(x, '{p.replace(chr(39), chr(39) * 2)}')"
 
 
 @query(rf"""
-WITH v AS (SELECT DISTINCT x FROM (SELECT url AS x FROM pages UNION ALL SELECT substr(text, 1, 40) FROM documents UNION ALL SELECT p_size::VARCHAR FROM part UNION ALL SELECT props FROM events UNION ALL SELECT c_name || ' #' FROM customer))
+WITH v AS (SELECT DISTINCT x FROM (SELECT url AS x FROM pages UNION ALL SELECT string_split(text, chr(10))[1] FROM documents UNION ALL SELECT p_size::VARCHAR FROM part UNION ALL SELECT props FROM events UNION ALL SELECT c_name || ' #' FROM customer))
 SELECT x, CASE WHEN {YAML_BAD} THEN '"' || replace(replace(replace(replace(replace(x, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t') || '"' ELSE x END AS scalar FROM v""")
 def yaml_scalars(spark, sf):
     """Which values need quotes, and their escapes."""
-    parts = [table(spark, sf, "pages").select(F.col("url").alias("x")), table(spark, sf, "documents").select(F.substring("text", 1, 40).alias("x")), table(spark, sf, "part").select(F.col("p_size").cast("string").alias("x")), table(spark, sf, "events").select(F.col("props").alias("x")), table(spark, sf, "customer").select(F.concat("c_name", F.lit(" #")).alias("x"))]
+    parts = [table(spark, sf, "pages").select(F.col("url").alias("x")), table(spark, sf, "documents").select(F.split("text", "\n")[0].alias("x")), table(spark, sf, "part").select(F.col("p_size").cast("string").alias("x")), table(spark, sf, "events").select(F.col("props").alias("x")), table(spark, sf, "customer").select(F.concat("c_name", F.lit(" #")).alias("x"))]
     v = parts[0]
     for p in parts[1:]:
         v = v.unionByName(p)
