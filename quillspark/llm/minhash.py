@@ -32,6 +32,8 @@ from quillspark.llm.common import boxed, materialise, row_key, unboxed
 from quillspark.llm.graph import components
 
 UNIVERSE = 1 << 20
+#: Texts whose words are in a worker's memory at once.
+SLICE = 250
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,8 +94,8 @@ def _signatures(k: int, bands: int, rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                b = whole.slice(at, 2000)
+            for at in range(0, whole.num_rows, SLICE):
+                b = whole.slice(at, SLICE)
                 sets = shingle_sets(b.column("text"), k)
                 sigs = np.array([signature(s, bands * rows) for s in sets]).reshape(len(sets), -1)
                 keys = mix((sigs.reshape(len(sets), bands, rows).astype(np.uint64) * weights).sum(axis=2) + label).view(np.int64)
@@ -114,8 +116,10 @@ def _signatures(k: int, bands: int, rows: int):
 
 def _full_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("__set"), pa.array((s.tobytes() for s in shingle_sets(b.column("text"), k)), pa.binary())], names=["__set", "__full"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                b = whole.slice(at, SLICE)
+                yield pa.RecordBatch.from_arrays([b.column("__set"), pa.array((s.tobytes() for s in shingle_sets(b.column("text"), k)), pa.binary())], names=["__set", "__full"])
 
     return run
 
