@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as tokens
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, embeddings, htmltext, linededup, media, minhash, packing, pii, toxicity
+from quillspark.llm import bpe, embeddings, htmltext, linededup, media, minhash, packing, pii, tokencounts, toxicity
 from quillspark.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_tokens(table(spark, sf_dir, "documents"), tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN)
+
+
 def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -55,7 +59,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash, op10_htmltext, pipeline)}
+    return {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash, op10_htmltext, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
