@@ -48,7 +48,7 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens; every document lies in them wholly."""
-    return packing.pack(docs, tokens.path("byte_bpe_50k.json"), tokens.PATTERN)
+    return packing.pack(docs, tokens.path("byte_bpe_50k.json"), tokens.PATTERN, added_tokens=True)
 
 
 STAGES = [("toxicity", drop_toxic), ("line dedup", dedup_lines), ("MinHash near-dedup", dedup_texts), ("PII", mask_pii), ("packing", pack)]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,11 +31,11 @@ LEVEL, UNIT = 1 << 58, 1 << 30
 
 @functools.lru_cache(maxsize=2)
 def tokenizer_core(path: str, pattern: str):
-    """Encoder for the vocabulary of a ``tokenizers`` JSON file, as that library encodes ordinary text.
+    """Encoder for the vocabulary of a ``tokenizers`` JSON file, and the ids of the tokens the file adds.
 
     In a byte-level BPE file the order of ids is the order of merges, so the vocabulary is its own
-    table of ranks; characters stand for bytes by the usual printable mapping. Tokens the file
-    adds besides (special ones) are left out: their strings in a text are ordinary text.
+    table of ranks; characters stand for bytes by the usual printable mapping. The encoder knows
+    none of the added tokens (special ones): to it their strings are ordinary text.
     """
     import tiktoken
 
@@ -42,9 +43,28 @@ def tokenizer_core(path: str, pattern: str):
         doc = json.load(f)
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
-    added = {t["content"] for t in doc.get("added_tokens", [])}
+    added = {t["content"]: t["id"] for t in doc.get("added_tokens", [])}
+    if any(t[k] for t in doc.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that take in white space, need word bounds or are normalised")
     table = {bytes(byte_of[c] for c in t): i for t, i in doc["model"]["vocab"].items() if t not in added}
-    return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=table, special_tokens={}), added
+
+
+def encoder(path: str, pattern: str, added_tokens: bool):
+    """Function from a text to its ids. added_tokens: strings of added tokens in a text are these tokens, as
+    ``tokenizers`` has it by default; else they are ordinary text, as with its ``encode_special_tokens``."""
+    core, added = tokenizer_core(path, pattern)
+    plain = lambda t: np.frombuffer(core._core_bpe.encode_to_tiktoken_buffer(t, set()), np.uint32)
+    if not added_tokens or not added:
+        return plain
+    # of two that start at one place the longer one counts
+    split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split
+
+    def encode(text: str) -> np.ndarray:
+        parts = split(text)
+        return plain(text) if len(parts) == 1 else np.concatenate([np.array([added[x]], np.uint32) if i % 2 else plain(x) for i, x in enumerate(parts)])
+
+    return encode
 
 
 class Packer:
@@ -90,14 +110,15 @@ class Packer:
         return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, types, strict=True)), pa.array([unit] * n, pa.int64())], names=NAMES)
 
 
-def pack(docs: DataFrame, path: str, pattern: str, end_id: int = 1, size: int = 2048, open_windows: int = 32, fan_in: int = 64) -> DataFrame:
+def pack(docs: DataFrame, path: str, pattern: str, end_id: int = 1, size: int = 2048, open_windows: int = 32, fan_in: int = 64, added_tokens: bool = False) -> DataFrame:
     """Pieces of packed sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null or empty text is a document of ``end_id`` alone. Repeated rows are packed as documents
-    of their own, a null doc_id stays null. An empty table gives no rows. Memory: ``open_windows``
+    of their own, a null doc_id stays null. An empty table gives no rows. added_tokens: as in
+    ``encoder``; the query and the pipeline set it. Memory: ``open_windows``
     windows a task; a merging task reads what ``fan_in`` tasks left open.
     """
-    first = docs.select("doc_id", "text").mapInArrow(functools.partial(_pack_partition, path=path, pattern=pattern, end_id=end_id, size=size, most=open_windows, fan_in=fan_in), SCHEMA)
+    first = docs.select("doc_id", "text").mapInArrow(functools.partial(_pack_partition, path=path, pattern=pattern, end_id=end_id, size=size, most=open_windows, fan_in=fan_in, added_tokens=added_tokens), SCHEMA)
     pieces = materialise(first, "pack")
     out, left = pieces.where("ids is null").drop("ids", "unit"), pieces.where("ids is not null")
     groups = (left.agg(F.max("unit")).first()[0] or 0) + 1
@@ -113,14 +134,13 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int = 1, size: int =
     return out
 
 
-def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int, size: int, most: int, fan_in: int) -> Iterator[pa.RecordBatch]:
-    core = tokenizer_core(path, pattern)._core_bpe
+def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int, size: int, most: int, fan_in: int, added_tokens: bool = False) -> Iterator[pa.RecordBatch]:
+    encode = encoder(path, pattern, added_tokens)
     unit = TaskContext.get().partitionId()
     p = Packer(size, most, unit * UNIT)
     for b in batches:
         for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-            ids = np.frombuffer(core.encode_to_tiktoken_buffer(text.as_py() or "", set()), np.uint32)
-            ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+            ids = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
             p.add(doc, 0, ids, len(ids))
         if p.done:
             yield p.batch(-1)

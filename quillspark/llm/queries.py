@@ -41,7 +41,7 @@ def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokens.path("byte_bpe_50k.json"), tokens.PATTERN)
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.path("byte_bpe_50k.json"), tokens.PATTERN, added_tokens=True)
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,3 +62,18 @@ def test_odd_rows(spark):
     want = sum(len(t.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in odd(spark).collect())
     assert sum(r["length"] for r in rows) == want and any(r["doc_id"] is None for r in rows)
     assert packing.pack(empty(spark), PATH, P.PATTERN).count() == 0
+
+
+def test_added_tokens_in_query_and_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    end = "<|endoftext|>"
+    texts = dict(enumerate([f"a{end}b", end, f"{end}{end} x  {end}\n\n y", f"<|endoftext {end[:-1]}", None, "plain"]))
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tokenizer.from_file(PATH)
+    for rows in (queries.op8_packing(spark, str(tmp_path)).collect(), corpus_pipeline.pack(spark, d, "").collect()):
+        assert {r["doc_id"] for r in rows} == set(texts)
+        for r in rows:
+            ids = np.array([*t.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 1], "<u4")
+            assert r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
