@@ -29,6 +29,10 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIP = frozenset("script style noscript template head title textarea select option button svg math iframe object canvas audio video map datalist".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
+#: What may stand in a head; elements that a start tag of their own kind ends; where block elements may stand in SVG and MathML.
+IN_HEAD = frozenset("head title meta link base basefont bgsound style script noscript noframes template".split())
+NO_NESTING = frozenset("select option button".split())
+FOREIGN = frozenset("foreignobject annotation-xml desc".split())
 BLOCK = frozenset(
     "html body main article section nav aside header footer address div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption form fieldset legend details summary dialog menu hgroup search center hr".split()
 )
@@ -59,6 +63,7 @@ def parse(page: str) -> Node:
     root = node = Node("#root", "", None, 0)
     run: Node | None = None
     skip: str | None = None  # the outermost element whose content isn't text
+    inner: dict[str, int] = {}  # block elements open inside it
     skip_depth = links = 0
     at = 0
     lowered = None
@@ -66,6 +71,8 @@ def parse(page: str) -> Node:
     for m in MARKUP.finditer(page):
         if m.start() < for_raw:
             continue
+        if skip == "head" and page[at : m.start()].strip():
+            skip = None
         if m.start() > at and not skip:
             run = _add_text(node, run, page[at : m.start()], links, at)
         at = m.end()
@@ -75,22 +82,32 @@ def parse(page: str) -> Node:
         tag = tag.lower()
         attrs = (m[3] if m[2] else m[6]) or ""
         closing = bool(m[1] or m[4])
+        if tag in RAW and not closing and not attrs.endswith("/") and (not skip or skip == "head" or tag in ("script", "style", "textarea")):
+            lowered = lowered or page.lower()
+            end = lowered.find("</" + tag, at)
+            stop = len(page) if end < 0 else end
+            close = page.find(">", stop)
+            for_raw = at = len(page) if end < 0 or close < 0 else close + 1
+            continue
+        if skip == "head" and not closing and tag == "template":
+            skip, skip_depth = tag, 1
+            inner.clear()
+            continue
+        if skip and _ends(skip, node, tag, closing, inner):
+            skip = None
         if skip:
             if tag == skip:
-                skip_depth += -1 if closing else 1
-                if not skip_depth:
+                skip_depth += -1 if closing or tag in NO_NESTING or tag == "head" else 1
+                if closing and skip_depth <= 0:
                     skip = None
+                skip_depth = max(skip_depth, 1)
+            elif tag in BLOCK or tag in FOREIGN:
+                inner[tag] = max(0, inner.get(tag, 0) + (-1 if closing else 1))
             continue
         if tag in SKIP:
             if not closing and not attrs.endswith("/"):
-                if tag in RAW:
-                    lowered = lowered or page.lower()
-                    end = lowered.find("</" + tag, at)
-                    stop = len(page) if end < 0 else end
-                    close = page.find(">", stop)
-                    for_raw = at = len(page) if end < 0 or close < 0 else close + 1
-                else:
-                    skip, skip_depth = tag, 1
+                skip, skip_depth = tag, 1
+                inner.clear()
             continue
         if tag == "a":
             links = 0 if closing else 1
@@ -120,11 +137,25 @@ def parse(page: str) -> Node:
         child = Node(tag, attrs, node, m.start())
         node.kids.append(child)
         node = child
-    if at < len(page) and not skip:
+    if at < len(page) and skip in (None, "head"):
         _add_text(node, run, page[at:], links, at)
     return root
 
 
+def _ends(skip: str, node: Node, tag: str, closing: bool, inner: dict[str, int]) -> bool:
+    """Whether a tag ends a skipped element that has no end tag: a head at the first start tag that can't
+    stand in it, others where their parent closes, SVG and MathML also at a block element of HTML."""
+    if skip == "head":
+        return not closing and tag not in IN_HEAD
+    if tag not in BLOCK:
+        return False
+    if closing:
+        return not inner.get(tag) and any(n.tag == tag for n in _path(node))
+    if skip in ("svg", "math"):
+        return not any(inner.get(x) for x in FOREIGN)
+    return tag in CLOSES and not any(inner.get(x) for x in SCOPE.get(tag, ())) and _close(node, CLOSES[tag], SCOPE.get(tag, ())) is not node
+
+
 def _path(node: Node | None) -> Iterator[Node]:
     while node:
         yield node

@@ -78,3 +78,21 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "t"), (2, None, "", "t"), (None, "u", "<p>" + "word " * 50_000, "t"), (1, "u", None, "t")], "page_id long, url string, html string, text string")
     got = h.extract(df).collect()
     assert len(got) == 4 and [r["n_chars"] for r in got if r["html"] is None] == [0, 0] and h.extract(df.where("false")).count() == 0
+
+
+def test_unclosed_skipped_elements_end():
+    text = lambda page: " ".join("".join(n.text).strip() for n in h.nodes_and_features(h.parse(page))[0] if n.tag == "#")
+    assert text("<head><title>t</title><body><p>all of it</p>") == "all of it"
+    assert text("<head><title>t</title><meta name=a><div>all of it</div>") == "all of it"
+    assert text("<head><title>t</title>all of it") == "all of it"
+    assert text("<html><head><script>a='<head';b=i<n;c=\"it's\"</script></head><body><p>x</p>") == "x"
+    assert text("<head><template><div>no</div></template><title>t</title></head><p>x</p>") == "x"
+    for tag in ("button", "select", "svg", "object"):
+        assert text(f"<div>a<{tag}>no</div><p>b</p>") == "a b", tag
+        assert text(f"<ul><li>a<{tag}>no<li>b</ul>") == "a b", tag
+        assert text(f"<div>a<{tag}>no</{tag}>b</div>") == "ab", tag
+    assert text("<button>no<button>no</button><p>x</p>") == "x"
+    assert text("<svg><svg></svg><path></svg><p>x</p>") == "x"
+    assert text("<svg><foreignObject><div>no</div></foreignObject></svg><p>x</p>") == "x"
+    assert text("<svg><path><p>x</p>") == "x"
+    assert text("<div><object><script>'</object>'</script>no</object>x</div>") == "x"
