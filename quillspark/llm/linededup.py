@@ -5,12 +5,12 @@ A *window* is the shortest run of lines from a given line on that has at least `
 rightmost on a tie. Two equal runs of ``words`` words or more hold equal windows, and equal
 windows choose equal fingerprints, so no such repeat is missed.
 
-Fingerprints that stand at one position of the corpus only are dropped. A fingerprint at several
-positions is extended both ways: the windows that reach left and right of it are compared by 128
-bits of content with the first window of that content in the order (doc_id, text digest, line).
-Windows that aren't the first of their content are later repeats; their union is deleted. A run
-thus extends as far as any earlier text agrees, whichever document holds it, and no pairs of
-documents are formed: groups only give their least member.
+Fingerprints that stand at one position of the corpus only are dropped. For a fingerprint at
+several positions the windows that hold it are compared by 128 bits of content with the first
+window of that content in the order (doc_id, text digest, line). Windows that aren't the first of
+their content are later repeats; their union is deleted. A repeated run's last lines stay where
+the windows that begin at them reach beyond the run. No pairs of documents are formed: groups only
+give their least member.
 """
 
 from __future__ import annotations
