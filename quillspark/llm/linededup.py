@@ -5,12 +5,14 @@ A *window* is the shortest run of lines from a given line on that has at least `
 rightmost on a tie. Two equal runs of ``words`` words or more hold equal windows, and equal
 windows choose equal fingerprints, so no such repeat is missed.
 
-Fingerprints that stand at one position of the corpus only are dropped. For a fingerprint at
-several positions the windows that hold it are compared by 128 bits of content with the first
-window of that content in the order (doc_id, text digest, line). Windows that aren't the first of
-their content are later repeats; their union is deleted. A repeated run's last lines stay where
-the windows that begin at them reach beyond the run. No pairs of documents are formed: groups only
-give their least member.
+Fingerprints that stand at one position of the corpus only are dropped. The positions of the others
+are joined, window by window: a window is matched with the first one of its content (128 bits) in
+the order (doc_id, text digest, line). A match is extended to the left by the windows that begin at
+earlier lines and to the right, line by line, by the shortest runs of ``words`` words that *end* at
+later lines, each held against any earlier text. What agrees with one source at one distance (a
+diagonal) is merged into a run; the union of a text's runs is deleted. So a line goes exactly if it
+is in a run of ``words`` words or more that stands at an earlier position, too. No pairs of documents
+are formed: groups only give their least member.
 """
 
 from __future__ import annotations
@@ -27,47 +29,62 @@ def line_words(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """__id, __key, __pos, __a, __b, __start, __words of each line with words.
+    """__id, __key, __pos, __idx (among lines with words), __a, __b, __start, __end (in words) of each line with words.
 
     Hashes are taken before the exchange, so lines travel as 20 bytes; the grouping that brings a
     document together also drops rows that repeat both doc_id and text.
     """
-    hashed = F.transform(
-        F.split(F.coalesce("text", F.lit("")), "\n", -1),
-        lambda x: F.struct(F.xxhash64(F.array_join(line_words(x), " ")).alias("a"), F.xxhash64(F.lit("second"), F.array_join(line_words(x), " ")).alias("b"), F.size(line_words(x)).alias("words")),
-    )
+    split = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), line_words)
+    hashed = F.transform(split, lambda w: F.struct(F.xxhash64(w).alias("a"), F.xxhash64(F.lit("second"), w).alias("b"), F.size(w).alias("words")))
     per_doc = docs.select(F.col("doc_id").alias("__id"), row_key("doc_id", "text").alias("__key"), hashed.alias("__lines")).groupBy("__id", "__key").agg(F.first("__lines").alias("__lines"))
-    lines = per_doc.select("__id", "__key", F.posexplode("__lines").alias("__pos", "__l")).select("__id", "__key", "__pos", F.col("__l.a").alias("__a"), F.col("__l.b").alias("__b"), F.col("__l.words").cast("long").alias("__words")).where("__words > 0")
-    before = Window.partitionBy("__id", "__key").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
-    return lines.withColumn("__start", F.coalesce(F.sum("__words").over(before), F.lit(0)))
+    lines = per_doc.select("__id", "__key", F.posexplode("__lines").alias("__pos", "__l")).where("__l.words > 0")
+    upto = Window.partitionBy("__id", "__key").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
+    words = F.col("__l.words").cast("long")
+    end = F.sum(words).over(upto)
+    return lines.select("__id", "__key", "__pos", F.count(F.lit(1)).over(upto).alias("__idx"), F.col("__l.a").alias("__a"), F.col("__l.b").alias("__b"), (end - words).alias("__start"), end.alias("__end"))
 
 
 def windows(lines: DataFrame, words: int) -> DataFrame:
-    """The full window from each line: fingerprint (hash and line), content digest, first and last line."""
-    span = Window.partitionBy("__id", "__key").orderBy("__start").rangeBetween(0, words - 1)
-    return (
-        lines.select(
-            "__id", "__key", "__pos", "__start",
-            F.min(F.struct("__a", "__b", (-F.col("__pos")).alias("__neg"))).over(span).alias("__f"),
-            F.max("__pos").over(span).alias("__last"),
-            F.max(F.col("__start") + F.col("__words")).over(span).alias("__end"),
-            F.collect_list(F.struct("__a", "__b")).over(span).alias("__content"),
-        )
-        .where(F.col("__end") - F.col("__start") >= words)
-        .select("__id", "__key", "__pos", "__last", F.col("__f.__a").alias("__a"), F.col("__f.__b").alias("__b"), (-F.col("__f.__neg")).alias("__at"), F.unhex(F.md5(F.to_json("__content"))).alias("__digest"))
-    )
+    """The shortest runs of ``words`` words that begin at a line, and those that end at a line and don't
+    begin so: fingerprint (__a, __b), __digest, __pos and __last (lines), __idx and __to (lines with words)."""
+    doc = Window.partitionBy("__id", "__key")
+    found = []
+    for span in (doc.orderBy("__start").rangeBetween(0, words - 1), doc.orderBy("__end").rangeBetween(1 - words, 0)):
+        content = F.collect_list(F.struct("__a", "__b")).over(span)
+        least = F.min(F.struct("__a", "__b", (-F.col("__pos")).alias("__neg"))).over(span)
+        found.append((least, content, *(f(c).over(span) for f, c in ((F.min, "__pos"), (F.max, "__pos"), (F.min, "__idx"), (F.max, "__idx"), (F.min, "__start"), (F.max, "__end")))))
+    runs = []
+    for k, (least, content, *ends) in enumerate(found):
+        names = ("__f", "__content", "__pos", "__last", "__idx", "__to", "__start", "__end")
+        runs.append(F.struct(*(c.alias(n) for c, n in zip((least, content, *ends), names, strict=True)), F.lit(k).alias("__kind"), F.col("__start").alias("__own")))
+    both = lines.select("__id", "__key", F.array(*runs).alias("__ws")).select("__id", "__key", F.explode("__ws").alias("__w")).where(f"__w.__end - __w.__start >= {words} and (__w.__kind = 0 or __w.__own - __w.__start >= {words})")
+    digest = F.struct(F.xxhash64("__w.__content").alias("a"), F.xxhash64(F.lit("second"), "__w.__content").alias("b"))
+    return both.select("__id", "__key", *(F.col(f"__w.{c}").alias(c) for c in ("__pos", "__last", "__idx", "__to")), F.col("__w.__f.__a").alias("__a"), F.col("__w.__f.__b").alias("__b"), (-F.col("__w.__f.__neg")).alias("__at"), digest.alias("__digest"))
+
+
+def repeated_runs(docs: DataFrame, words: int = 50) -> DataFrame:
+    """Maximal runs that repeat earlier text, by source: __id, __key, __pos, __last (lines of the run), __from
+    (the source's __id, __key, __pos). A run that several texts agree with in parts comes in parts, which may overlap."""
+    w = materialise(windows(line_table(docs), words), "linededup")
+    place = F.struct("__id", "__key", "__at")
+    # written and joined by hint, so that both sides of the join are exchanges that Spark can split where a key is hot
+    repeated = materialise(w.groupBy("__a", "__b").agg(F.min(place).alias("__lo"), F.max(place).alias("__hi")).where("__lo < __hi").select("__a", "__b"), "linededup-fingerprints")
+    around = materialise(w.join(repeated.hint("merge"), ["__a", "__b"]).drop("__a", "__b", "__at"), "linededup-around")
+    here = F.struct("__id", "__key", "__pos", "__idx")
+    first = around.groupBy("__digest").agg(F.min(here).alias("__first"), F.max(here).alias("__far")).where("__first < __far").select("__digest", "__first")
+    matched = around.join(materialise(first, "linededup-first").hint("merge"), "__digest").where(here > F.col("__first"))
+    m = matched.select("__id", "__key", "__pos", "__last", "__idx", "__to", F.col("__first.__id").alias("__sid"), F.col("__first.__key").alias("__skey"), F.col("__first.__pos").alias("__spos"), (F.col("__idx") - F.col("__first.__idx")).alias("__diag"))
+    diagonal = Window.partitionBy("__id", "__key", "__sid", "__skey", "__diag").orderBy("__idx", "__to")
+    reach = F.max("__to").over(diagonal.rowsBetween(Window.unboundedPreceding, -1))
+    m = m.withColumn("__new", F.when(reach >= F.col("__idx") - 1, 0).otherwise(1))
+    m = m.withColumn("__run", F.sum("__new").over(diagonal.rowsBetween(Window.unboundedPreceding, 0)))
+    source = F.struct(F.col("__sid").alias("__id"), F.col("__skey").alias("__key"), F.min("__spos").alias("__pos"))
+    return m.groupBy("__id", "__key", "__sid", "__skey", "__diag", "__run").agg(F.min("__pos").alias("__pos"), F.max("__last").alias("__last"), source.alias("__from")).select("__id", "__key", "__pos", "__last", "__from")
 
 
 def repeated_lines(docs: DataFrame, words: int = 50) -> DataFrame:
     """__id, __key and the array __gone of line numbers to delete, for documents that have any."""
-    w = materialise(windows(line_table(docs), words), "linededup")
-    place = F.struct("__id", "__key", "__at")
-    repeated = w.groupBy("__a", "__b").agg(F.min(place).alias("__lo"), F.max(place).alias("__hi")).where("__lo < __hi").select("__a", "__b")
-    around = w.join(repeated, ["__a", "__b"])
-    here = F.struct("__id", "__key", "__pos")
-    first = around.groupBy("__digest").agg(F.min(here).alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__digest", "__first")
-    later = around.join(first, "__digest").where(here > F.col("__first"))
-    return later.groupBy("__id", "__key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("__pos", "__last"))))).alias("__gone"))
+    return repeated_runs(docs, words).groupBy("__id", "__key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("__pos", "__last"))))).alias("__gone"))
 
 
 def dedup_lines(docs: DataFrame, words: int = 50) -> DataFrame:
@@ -93,23 +110,22 @@ def dedup_lines(docs: DataFrame, words: int = 50) -> DataFrame:
 
 
 def oracle(documents: str = "documents", words: int = 50) -> str:
-    """DuckDB SQL: each window's content as a string, deleted where an earlier window equals it."""
+    """DuckDB SQL by maximal common runs: pairs of equal lines, one earlier, in islands on their diagonals; runs of ``words`` words go."""
     return f"""
     WITH l AS (
-      SELECT doc_id, text, i - 1 AS pos, ls[i] AS line, len(ls) AS n FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM {documents} WHERE text IS NOT NULL) t, unnest(range(1, len(ls) + 1)) AS u(i)
+      SELECT doc_id, i - 1 AS pos, ls[i] AS line, len(ls) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM {documents} WHERE text IS NOT NULL) t, unnest(range(1, len(ls) + 1)) AS u(i)
     ), w AS (
-      SELECT doc_id, pos, line, n, list_filter(string_split(translate(line, chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), lambda x: x <> '') AS ws FROM l
+      SELECT doc_id, pos, list_filter(string_split(translate(line, chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), lambda x: x <> '') AS ws FROM l
     ), s AS (
-      SELECT doc_id, pos, array_to_string(ws, ' ') AS words, len(ws) AS k, coalesce(sum(len(ws)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-      FROM w WHERE len(ws) > 0
-    ), win AS (
-      SELECT a.doc_id, a.pos, max(b.pos) AS last, string_agg(b.words, chr(10) ORDER BY b.pos) AS content
-      FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.start BETWEEN a.start AND a.start + {words - 1}
-      GROUP BY a.doc_id, a.pos, a.start HAVING max(b.start + b.k) - a.start >= {words}
-    ), later AS (
-      SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) AS r FROM win
+      SELECT doc_id, pos, array_to_string(ws, ' ') AS words, len(ws) AS k, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM w WHERE len(ws) > 0
+    ), pair AS (
+      SELECT b.doc_id, b.pos, b.i, b.k, a.doc_id AS src, b.i - a.i AS diag FROM s a JOIN s b ON a.words = b.words AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.i < b.i)
+    ), island AS (
+      SELECT *, i - row_number() OVER (PARTITION BY doc_id, src, diag ORDER BY i) AS g FROM pair
+    ), run AS (
+      SELECT doc_id, min(pos) AS lo, max(pos) AS hi FROM island GROUP BY doc_id, src, diag, g HAVING sum(k) >= {words}
     ), gone AS (
-      SELECT DISTINCT doc_id, p AS pos FROM later, unnest(range(pos, last + 1)) AS u(p) WHERE r > 1
+      SELECT DISTINCT doc_id, p AS pos FROM run, unnest(range(lo, hi + 1)) AS u(p)
     )
     SELECT l.doc_id, max(l.n)::BIGINT AS n_lines, count(g.pos)::BIGINT AS n_removed, coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
     FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id

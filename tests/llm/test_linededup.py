@@ -5,20 +5,20 @@ from quillspark.llm import linededup, queries
 
 
 def brute(docs, words):
-    """Windows of whole lines held against all earlier ones, in the order of doc_id; empty lines inside a run go with it."""
-    seen, gone = set(), {}
+    """The longest common run of every line with every earlier one of equal words, in the order of doc_id; runs of
+    enough words go, with the empty lines inside them."""
+    seen, gone = {}, {}
     for doc, text in sorted(docs):
-        lines = [(i, x.split()) for i, x in enumerate((text or "").split("\n")) if x.split()]
-        for a in range(len(lines)):
-            n, b = 0, a
-            while b < len(lines) and n < words:
-                n += len(lines[b][1])
-                b += 1
-            if n >= words:
-                key = tuple(tuple(w) for _, w in lines[a:b])
-                if key in seen:
-                    gone.setdefault(doc, set()).update(range(lines[a][0], lines[b - 1][0] + 1))
-                seen.add(key)
+        lines = [(i, tuple(x.split())) for i, x in enumerate((text or "").split("\n")) if x.split()]
+        for a, (_, x) in enumerate(lines):
+            for other, b in seen.setdefault(x, []):
+                n = k = 0
+                while a + k < len(lines) and b + k < len(other) and lines[a + k][1] == other[b + k][1]:
+                    n += len(lines[a + k][1])
+                    k += 1
+                if n >= words:
+                    gone.setdefault(doc, set()).update(range(lines[a][0], lines[a + k - 1][0] + 1))
+            seen[x].append((lines, a))
     return {d: "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone.get(d, ())) for d, t in docs}
 
 
@@ -43,6 +43,18 @@ def test_planted_passage(spark):
     assert got == {1: (docs[0][1], 0), 2: ("own end", 8), 3: (docs[2][1], 0), 4: ("x\ny", 8)}
 
 
+def test_runs_end_where_the_texts_part(spark):
+    line = lambda n, name: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c = line(60, "a"), line(10, "b"), line(8, "c")
+    docs = [(1, "\n".join([a, b, c, "one end"])), (2, "\n".join(["start", a, b, c, "other end"])), (3, "\n".join([c, b, a, "third"])), (4, "\n".join(["x", c, b, a])), (5, "\n".join([b, c]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {x["doc_id"]: (x["text"], x["n_removed"]) for x in linededup.dedup_lines(df).collect()}
+    assert got == {1: (docs[0][1], 0), 2: ("start\nother end", 3), 3: ("\n".join([c, b, "third"]), 1), 4: ("x", 3), 5: (docs[4][1], 0)}
+    runs = {(r["__id"], r["__pos"], r["__last"], r["__from"]["__id"], r["__from"]["__pos"]) for r in linededup.repeated_runs(df).collect()}
+    # the line of 60 words is first in document 1, what stands before it in document 4 is first in document 3
+    assert runs == {(2, 1, 3, 1, 0), (3, 2, 2, 1, 0), (4, 1, 3, 3, 0), (4, 3, 3, 1, 0)}
+
+
 def test_odd_rows(spark):
     got = linededup.dedup_lines(odd(spark)).collect()
     assert len(got) == odd(spark).count() and {"kept", "score", "__key", "__id"} <= set(got[0].asDict())
