@@ -48,18 +48,22 @@ def windows(lines: DataFrame, words: int) -> DataFrame:
     """The shortest runs of ``words`` words that begin at a line, and those that end at a line and don't
     begin so: fingerprint (__a, __b), __digest, __pos and __last (lines), __idx and __to (lines with words)."""
     doc = Window.partitionBy("__id", "__key")
-    found = []
-    for span in (doc.orderBy("__start").rangeBetween(0, words - 1), doc.orderBy("__end").rangeBetween(1 - words, 0)):
-        content = F.collect_list(F.struct("__a", "__b")).over(span)
-        least = F.min(F.struct("__a", "__b", (-F.col("__pos")).alias("__neg"))).over(span)
-        found.append((least, content, *(f(c).over(span) for f, c in ((F.min, "__pos"), (F.max, "__pos"), (F.min, "__idx"), (F.max, "__idx"), (F.min, "__start"), (F.max, "__end")))))
-    runs = []
-    for k, (least, content, *ends) in enumerate(found):
-        names = ("__f", "__content", "__pos", "__last", "__idx", "__to", "__start", "__end")
-        runs.append(F.struct(*(c.alias(n) for c, n in zip((least, content, *ends), names, strict=True)), F.lit(k).alias("__kind"), F.col("__start").alias("__own")))
-    both = lines.select("__id", "__key", F.array(*runs).alias("__ws")).select("__id", "__key", F.explode("__ws").alias("__w")).where(f"__w.__end - __w.__start >= {words} and (__w.__kind = 0 or __w.__own - __w.__start >= {words})")
-    digest = F.struct(F.xxhash64("__w.__content").alias("a"), F.xxhash64(F.lit("second"), "__w.__content").alias("b"))
-    return both.select("__id", "__key", *(F.col(f"__w.{c}").alias(c) for c in ("__pos", "__last", "__idx", "__to")), F.col("__w.__f.__a").alias("__a"), F.col("__w.__f.__b").alias("__b"), (-F.col("__w.__f.__neg")).alias("__at"), digest.alias("__digest"))
+    spans = {"f": doc.orderBy("__start").rangeBetween(0, words - 1), "b": doc.orderBy("__end").rangeBetween(1 - words, 0)}
+    both = lines
+    for k, span in spans.items():
+        # a run's lines become its digest before the next sort, so that rows stay short
+        lists = both.select("*", F.collect_list(F.struct("__a", "__b")).over(span).alias("__content"), F.min(F.struct("__a", "__b", (-F.col("__pos")).alias("__neg"))).over(span).alias("__f"), *((F.min if k == "b" else F.max)(c).over(span).alias(f"__far_{c}") for c in ("__pos", "__idx", "__start" if k == "b" else "__end")))
+        digest = F.struct(F.xxhash64("__content").alias("a"), F.xxhash64(F.lit("second"), "__content").alias("b"))
+        if k == "f":
+            ends = [F.col(c).alias(n) for c, n in (("__pos", "__pos"), ("__far___pos", "__last"), ("__idx", "__idx"), ("__far___idx", "__to"))]
+            full = F.col("__far___end") - F.col("__start") >= words
+        else:
+            ends = [F.col(c).alias(n) for c, n in (("__far___pos", "__pos"), ("__pos", "__last"), ("__far___idx", "__idx"), ("__idx", "__to"))]
+            # one that has enough words without its last line is no run that begins so
+            full = (F.col("__end") - F.col("__far___start") >= words) & (F.col("__start") - F.col("__far___start") >= words)
+        run = F.when(full, F.struct(*ends, F.col("__f.__a").alias("__a"), F.col("__f.__b").alias("__b"), (-F.col("__f.__neg")).alias("__at"), digest.alias("__digest")))
+        both = lists.select(*both.columns, run.alias(f"__run_{k}"))
+    return both.select("__id", "__key", F.explode(F.array("__run_f", "__run_b")).alias("__w")).where("__w is not null").select("__id", "__key", "__w.*")
 
 
 def repeated_runs(docs: DataFrame, words: int = 50) -> DataFrame:
