@@ -1,10 +1,13 @@
 """Personal data by rules and by bootstrapped contextual extraction, with DataFrame functions only.
 
-Rule matches of four kinds are the seeds. Tokens with a digit or an at sign are candidate
-instances; what surrounds one gives its lexical patterns (word before and shape, shape and word
-after, word before and word after). Seeds give patterns confidence, confident patterns give
-instances a score, and so on for a fixed number of rounds over the aggregated pattern-instance
-graph. Instances of confident patterns that no rule has found or refused become spans too.
+Rule matches of four kinds are the seeds. Tokens with a digit or an at sign, and runs of digit groups
+with single spaces between them, are candidate instances; what surrounds one gives its lexical
+patterns (word before and shape, shape and word after, word before and word after). Seeds give
+patterns confidence, confident patterns give instances a score, and so on for a fixed number of
+rounds over the aggregated pattern-instance graph. A pattern's instances that a rule refused, or that
+are another kind's, count wholly against it; those that nothing is known of count against it a
+little, until a pattern gives them a score. Instances of confident patterns that no rule has found
+or refused become spans too.
 
 Positions come without a Python call: splitting a text by a pattern gives what lies between its
 matches, and lengths sum up to code-point offsets.
@@ -31,8 +34,16 @@ RULES = {
 }
 #: A text without this character or these can have no match.
 NEEDS = {"email": "@", "ip": "[0-9][.][0-9]", "card": "[0-9][ -]?[0-9]", "phone": "[+][0-9]"}
-#: A token with a digit or an at sign; whether it is a candidate.
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: A run of digit groups with single spaces between them, or a token with a digit or an at sign: the candidates.
+TOKEN = r"(?<!\S)(?:[+(]*+[0-9][0-9().,/-]*+(?:\x20[(]?[0-9][0-9().,/-]*+)*+(?!\S)|[^\s0-9@]*+[0-9@]\S*+)"
+#: A word longer than this stands in a pattern by its digest.
+LONG_WORD = 64
+#: A match of the card's pattern with fewer digits says nothing about what it is.
+NEAR_CARD = 12
+#: Letters and digits of a discovered identifier, at least.
+LEAST = 5
+#: Stands for the kind of an instance that a rule refused.
+REFUSED = "-"
 
 
 def valid(kind: str, m: Column) -> Column:
@@ -55,7 +66,12 @@ def located(docs: DataFrame, patterns: dict[str, tuple[str, str]]) -> DataFrame:
     patterns: kind to (pattern, what a text must hold). One exchange brings a document's matches
     together and drops rows that repeat doc_id and text.
     """
-    word = lambda g, last: F.lower(F.substring_index(F.rtrim(F.substring(g, -40, 40)) if last else F.ltrim(F.substring(g, 1, 40)), " ", -1 if last else 1))
+
+    def word(g: Column, last: bool) -> Column:
+        spaced = F.translate(g, "\t\n\r\f\x0b", "     ")
+        w = F.lower(F.substring_index(F.rtrim(spaced) if last else F.ltrim(spaced), " ", -1 if last else 1))
+        return F.when(F.length(w) > LONG_WORD, F.md5(w)).otherwise(w)
+
     found = F.array(
         *(
             F.when(
@@ -90,11 +106,13 @@ def shape(token: Column) -> Column:
     return F.translate(F.regexp_replace(F.regexp_replace(mixed, r"\p{L}+", "a"), "[0-9]+", "9"), "\u0001", "x")
 
 
-def discovered(tokens: DataFrame, rule_matches: DataFrame, rounds: int, confidence: float, support: int) -> DataFrame:
+def discovered(tokens: DataFrame, rule_matches: DataFrame, rounds: int, confidence: float, support: int, doubt: float) -> DataFrame:
     """Spans that confident patterns add: __id, __key, __kind, __start, __end.
 
     tokens: candidates from ``located``; rule_matches: all matches of the rules' patterns, with
-    ``__ok``. A candidate that touches a rule's match is a seed of its kind, or refused.
+    ``__ok``. A candidate that touches a rule's match is a seed of its kind, or refused. A pattern's
+    confidence in a kind is S / (S + N + doubt * U + 0.5): S the scores of its instances of the kind,
+    at least ``support`` of them, N its instances that are refused or another kind's, U the others.
     """
     t = tokens.select("__id", "__key", F.rtrim(F.col("__m"), F.lit(".,;:!?)\"'")).alias("__v"), "__start", "__left", "__right").withColumn("__end", F.col("__start") + F.length("__v")).where("__end > __start")
     r = rule_matches.select(F.col("__key").alias("__rkey"), F.col("__kind").alias("__rkind"), F.col("__start").alias("__rs"), F.col("__end").alias("__re"), "__ok")
@@ -106,30 +124,45 @@ def discovered(tokens: DataFrame, rule_matches: DataFrame, rounds: int, confiden
     t = materialise(t.withColumn("__shape", shape(F.col("__v"))).withColumn("__pats", pats), "pii-tokens")
     edges = t.select(F.explode("__pats").alias("__p"), F.lower("__v").alias("__inst"), "__seed", "__seen").groupBy("__p", "__inst").agg(F.min("__seed").alias("__seed"), F.max("__seen").alias("__seen"))
     edges = materialise(edges, "pii-edges")
-    seeds = edges.where("__seed is not null").groupBy("__inst").agg(F.min("__seed").alias("__kind")).withColumn("__s", F.lit(1.0))
-    fresh = edges.groupBy("__inst").agg(F.max("__seen").alias("__seen")).where("not __seen").select("__inst")
+    if rounds < 1:
+        return t.where("false").select("__id", "__key", F.lit("").alias("__kind"), "__start", "__end")
+    # tables written for each round: a hot instance's edges meet its score by a join that Spark can split
+    # all instances with what rules say of them; short ones (years, numbers of rooms) only count against patterns
+    known = edges.groupBy("__inst").agg(F.min("__seed").alias("__kind"), F.max("__seen").alias("__seen"))
+    known = materialise(known.select("__inst", F.coalesce("__kind", F.lit(REFUSED)).alias("__kind"), F.col("__kind").isNotNull().cast("double").alias("__s"), "__seen"), "pii-known")
+    decided = known.where("__seen").drop("__seen")
+    fresh = known.where((~F.col("__seen")) & (F.length(F.regexp_replace("__inst", r"[^\p{L}0-9]", "")) >= LEAST)).select("__inst")
     totals = edges.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    scores = seeds
+    scores = decided
     for _ in range(rounds):
-        sums = edges.join(scores, "__inst").groupBy("__p", "__kind").agg(F.sum("__s").alias("__sum"), F.count(F.lit(1)).alias("__c"))
-        good = sums.join(totals, "__p").withColumn("__conf", F.col("__sum") / (F.col("__n") + 0.5)).where((F.col("__conf") >= confidence) & (F.col("__c") >= support)).select("__p", "__kind", "__conf")
-        new = edges.join(good, "__p").groupBy("__inst", "__kind").agg((1 - F.exp(F.sum(F.log1p(-F.col("__conf"))))).alias("__s")).join(fresh, "__inst", "left_semi")
-        scores = seeds.unionByName(new)
-    best = new.groupBy("__inst").agg(F.max(F.struct("__s", "__kind")).alias("__b")).where(F.col("__b.__s") >= confidence).select("__inst", F.col("__b.__kind").alias("__kind"))
-    return t.where("not __seen").withColumn("__inst", F.lower("__v")).join(best, "__inst").select("__id", "__key", "__kind", "__start", "__end")
-
-
-def find_pii(docs: DataFrame, rounds: int = 3, confidence: float = 0.9, support: int = 5) -> DataFrame:
+        mine = {k: F.when(F.col("__kind") == k, F.col("__s")) for k in KINDS}
+        sums = edges.join(scores.hint("merge"), "__inst").groupBy("__p").agg(F.count(F.lit(1)).alias("__all"), *(F.struct(F.lit(k).alias("kind"), F.coalesce(F.sum(c), F.lit(0.0)).alias("sum"), F.count(c).alias("c")).alias(f"__{k}") for k, c in mine.items()))
+        sums = sums.join(totals, "__p").select("__p", "__n", "__all", F.explode(F.array(*(f"__{k}" for k in KINDS))).alias("__x"))
+        against = F.col("__all") - F.col("__x.c") + doubt * (F.col("__n") - F.col("__all"))
+        conf = F.col("__x.sum") / (F.col("__x.sum") + against + 0.5)
+        good = sums.where(F.col("__x.c") >= support).select("__p", F.col("__x.kind").alias("__kind"), conf.alias("__conf")).where(F.col("__conf") >= confidence)
+        new = edges.join(good, "__p").join(fresh, "__inst", "left_semi").groupBy("__inst", "__kind").agg((1 - F.exp(F.sum(F.log1p(-F.col("__conf"))))).alias("__s"))
+        found = new.groupBy("__inst").agg(F.max(F.struct("__s", "__kind")).alias("__b")).select("__inst", F.col("__b.__kind").alias("__kind"), F.col("__b.__s").alias("__s"))
+        found = materialise(found, "pii-found")
+        scores = decided.unionByName(found)
+    best = found.where(F.col("__s") >= confidence).select("__inst", "__kind")
+    return t.where("not __seen").withColumn("__inst", F.lower("__v")).join(best.hint("merge"), "__inst").select("__id", "__key", "__kind", "__start", "__end")
+
+
+def find_pii(docs: DataFrame, rounds: int = 3, confidence: float = 0.9, support: int = 5, doubt: float = 0.1) -> DataFrame:
     """Per row of ``docs``: doc_id, __key, and __base and __spans, arrays of (kind number, kind, start, end).
 
     Offsets count code points, end exclusive. Null and empty texts have no spans (empty arrays).
     Rows that repeat doc_id and text get the same result each; a null doc_id is a value like others.
-    Equal spans of one kind count once. Other columns of ``docs`` don't matter.
+    Equal spans of one kind count once. Other columns of ``docs`` don't matter. rounds: 0 finds what
+    the rules find. confidence, support, doubt: see ``discovered``.
     """
     matches = located(docs, {k: (RULES[k], NEEDS[k]) for k in KINDS})
     ok = reduce(lambda a, k: F.when(F.col("__kind") == k, valid(k, F.col("__m"))).otherwise(a), KINDS, F.lit(False))
-    matches = materialise(matches.withColumn("__ok", ok), "pii-rules")
-    more = discovered(located(docs, {"token": (TOKEN, "[0-9@]")}), matches, rounds, confidence, support)
+    # any two digits match the card's pattern: too few for a card, they are no refused one
+    telling = (F.col("__kind") != "card") | (F.length(F.regexp_replace("__m", "[^0-9]", "")) >= NEAR_CARD)
+    matches = materialise(matches.withColumn("__ok", ok).where(F.col("__ok") | telling), "pii-rules")
+    more = discovered(located(docs, {"token": (TOKEN, "[0-9@]")}), matches, rounds, confidence, support, doubt)
     spans = matches.where("__ok").select("__id", "__key", "__kind", "__start", "__end", F.lit(True).alias("__rule")).unionByName(more.withColumn("__rule", F.lit(False)))
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("__kind")).cast("int")
     item = F.struct(number.alias("n"), F.col("__kind").alias("kind"), F.col("__start").cast("long").alias("start"), F.col("__end").cast("long").alias("end"))

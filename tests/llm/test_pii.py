@@ -65,6 +65,78 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert got[100] == "email:16:30" and got[101].startswith("email:16:") and all(got[200 + i] == "" for i in range(30))
 
 
+def graph(docs, rounds=3, confidence=0.9, support=5, doubt=0.1):
+    """Spans that the pattern-instance graph adds, by plain dictionaries."""
+    import math
+    from collections import defaultdict
+
+    def shape(v):
+        v = re.sub(r"(?<![A-Za-z0-9])(?:[A-Za-z]+[0-9]|[0-9]+[A-Za-z])[A-Za-z0-9]*", "\1", v)
+        return re.sub("[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", v)).replace("\1", "x")
+
+    tokens, edges, seed, seen = [], defaultdict(set), {}, set()
+    for i, text in sorted(set(docs)):
+        rules = [(k, m.start(), m.end(), ok(k, m[0])) for k in PLAIN for m in re.finditer(PLAIN[k], text) if k != "card" or len(re.sub("[^0-9]", "", m[0])) >= 12]
+        found = list(re.finditer(pii.TOKEN, text))
+        gaps = [text[a:b] for a, b in zip([0, *(m.end() for m in found)], [*(m.start() for m in found), len(text)], strict=True)]
+        for n, m in enumerate(found):
+            v = m[0].rstrip(".,;:!?)\"'")
+            if not v:
+                continue
+            left, right = (gaps[n].lower().split() or [""])[-1], (gaps[n + 1].lower().split() or [""])[0]
+            touch = [(k, y) for k, a, b, y in rules if a < m.start() + len(v) and m.start() < b]
+            inst = v.lower()
+            if touch:
+                seen.add(inst)
+            for k in sorted(k for k, y in touch if y):
+                seed[inst] = min(seed.get(inst, k), k)
+            for p in (("L", left, shape(v)), ("R", shape(v), right), ("B", left, right)):
+                edges[p].add(inst)
+            tokens.append((i, m.start(), m.start() + len(v), inst, bool(touch)))
+    decided = {x: (seed.get(x, "-"), float(x in seed)) for x in seen}
+    scores, best = dict(decided), {}
+    for _ in range(rounds):
+        odds = defaultdict(float)
+        for p, xs in edges.items():
+            for k in pii.KINDS:
+                s = [scores[x][1] for x in xs if x in scores and scores[x][0] == k]
+                against = sum(x in scores and scores[x][0] != k for x in xs) + doubt * sum(x not in scores for x in xs)
+                conf = sum(s) / (sum(s) + against + 0.5)
+                if len(s) >= support and conf >= confidence:
+                    for x in (x for x in xs - seen if len(re.sub(r"[\W_]", "", x)) >= 5):
+                        odds[x, k] += math.log1p(-conf)
+        best = {}
+        for (x, k), o in odds.items():
+            best[x] = max(best.get(x, (0.0, "")), (1 - math.exp(o), k))
+        scores = decided | {x: (k, s) for x, (s, k) in best.items()}
+    return {(i, best[x][1], a, b) for i, a, b, x, touched in tokens if not touched and best.get(x, (0,))[0] >= confidence}
+
+
+def test_discovery_equals_plain_graph(spark):
+    r = random.Random(31)
+    before, after = ["mail to", "call", "from host", "room", "see\tpage", "the"], ["today", "now\nor", "and more", "or", "z" * 90]
+    things = [lambda: f"u{r.randint(1, 60)}@h{r.randint(1, 3)}.example", lambda: f"u{r.randint(1, 9)}(at)h{r.randint(1, 3)}", lambda: f"+1 ({r.randint(200, 299)}) 555-{r.randint(1000, 9999)}", lambda: f"0{r.randint(150, 160)} 555 0{r.randint(100, 130)}", lambda: f"10.0.{r.randint(0, 400)}.{r.randint(0, 99)}", lambda: str(r.randint(1, 300)), lambda: f"x{r.randint(1, 30)},"]
+    docs = []
+    for i in range(500):
+        b = r.randrange(len(before))
+        parts = [f"{before[k]} {(things[k] if r.random() < 0.6 and k < len(things) else r.choice(things))()} {r.choice(after)}" for k in (b, r.randrange(len(before)))]
+        docs.append((i, f"Start {i % 7} " + " x ".join(parts)))
+    docs += docs[:30]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for params in ({}, {"support": 3, "confidence": 0.6}, {"rounds": 1, "confidence": 0.5, "doubt": 0.0}, {"rounds": 0}):
+        want = graph(docs, **params)
+        got = {(r["doc_id"], s["kind"], s["start"], s["end"]) for r in pii.find_pii(df, **params).collect() for s in r["__spans"] if s not in r["__base"]}
+        assert got == want, params
+        assert (len(want) > 5) == (params.get("rounds", 1) > 0), (params, len(want))
+
+
+def test_mixed_contexts_and_digit_groups(spark):
+    docs = [(i, f"letter {i} call +49 171 555{i:04d} today") for i in range(60)] + [(100 + i, f"other call 0171 555 0{i:03d} today {'w' * 50}{i}") for i in range(20)]
+    docs += [(200 + i, f"chapter {i} of the book") for i in range(20)]
+    got = {r["doc_id"]: r["spans"] for r in pii.digests(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[100 + i] == "phone:11:24" for i in range(20)) and not any(got[200 + i] for i in range(20))
+
+
 def test_mask(spark):
     df = spark.createDataFrame([(1, "a x@y.zz b +1 (269) 555-3296."), (2, None), (3, ""), (4, "é x@y.zz")], "doc_id long, text string")
     assert {r["doc_id"]: r["text"] for r in pii.mask(df).collect()} == {1: "a <EMAIL> b <PHONE>.", 2: None, 3: "", 4: "é <EMAIL>"}
