@@ -208,3 +208,28 @@ def filename_state(x: Column, states: list[str]) -> Column:
 def edit_year(x: Column) -> Column:
     """The year a date-time starts with, null where it has none."""
     return F.nullif(F.substring(x, 1, 4).try_cast("int"), F.lit(0))
+
+
+#: Codes of the jurisdictions that may stand before a figure's designation (fixed values).
+JURISDICTIONS = ("ACT", "NSW", "NT", "QLD", "SA", "TAS", "VIC", "WA")
+
+
+def fig_key(x: Column) -> Column:
+    """One key for a figure's designation, as prose names it or as its caption does.
+
+    What a caption says after a colon goes, then a qualifier (in brackets, or the word
+    explanatory), punctuation of the sentence around it and a jurisdiction in front; lower case.
+    """
+    lead = F.substring_index(x, ":", 1)
+    bare = F.regexp_replace(trim_ws(F.substring_index(lead, "(", 1)), r"(?i)\s+explanatory$", "")
+    bare = F.rtrim(bare, F.lit(".,;:)]"))
+    first = F.upper(F.substring_index(bare, " ", 1))
+    return F.lower(F.when(first.isin(*JURISDICTIONS) & F.contains(bare, F.lit(" ")), F.ltrim(F.substring(bare, F.length(first) + 1, 1 << 30))).otherwise(bare))
+
+
+def sources_for(volume: Column, sources: Column) -> Column:
+    """sources and problem: the documents that publish an entry, by default its own volume; none, or one named twice, is a problem."""
+    given = F.coalesce(sources, F.array(volume))
+    list_ = F.filter(F.transform(given, lambda s: trim_ws(F.coalesce(s, F.lit("")))), lambda s: s != "")
+    problem = F.when(F.size(list_) == 0, "no source").when(F.size(F.array_distinct(list_)) < F.size(list_), "named twice")
+    return F.struct(list_.alias("sources"), problem.alias("problem"))

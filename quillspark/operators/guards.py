@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 VIOLATION = ("guard", "subject", "detail")
@@ -109,3 +109,101 @@ def acceptance(corpus: DataFrame, most_bytes: int = 131072) -> DataFrame:
     b = violation(corpus.where(~F.contains(head, F.lit("citation: "))), "citation near top", "path", "'no citation'")
     c = violation(corpus.where(F.octet_length("content") > most_bytes), "size", "path", "concat(octet_length(content), ' bytes')")
     return gathered(a, b, c)
+
+
+def exact_names(corpus: DataFrame) -> DataFrame:
+    """#1: a file name leads with a clause's token exactly if the file is that clause's; of one clause, volume and
+    jurisdiction there is one file, and it lies in the volume's folder. corpus: path, clause, volume, jurisdiction."""
+    from quillspark.functions.text import designation
+
+    named = corpus.withColumn("__token", designation(F.col("clause"))).withColumn("__lead", F.substring_index(F.regexp_extract("path", r"([^/]+)\.md$", 1), "-", 1)).withColumn("__dir", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
+    clauses = named.where("clause is not null")
+    tokens = clauses.select(F.col("__token").alias("__lead")).distinct()
+    hits = named.join(tokens, "__lead", "left_semi").where("clause is null or __token <> __lead")
+    lost = clauses.where("__token <> __lead")
+    twins = clauses.groupBy("clause", "volume", "jurisdiction").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("__k", F.concat_ws("|", "clause", "volume", "jurisdiction"))
+    return gathered(
+        violation(hits, "wrong hit", "path", "concat('found as ', __lead)"), violation(lost, "lost name", "path", "concat('clause ', clause)"),
+        violation(twins, "two files of one clause", "__k", "concat(n, ' files')"), violation(clauses.where("not (__dir <=> volume)"), "outside its volume", "path", "volume"),
+    )
+
+
+def phrases_present(corpus: DataFrame, phrases: list[str]) -> DataFrame:
+    """#2, #3: phrases that no line of any file holds whole."""
+    wanted = corpus.sparkSession.createDataFrame([(p,) for p in phrases], "phrase string")
+    holds = lambda p: F.exists(F.split("content", "\n"), lambda x: F.contains(x, F.lit(p)))
+    each = F.array(*(F.struct(F.lit(p).alias("phrase"), holds(p).alias("there")) for p in phrases))
+    there = corpus.select(F.explode(each).alias("x")).where("x.there").select("x.phrase").distinct()
+    return violation(wanted.join(there, "phrase", "left_anti"), "phrase", "phrase", "'in no line'")
+
+
+def cited_reachable(corpus: DataFrame, kind: str, whole: bool, ruled: DataFrame | None = None) -> DataFrame:
+    """#4, #8: what a file cites (a figure or a table) is in that file, or in files of one clause only; in a whole
+    corpus it is somewhere, unless ``ruled`` (path, key) says that the source names what isn't there."""
+    from quillspark.functions.text import JURISDICTIONS, fig_key
+
+    if kind == "figure":
+        shown, cited = r"!?\[Figure([^\]]*)\]", rf"(?i)\bsee Figure (?:(?:{'|'.join(JURISDICTIONS)})\s+)?([A-Za-z0-9][A-Za-z0-9.]*)"
+        text, key = F.col("content"), fig_key
+    else:
+        shown, cited = r"(?m)^>?\s*#{2,4} Table ([^\s—|]+)", rf"\bTable (?:(?:{'|'.join(JURISDICTIONS)}) )?([A-Z][0-9]+[A-Z][0-9]+[a-z]?)\b"
+        text, key = F.regexp_replace("content", r"(?m)^>?\s*#{2,4} Table .*$", ""), F.lower
+    found = lambda t, p: F.explode(F.array_distinct(F.regexp_extract_all(t, F.lit(p), F.lit(1))))
+    at = corpus.select("path", F.coalesce("clause", "path").alias("__of"), found(F.col("content"), shown).alias("__raw")).select("path", "__of", key(F.col("__raw")).alias("key")).where("key <> ''").distinct()
+    refs = corpus.select("path", found(text, cited).alias("__raw")).select("path", key(F.col("__raw")).alias("key")).distinct()
+    homes = at.groupBy("key").agg(F.count_distinct("__of").alias("n"))
+    open_ = refs.join(at.select("path", "key"), ["path", "key"], "left_anti").join(homes, "key", "left")
+    lost = open_.where("n is null") if whole else open_.where("false")
+    if ruled is not None:
+        lost = lost.join(ruled, ["path", "key"], "left_anti")
+    return violation(open_.where("n > 1"), f"cited {kind}", "path", "concat(key, ' is in ', n, ' clauses')").unionByName(violation(lost, f"cited {kind}", "path", "concat(key, ' is nowhere')"))
+
+
+def self_citing(corpus: DataFrame, permitted: DataFrame, lines: int = 7) -> DataFrame:
+    """#5: citation within the first lines, and the address of clauses; ``permitted`` (path) have none, and must not have one."""
+    head = F.array_join(F.slice(F.split("content", "\n"), 1, lines), "\n")
+    c = corpus.withColumn("__cited", F.contains(head, F.lit("citation: "))).withColumn("__linked", F.contains(head, F.lit("web_url: ")))
+    c = c.join(permitted.select("path", F.lit(True).alias("__free")).distinct(), "path", "left").withColumn("__free", F.coalesce("__free", F.lit(False)))
+    return gathered(
+        violation(c.where("not __cited"), "citation near top", "path", "'no citation'"),
+        violation(c.where("clause is not null and not __free and not __linked"), "address near top", "path", "'no address'"),
+        violation(c.where("clause is not null and __free and __linked"), "address near top", "path", "'has an address after all'"),
+    )
+
+
+def bare_labels(corpus: DataFrame) -> DataFrame:
+    """#7: labels with nothing under them: list labels that host nothing deeper, subclause numbers before another one,
+    a heading or the end, and callout labels that stand alone."""
+    body = F.regexp_replace("content", r"(?s)\A---\n.*?\n---\n", "")
+    w = Window.partitionBy("path").orderBy("pos")
+    line = corpus.select("path", F.posexplode(F.split(body, "\n")).alias("pos", "line")).withColumn("quoted", F.col("line").startswith(">"))
+    line = line.withColumn("alone", ~F.coalesce(F.lag("quoted").over(w), F.lit(False)) & ~F.coalesce(F.lead("quoted").over(w), F.lit(False)))
+    bare = F.regexp_replace("line", r"^>\s?", "")
+    line = line.withColumn("bare", bare).where("trim(bare) <> ''").withColumn("indent", F.length("bare") - F.length(F.ltrim("bare")))
+    after = F.lead(F.struct("quoted", "bare", "indent")).over(w)
+    line = line.withColumn("next", after).withColumn("same", F.coalesce(F.col("next.quoted") == F.col("quoted"), F.lit(False)))
+    number = r"^\s*\*\*\([^)]*\)\*\*\s*$"
+    item = F.col("bare").rlike(r"^\s*(\(([ivxlcdm]+|[IVXLCDM]+|[A-Za-z]|[0-9]+)\)|[-*])\s*$") & ~(F.col("same") & (F.col("next.indent") > F.col("indent")))
+    sub = F.col("bare").rlike(number) & ~(F.col("same") & ~F.col("next.bare").rlike(number) & ~F.ltrim(F.col("next.bare")).rlike("^#{1,6} "))
+    box = F.col("quoted") & F.col("alone") & F.trim("bare").rlike(r"^\*\*[^*].*\*\*$") & ~F.col("bare").rlike(number)
+    return violation(line.where(item | sub | box), "bare label", "path", "concat('line ', pos + 1, ' of the body: ', line)")
+
+
+def caveats(corpus: DataFrame, token: str, listed: DataFrame) -> DataFrame:
+    """#9: the note of retained text stands once, as a paragraph of its own below the heading, in the files that the index lists (path) and in no other."""
+    lines = F.split("content", "\n")
+    own = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).startswith(token))
+    at = F.get(own, F.lit(0))
+    alone = (F.get(lines, at - 1) == "") & F.coalesce(F.get(lines, at + 1) == "", F.lit(False))
+    below = F.exists(F.slice(lines, F.lit(1), F.greatest(at, F.lit(0))), lambda x: x.startswith("# "))
+    c = corpus.where(F.contains("content", F.lit(token))).select("path", F.size(own).alias("n"), F.coalesce(alone & below, F.lit(False)).alias("ok"))
+    from quillspark.operators.ordered import both_ways
+
+    sides = both_ways(c, listed, "path")
+    return gathered(violation(c.where("n <> 1"), "caveat", "path", "concat(n, ' times')"), violation(c.where("n = 1 and not ok"), "caveat", "path", "'not a paragraph below the heading'"), violation(sides, "caveat and index", "path", "side"))
+
+
+def acceptance_pack(corpus: DataFrame, phrases: list[str], permitted: DataFrame, token: str, listed: DataFrame, whole: bool, most_bytes: int = 131072) -> DataFrame:
+    """C13, all nine checks of a finished corpus (path, clause, volume, jurisdiction, content) in one table of violations."""
+    large = violation(corpus.where(F.octet_length("content") > most_bytes), "size", "path", "concat(octet_length(content), ' bytes')")
+    return gathered(exact_names(corpus), phrases_present(corpus, phrases), cited_reachable(corpus, "figure", whole), self_citing(corpus, permitted), large, bare_labels(corpus), cited_reachable(corpus, "table", whole), caveats(corpus, token, listed))

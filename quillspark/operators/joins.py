@@ -38,7 +38,7 @@ def identity(refs: DataFrame, clauses: DataFrame, rulings: DataFrame) -> DataFra
     """
     by_file = clauses.select("conref", F.col("id").alias("file_id"))
     by_id = clauses.groupBy("id").agg(F.min("conref").alias("id_conref"), F.count(F.lit(1)).alias("id_files")).select(F.col("id").alias("title_id"), "id_conref", "id_files")
-    j = refs.join(by_file, "conref", "left").join(by_id, "title_id", "left").join(F.broadcast(rulings), "ref", "left")
+    j = refs.join(by_file, "conref", "left").join(by_id, "title_id", "left").join(rulings, "ref", "left")
     id_ok, title_ok = F.col("id").eqNullSafe(F.col("file_id")), F.col("title_id").eqNullSafe(F.col("file_id"))
     decision = (
         F.when(id_ok & title_ok, "agree").when(id_ok, "title-only").when(title_ok, F.coalesce("action", F.lit("id-only")))
@@ -54,7 +54,7 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
 
 def recover(refs: DataFrame, siblings: DataFrame, rulings: DataFrame) -> DataFrame:
     """Ruled recoveries from another package: identities checked again, variations and pointers refused (``problem``)."""
-    r = F.broadcast(rulings.select("ref", "from", "conref", "wanted_id"))
+    r = rulings.select("ref", "from", "conref", "wanted_id")
     j = refs.select("ref").join(r, "ref").join(siblings.select(F.col("package").alias("from"), "conref", F.col("id").alias("found_id"), "is_variation", "has_conref"), ["from", "conref"], "left")
     return j.withColumn("problem", F.when(F.col("found_id").isNull(), "not there").when(F.col("found_id") != F.col("wanted_id"), "another identity").when(F.col("is_variation"), "a variation").when(F.col("has_conref"), "a pointer"))
 
@@ -62,21 +62,22 @@ def recover(refs: DataFrame, siblings: DataFrame, rulings: DataFrame) -> DataFra
 def splice(pointers: DataFrame, wrappers: DataFrame, most: int = 20) -> DataFrame:
     """Pointers followed to the wrapper that holds content: start, node, hops, state (content, empty, dangling, cyclic).
 
-    pointers: start, target. wrappers: node, points_to (null: holds content), empty. Each round
-    joins only what still points; a chain longer than ``most`` counts as cyclic.
+    pointers: start, target. wrappers: node (each once), points_to (null: holds content), empty.
+    Chains are followed by doubling, five rounds of joins for 20 hops; one of ``most`` hops or more
+    counts as cyclic.
     """
-    w = wrappers.select(F.col("node").alias("__n"), "points_to", "empty")
+    # where a node leads to in 1, 2, 4, ... hops, or in fewer if it ends there: a round of joins for each bit of ``most``
+    jump = wrappers.select("node", F.coalesce("points_to", "node").alias("to"), F.col("points_to").isNotNull().cast("int").alias("hops"))
     at = pointers.select("start", F.col("target").alias("node"), F.lit(0).alias("hops"))
-    done = []
-    for hop in range(most):
-        j = at.join(w, F.col("node") == F.col("__n"), "left")
-        state = F.when(F.col("__n").isNull(), "dangling").when(F.col("points_to").isNull(), F.when(F.col("empty"), "empty").otherwise("content"))
-        j = j.withColumn("state", state)
-        done.append(j.where("state is not null").select("start", "node", "hops", "state"))
-        at = j.where("state is null").select("start", F.col("points_to").alias("node"), F.lit(hop + 1).alias("hops"))
-        if hop % 5 == 4 and at.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, [*done, at.select("start", "node", "hops", F.lit("cyclic").alias("state"))])
+    then = lambda a, key, j: a.join(j.select(F.col("node").alias("__n"), F.col("to").alias("__to"), F.col("hops").alias("__h")), F.col(key) == F.col("__n"), "left").withColumn(key, F.coalesce("__to", key)).withColumn("hops", F.col("hops") + F.coalesce("__h", F.lit(0))).drop("__n", "__to", "__h")
+    for bit in range(most.bit_length()):
+        if most >> bit & 1:
+            at = then(at, "node", jump)
+        if most >> bit > 1:
+            jump = then(jump, "to", jump)
+    end = at.join(wrappers.select(F.col("node").alias("__n"), "empty"), F.col("node") == F.col("__n"), "left")
+    state = F.when(F.col("hops") >= most, "cyclic").when(F.col("__n").isNull(), "dangling").when(F.col("empty"), "empty").otherwise("content")
+    return end.select("start", "node", "hops", state.alias("state"))
 
 
 def state_files(hosts: DataFrame, files: DataFrame) -> DataFrame:
@@ -126,8 +127,8 @@ def insert_only(accepted: DataFrame, base: DataFrame, ids: DataFrame) -> DataFra
 
 
 def ruled(df: DataFrame, rulings: DataFrame, keys: list[str], name: str = "ruling") -> DataFrame:
-    """``df`` with the id of the ruling that applies, by null-safe equality of all keys. Rulings are enumerated by hand: a table of some rows."""
-    r = F.broadcast(rulings.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("id").alias(name)))
+    """``df`` with the id of the ruling that applies, by null-safe equality of all keys. Null-safe equality is an equi-join, so no side has to be small."""
+    r = rulings.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("id").alias(name))
     return df.join(r, reduce(lambda a, k: a & F.col(k).eqNullSafe(F.col(f"__{k}")), keys, F.lit(True)), "left").drop(*(f"__{k}" for k in keys))
 
 
@@ -143,6 +144,45 @@ def first_by(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(order).alias(order), *(F.min_by(c, order).alias(c) for c in cols))
 
 
+def membership(files: DataFrame) -> DataFrame:
+    """Clause files (base_id, accepted_id) with ``membership``: of both states under one designation or two, or of one state only."""
+    has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    kind = F.when(~has("base_id"), "later only").when(~has("accepted_id"), "earlier only").when(F.col("base_id") == F.col("accepted_id"), "unchanged").otherwise("renumbered")
+    return files.withColumn("membership", kind)
+
+
+def renumbered(files: DataFrame) -> DataFrame:
+    """Files whose designation the later state replaces by another of letters, digits and dots."""
+    return membership(files).where((F.col("membership") == "renumbered") & F.col("accepted_id").rlike("^[A-Za-z0-9.]+$")).drop("membership")
+
+
+def image_sources(images: DataFrame, files: DataFrame) -> DataFrame:
+    """Image nodes (doc_id, pre, href) with the disk name of their package's file and a state.
+
+    A name matches as it stands, else in lower case, else without its extension. A node without
+    match is missing, one with several ambiguous: both are violations. Raster data in the href
+    itself is skipped.
+    """
+    base = F.regexp_extract(F.regexp_replace("href", r"[?#].*$", ""), r"([^/\\]+)$", 1)
+    of = images.where(~F.col("href").startswith("data:")).select("doc_id", "pre", F.struct("doc_id", "pre").alias("__node"), base.alias("__name"))
+    key = lambda c: F.concat_ws("|", F.col("doc_id").cast("string"), c)
+    low = lambda c: F.lower(F.col(c))
+    bare = lambda c: F.regexp_replace(low(c), r"\.[^.]*$", "")
+    found = tiered(of, files, [(key(F.col("__name")), key(F.col("name"))), (key(low("__name")), key(low("name"))), (key(bare("__name")), key(bare("name")))], "__node", "name")
+    state = F.when(F.col("match").isNull(), "missing").when(F.col("matches") > 1, "ambiguous").otherwise("found")
+    out = found.select("doc_id", "pre", F.when(state == "found", F.col("match")).alias("name"), state.alias("state"))
+    return images.join(out, ["doc_id", "pre"], "left").withColumn("state", F.coalesce("state", F.lit("inline")))
+
+
+def packaged(figures: DataFrame, documents: DataFrame, listings: DataFrame) -> DataFrame:
+    """Figures (year, key, file) with the package of their document (year, key, package) and whether its listing
+    (package, name) has the file: listed, not listed, or no package."""
+    d = documents.select("year", "key", "package").distinct()
+    has = listings.select("package", F.col("name").alias("file"), F.lit(True).alias("__there")).distinct()
+    j = figures.join(d, ["year", "key"], "left").join(has, ["package", "file"], "left")
+    return j.select("year", "key", "file", "package", F.when(F.col("package").isNull(), "no package").when(F.col("__there"), "listed").otherwise("not listed").alias("state"))
+
+
 def containment_pairs(passages: DataFrame, texts: DataFrame, words: int = 8) -> DataFrame:
     """(item_id, doc_id) of passages that texts contain word for word (white space as single spaces).
 

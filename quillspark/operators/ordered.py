@@ -45,6 +45,15 @@ def by_tuple(df: DataFrame, label: str, state: str, path: str) -> DataFrame:
     return df.orderBy(label, F.coalesce(F.col(state), F.lit("")), path)
 
 
+def places(df: DataFrame, label: str, state: str, path: str) -> DataFrame:
+    """``df`` with its place in index order, from 1. A label's rows are numbered among themselves; what
+    stands before them is summed over the labels, of which there are far fewer than rows."""
+    before = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    before = before.withColumn("__before", F.sum("__n").over(Window.orderBy(label)) - F.col("__n")).drop("__n")
+    own = F.row_number().over(Window.partitionBy(label).orderBy(F.coalesce(F.col(state), F.lit("")), path))
+    return df.withColumn("__own", own).join(before, label).withColumn("place", F.col("__own") + F.col("__before")).drop("__own", "__before")
+
+
 def heading_windows(lines: DataFrame) -> DataFrame:
     """Label lines (doc_id, pos, line) that host nothing deeper: the next non-blank line is indented no further."""
     n = lines.where("trim(line) <> ''").withColumn("indent", F.length("line") - F.length(F.ltrim("line")))

@@ -6,8 +6,10 @@ renders), so a unit's nodes meet in one group; units are small, a group is bound
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,6 +21,10 @@ INLINE = frozenset("a xref strong b i em sup sub ins signage equation-inline glo
 TRANSPARENT = frozenset("content glossBody glossAlt intro-part".split())
 NOTHING = frozenset("placeholder common-cellChildTextNode related-links".split())
 IDENTITY = frozenset("title sptc archive-num glossterm meta".split())
+#: Cells of a table, what may stand beside its rows, and what shows although it has no text (fixed values of the format).
+CELLS = frozenset(("td", "th", "entry"))
+BESIDE_ROWS = frozenset(("col", "colgroup", "colspec", "title"))
+SHOWN = frozenset(("img", "image", "table", "equation-block", "equation-inline"))
 LIST_CLASSES = {"alpha": "alpha", "lower-alpha": "alpha", "roman": "roman", "lower-roman": "roman", "numbered": "numbered", "decimal": "numbered", "upper-alpha": "upper-alpha", "upper-roman": "upper-roman"}
 SPACE = re.compile(r"\s+")
 
@@ -30,10 +36,12 @@ class RenderError(ValueError):
 class El:
     """An element or text of a unit."""
 
-    __slots__ = ("tag", "attrs", "text", "kids", "up")
+    __slots__ = ("tag", "attrs", "text", "kids", "up", "shows")
 
     def __init__(self, tag: str, attrs: dict, text: str | None, up: "El | None"):
         self.tag, self.attrs, self.text, self.kids, self.up = tag, attrs, text, [], up
+        #: Whether it or something in it is text, a figure, a table or a formula; ``tree`` hands it up.
+        self.shows = tag in SHOWN or bool(text and text.strip())
 
     def elements(self) -> "list[El]":
         return [k for k in self.kids if k.tag != "#text"]
@@ -57,9 +65,28 @@ def tree(rows: pd.DataFrame) -> El:
             up.kids.append(e)
         elif root is None:
             root = e
+    for e in reversed(by.values()):
+        if e.up and e.shows:
+            e.up.shows = True
     return root
 
 
+class Outline(NamedTuple):
+    """A list before its items have labels: its style (None: bullets) and the parts of each item.
+
+    A part is a text, an outline or a list of block parts. Which items show, and so which label an
+    item has, is known only once all parts are there.
+    """
+
+    style: str | None
+    items: list[list]
+
+
+def _role(k: El) -> str:
+    """What a child of a list item is: part of a run of text, a paragraph, a list or a block."""
+    return "run" if k.tag == "#text" or k.tag in INLINE else {"p": "p", "ol": "list", "ul": "list"}.get(k.tag, "block")
+
+
 def alpha(n: int) -> str:
     s = ""
     while n > 0:
@@ -82,7 +109,7 @@ LABEL: dict[str, Callable[[int], str]] = {"alpha": alpha, "roman": roman, "numbe
 class Renderer:
     """Renders one unit. ``link``: href to an absolute URL or None; ``figures``: prefix of image URLs."""
 
-    def __init__(self, figures: str = "", fold_terms: bool = False):
+    def __init__(self, figures: str = ""):
         self.prefix = figures
         self.terms: dict[str, None] = {}
         self.figures: dict[str, None] = {}
@@ -171,82 +198,67 @@ class Renderer:
         for k in rest:
             self.block(k, out, depth)
 
-    def _list(self, e: El, out: list, depth: int, parent: str | None = None) -> None:
-        style = self.style(e, parent) if e.tag == "ol" else None
-        n = 1
-        for item in self.items(e):
-            if item.tag != "li":
-                raise RenderError(f"<{item.tag}> in a list")
-            label = f"({LABEL[style](n)})" if style else "-"
-            inner: list[tuple[str, str]] = []
-            self.item(item, label, inner, depth, style or parent)
-            if all(k == "line" and s == "  " * depth + label for k, s in inner):
-                self.warn("empty-list-item", f"{label} labels nothing")
-                continue
-            out += inner
-            n += 1
+    def _list(self, e: El, out: list, depth: int) -> None:
+        out += self.drawn(self.outlined(e, None, depth), depth)
 
-    def items(self, e: El) -> list[El]:
-        out = []
-        for k in e.elements():
-            lists = [x for x in k.elements() if x.tag in ("ol", "ul")]
-            rest = [x for x in k.kids if x not in lists and (x.tag == "#text" and x.text.strip() or x.tag != "#text" and not self.nothing(x))]
-            if k.tag == "li" and len(lists) == 1 and not rest:
+    def members(self, e: El) -> Iterator[El]:
+        """The items of a list. An item that shows nothing and holds one list stands for that list's items."""
+        for li in e.elements():
+            if li.tag != "li":
+                raise RenderError(f"<{li.tag}> in a list")
+            lists = [k for k in li.kids if _role(k) == "list"]
+            if len(lists) == 1 and not any(k.shows for k in li.kids if k not in lists):
                 self.warn("flattened-wrapper-item", "an item held only a list")
-                out += self.items(lists[0])
+                yield from self.members(lists[0])
             else:
-                out.append(k)
-        return out
-
-    def nothing(self, e: El) -> bool:
-        return not e.content().strip() and not e.has(frozenset(("img", "image", "table", "equation-block", "equation-inline")))
-
-    def style(self, e: El, parent: str | None) -> str:
-        declared = (e.attrs.get("class") or e.attrs.get("outputclass") or "").strip()
-        if declared:
-            if declared not in LIST_CLASSES:
-                raise RenderError(f"list class {declared}")
-            return LIST_CLASSES[declared]
-        if not parent:
-            return "numbered" if e.up is not None and e.up.tag == "desc-note" else "alpha"
-        if parent in NEXT_STYLE:
-            return NEXT_STYLE[parent]
-        self.warn("list-depth", f"no style below {parent}")
-        return parent
-
-    def item(self, li: El, label: str, out: list, depth: int, style: str | None) -> None:
-        state = {"text": "", "first": True}
-
-        def flush() -> None:
-            s = SPACE.sub(" ", state["text"]).strip()
-            state["text"] = ""
-            if s:
-                line(s)
-
-        def line(s: str) -> None:
-            out.append(("line", f"{'  ' * depth}{label} {s}".rstrip() if state["first"] else f"{'  ' * (depth + 1)}{s}"))
-            state["first"] = False
-
-        for k in li.kids:
-            if k.tag == "#text":
-                state["text"] += SPACE.sub(" ", k.text)
-            elif k.tag in INLINE:
-                state["text"] += self.mark(k)
-            elif k.tag == "p":
-                flush()
-                state["text"] = self.inline(k)
-                flush()
+                yield li
+
+    def outlined(self, e: El, above: str | None, depth: int) -> Outline:
+        """above: the style of the numbered list around it; bullets pass it on."""
+        style = self.list_style(e, above) if e.tag == "ol" else None
+        return Outline(style, [self.parts(li, style or above, depth) for li in self.members(e)])
+
+    def list_style(self, e: El, above: str | None) -> str:
+        named = [v for v in (e.attrs.get(k, "").strip() for k in ("class", "outputclass")) if v]
+        if named and named[0] not in LIST_CLASSES:
+            raise RenderError(f"list class {named[0]}")
+        if above and not named and above not in NEXT_STYLE:
+            self.warn("list-depth", f"no style below {above}")
+        outermost = "numbered" if e.up is not None and e.up.tag == "desc-note" else "alpha"
+        return LIST_CLASSES[named[0]] if named else NEXT_STYLE.get(above, above) if above else outermost
+
+    def parts(self, li: El, style: str | None, depth: int) -> list:
+        found: list = []
+        for role, group in itertools.groupby(li.kids, _role):
+            if role == "run":
+                texts = ["".join(k.text if k.tag == "#text" else self.mark(k) for k in group)]
+                found += [t for t in (SPACE.sub(" ", x).strip() for x in texts) if t]
+            elif role == "p":
+                found += [t for t in map(self.inline, group) if t]
+            elif role == "list":
+                found += [self.outlined(k, style, depth + 1) for k in group]
             else:
-                flush()
-                if state["first"]:
-                    line("")
-                if k.tag in ("ol", "ul"):
-                    self._list(k, out, depth + 1, style)
-                else:
-                    self.block(k, out, depth)
-        flush()
-        if state["first"]:
-            line("")
+                for k in group:
+                    self.block(k, blocks := [], depth)
+                    found.append(blocks)
+        return found
+
+    def drawn(self, o: Outline, depth: int) -> list[tuple[str, str]]:
+        """Lines of an outline. A text that comes first stands beside its label, all else below; an item of which nothing shows takes no label."""
+        out: list[tuple[str, str]] = []
+        n, pad = 1, "  " * depth
+        for parts in o.items:
+            label = f"({LABEL[o.style](n)})" if o.style else "-"
+            beside = [x for x in parts[:1] if isinstance(x, str)]
+            below: list[tuple[str, str]] = []
+            for x in parts[len(beside) :]:
+                below += [("line", f"{pad}  {x}")] if isinstance(x, str) else self.drawn(x, depth + 1) if isinstance(x, Outline) else x
+            if beside or below:
+                out += [("line", " ".join([pad + label, *beside])), *below]
+                n += 1
+            else:
+                self.warn("empty-list-item", f"{label} labels nothing")
+        return out
 
     def _table(self, e: El, out: list, depth: int) -> None:
         taken, _ = _take(e, ("title",))
@@ -257,41 +269,22 @@ class Renderer:
             out.append(("block", text))
 
     def grid(self, e: El) -> str:
-        """A square pipe table; spanning cells repeat, empty rows go, at least one row heads it."""
-        rows: list[tuple[list[El], bool, dict]] = []
-        _rows(e, rows, False, {})
-        cells: list[dict[int, El]] = [{} for _ in rows]
-        spans = 0
-        for r, (row, _, cols) in enumerate(rows):
-            col = 0
-            for c in row:
-                wide, tall, start = _span(c, cols)
-                spans += wide > 1 or tall > 1
-                while col in cells[r]:
-                    col += 1
-                if start is not None and start != col:
-                    raise RenderError(f"a cell names column {start + 1} but the row is at column {col + 1}")
-                for dr in range(tall):
-                    if r + dr < len(cells):
-                        cells[r + dr].update({col + dc: c for dc in range(wide)})
-                col += wide
-        width = max((max(c) + 1 for c in cells if c), default=0)
+        """A square pipe table; spanning cells repeat, rows without text go, the first one left heads it."""
+        rows = list(_rows(e, False, {}))
+        placed = list(_placed(rows))
+        width = max((max(r) + 1 for r in placed if r), default=0)
+        text = {id(c): self.cell(c) for row in placed for c in row.values()}
+        lines = [[text[id(row[i])] if i in row else "" for i in range(width)] for row in placed]
         if not width:
             return ""
-        text = {id(c): self.cell(c) for row in cells for c in row.values()}
-        lines = [[text[id(row[i])] if i in row else "" for i in range(width)] for row in cells]
-        heads = max(1, sum(h for _, h, _ in rows))
-        if spans:
-            self.warn("table-irregular", f"{spans} spanning cells repeated")
-        if heads > 1:
-            self.warn("table-multirow-header", f"{heads} header rows")
-        body = [x for x in lines[1:] if any(x)]
-        if len(body) < len(lines) - 1:
-            self.warn("table-empty-rows", f"{len(lines) - 1 - len(body)} empty rows")
-        if not any(lines[0]) and not body:
-            return ""
-        draw = lambda x: "| " + " | ".join(x) + " |"
-        return "\n".join([draw(lines[0]), "|" + " --- |" * width, *map(draw, body)])
+        wide = sum(_span(c, cols)[:2] != (1, 1) for cells, _, cols in rows for c in cells)
+        heads = sum(head or i == 0 and all(c.tag == "th" for c in cells) for i, (cells, head, _) in enumerate(rows))
+        left = [x for x in lines if any(x)]
+        for n, least, kind, what in ((wide, 1, "table-irregular", "spanning cells repeated"), (heads, 2, "table-multirow-header", "header rows"), (len(lines) - len(left), 1, "table-empty-rows", "empty rows")):
+            if n >= least:
+                self.warn(kind, f"{n} {what}")
+        drawn = ["| " + " | ".join(x) + " |" for x in left]
+        return "\n".join([*drawn[:1], "|" + " --- |" * width, *drawn[1:]]) if left else ""
 
     def cell(self, c: El) -> str:
         inner: list[tuple[str, str]] = []
@@ -485,33 +478,59 @@ def _take(e: El, tags: tuple[str, ...]) -> tuple[dict[str, El], list[El]]:
     return taken, rest
 
 
-def _rows(e: El, out: list, head: bool, cols: dict) -> None:
-    cols = cols | {k.attrs.get("colname", str(i + 1)): i for i, k in enumerate(x for x in e.elements() if x.tag == "colspec")}
+def _rows(e: El, head: bool, cols: dict[str, int]) -> Iterator[tuple[list[El], bool, dict[str, int]]]:
+    """Each row's cells, whether it stands in a head, and the named columns of its group."""
+    if e.tag == "tgroup":
+        names = [k.attrs["colname"] for k in e.elements() if k.tag == "colspec" and k.attrs.get("colname")]
+        cols = dict(zip(names, range(len(names)), strict=True))
     for k in e.elements():
         if k.tag in ("tr", "row"):
-            out.append(([c for c in k.elements() if c.tag in ("td", "th", "entry")], head, cols))
-        elif k.tag in ("thead", "tbody", "tfoot", "tgroup", "table"):
-            _rows(k, out, head or k.tag == "thead", cols)
-        elif k.tag not in ("colspec", "title", "caption", "colgroup"):
+            for c in k.elements():
+                if c.tag not in CELLS:
+                    raise RenderError(f"<{c.tag}> in a row")
+            yield k.elements(), head, cols
+        elif k.tag in ("thead", "tbody", "tfoot", "tgroup"):
+            yield from _rows(k, k.tag == "thead" or k.tag == "tgroup" and head, cols)
+        elif k.tag not in BESIDE_ROWS:
             raise RenderError(f"<{k.tag}> in a table")
 
 
-def _span(c: El, cols: dict) -> tuple[int, int, int | None]:
-    a = c.attrs
-    whole = lambda x: max(1, int(x)) if x and x.isdigit() else 1
-    if c.tag != "entry":
-        return whole(a.get("colspan")), whole(a.get("rowspan")), None
-    tall = a.get("morerows", "0")
-    if not tall.isdigit():
-        raise RenderError(f"morerows={tall}")
-    if a.get("namest"):
-        if a["namest"] not in cols or a.get("nameend", a["namest"]) not in cols:
-            raise RenderError(f"unknown column {a['namest']}")
-        start, end = cols[a["namest"]], cols[a.get("nameend", a["namest"])]
-        if end < start:
-            raise RenderError("a span runs backwards")
-        return end - start + 1, int(tall) + 1, start
-    return 1, int(tall) + 1, None
+def _placed(rows: list[tuple[list[El], bool, dict[str, int]]]) -> Iterator[dict[int, El]]:
+    """Cells by column, row by row: what spans rows is carried down, the row's own cells take the columns it leaves.
+    What spans more rows than there are gives rows of its own."""
+    carried: dict[int, tuple[El, int]] = {}
+    for cells, _, cols in rows:
+        row = {i: c for i, (c, _) in carried.items()}
+        carried = {i: (c, n - 1) for i, (c, n) in carried.items() if n > 1}
+        for c in cells:
+            wide, tall, start = _span(c, cols)
+            at = next(i for i in itertools.count() if i not in row)
+            if start not in (None, at):
+                raise RenderError(f"a cell names column {start + 1} but the row is at column {at + 1}")
+            row |= dict.fromkeys(range(at, at + wide), c)
+            if tall > 1:
+                carried |= dict.fromkeys(range(at, at + wide), (c, tall - 1))
+        yield row
+    while carried:
+        yield {i: c for i, (c, _) in carried.items()}
+        carried = {i: (c, n - 1) for i, (c, n) in carried.items() if n > 1}
+
+
+def _span(c: El, cols: dict[str, int]) -> tuple[int, int, int | None]:
+    """Columns and rows of a cell, and the column it names. What isn't modelled is refused: a cell in a wrong column is a wrong value."""
+    count = lambda key: int(m[1]) if (m := re.match(r"\s*([0-9]+)", c.attrs.get(key, ""))) and int(m[1]) else 1
+    wide, tall, start = count("colspan"), count("rowspan"), None
+    if c.attrs.get("colname"):
+        raise RenderError(f"a cell at the column {c.attrs['colname']}")
+    ends = [c.attrs[k] for k in ("namest", "nameend") if c.attrs.get(k)]
+    if wide == 1 and ends:
+        if len(ends) == 1 or not set(ends) <= cols.keys() or cols[ends[0]] > cols[ends[1]]:
+            raise RenderError(f"a span over {' to '.join(ends)}")
+        start, wide = cols[ends[0]], cols[ends[1]] - cols[ends[0]] + 1
+    more = c.attrs.get("morerows") or "0"
+    if tall == 1 and not more.isdigit():
+        raise RenderError(f"morerows={more}")
+    return wide, tall if tall > 1 else int(more) + 1, start
 
 
 RENDERED = "unit string, body string, defined_terms array<string>, figures array<string>, warnings array<string>, table_refs array<string>, error string"

@@ -36,9 +36,11 @@ def term_sources(units: DataFrame, glossary: DataFrame) -> DataFrame:
     """Terms that units use, with the glossary file and sources that define them, matched on folded text."""
     from quillspark.functions.text import slugify
 
-    used = units.select("path", F.explode("defined_terms").alias("used")).withColumn("__k", slugify(F.col("used")))
+    used = units.select("path", F.explode("defined_terms").alias("used"))
     g = glossary.select(F.col("path").alias("definition"), "sources", slugify(F.col("term")).alias("__k"))
-    return used.join(g, "__k", "left").select("path", "used", "definition", "sources")
+    # folding is dear: each distinct term is folded once
+    terms = used.select("used").distinct().withColumn("__k", slugify(F.col("used"))).join(g, "__k", "left").drop("__k")
+    return used.join(terms, "used").select("path", "used", "definition", "sources")
 
 
 def browse(index: DataFrame) -> DataFrame:

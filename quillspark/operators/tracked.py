@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.operators.tree import with_path
+from quillspark.session import cut
+
 
 def clamped_depth(df: DataFrame, partition: list[str], order: list[str], delta: Column, name: str = "depth") -> DataFrame:
     """A counter over ordered rows that never falls below zero.
@@ -55,12 +58,18 @@ def _container(tag: str) -> Column:
 
 
 def _inside(nodes: DataFrame, outer: DataFrame) -> DataFrame:
-    """(doc_id, o_pre, pre, ...): nodes strictly below each node of ``outer`` (doc_id, o_pre, o_post)."""
-    return nodes.join(outer, "doc_id").where((F.col("pre") > F.col("o_pre")) & (F.col("post") < F.col("o_post")))
+    """(doc_id, o_pre, pre, ...): nodes strictly below each node of ``outer`` (doc_id, o_pre)."""
+    return nodes.select("*", F.explode("path").alias("o_pre")).join(outer, ["doc_id", "o_pre"]).where("pre > o_pre")
 
 
 def _outer(nodes: DataFrame) -> DataFrame:
-    return nodes.select("doc_id", F.col("pre").alias("o_pre"), F.col("post").alias("o_post"))
+    return nodes.select("doc_id", F.col("pre").alias("o_pre"))
+
+
+def _below(nodes: DataFrame, tops: DataFrame, on: list[str], strictly: bool = True) -> DataFrame:
+    """(on, pre) of the nodes that have one of ``tops`` (on, pre) above them, or are one."""
+    up = nodes.select(*on, "pre", F.explode("path").alias("__top")).join(tops.select(*on, F.col("pre").alias("__top")), [*on, "__top"])
+    return (up.where("__top <> pre") if strictly else up).select(*on, "pre").distinct()
 
 
 def visible(nodes: DataFrame, within: list[str], hidden: str = "insText") -> DataFrame:
@@ -70,19 +79,18 @@ def visible(nodes: DataFrame, within: list[str], hidden: str = "insText") -> Dat
     """
     delta = F.when(_edge(hidden, "start"), 1).when(_edge(hidden, "end"), -1).otherwise(0)
     counted = clamped_depth(nodes, within, ["pre"], delta, "__depth").where("tag = '#text' and __depth = 0").drop("__depth")
-    boxes = nodes.where(_container(hidden)).select(*within, F.col("pre").alias("__b"), F.col("post").alias("__e"))
-    hid = counted.join(boxes, within).where("__b < pre and __e > post").select(*within, "pre").distinct()
-    return counted.join(hid, [*within, "pre"], "left_anti")
+    return counted.join(_below(counted, nodes.where(_container(hidden)), within), [*within, "pre"], "left_anti")
 
 
 def surviving(nodes: DataFrame, rejected: DataFrame) -> DataFrame:
     """(doc_id, o_pre, kept_text): text of the earlier state below each rejected element, inline elements not counted."""
     from quillspark.functions.text import collapse
 
+    nodes = with_path(nodes)
     below = _inside(nodes, _outer(rejected))
     seen = visible(below, ["doc_id", "o_pre"])
-    inline = nodes.where(F.substring_index("tag", ":", -1).isin(*INLINE)).select("doc_id", F.col("pre").alias("__b"), F.col("post").alias("__e"))
-    hid = seen.join(inline, "doc_id").where("__b < pre and __e > post and __b >= o_pre").select("doc_id", "o_pre", "pre").distinct()
+    inline = nodes.where(F.substring_index("tag", ":", -1).isin(*INLINE)).select("doc_id", F.col("pre").alias("__top"))
+    hid = seen.select("doc_id", "o_pre", "pre", F.explode("path").alias("__top")).where("__top < pre and __top >= o_pre").join(inline, ["doc_id", "__top"]).select("doc_id", "o_pre", "pre").distinct()
     text = seen.join(hid, ["doc_id", "o_pre", "pre"], "left_anti").groupBy("doc_id", "o_pre").agg(collapse(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pre", "text"))), lambda s: s["text"]), "")).alias("kept_text"))
     return text.where("kept_text <> ''")
 
@@ -92,52 +100,51 @@ def base_view(nodes: DataFrame, cycle: int, refused: DataFrame | None = None) ->
 
     An element whose marks reject it goes with all below it, unless it is a later insertion under
     which text of the earlier state survives. ``refused`` (doc_id, tag, kept_text) rules out single
-    survivors. Then ranges and containers of insertions lose their text, and containers of deletions
+    survivors. Jobs run while the plan is made: three intermediate tables are written. Then ranges and containers of insertions lose their text, and containers of deletions
     are unwrapped: their children take their parent.
     """
-    m = marks(F.col("attrs"))
-    rejected = nodes.where((F.col("tag") != "#text") & ~kept(m, cycle))
-    soft = rejected.where(draft_insert(m, cycle))
+    columns, m = nodes.columns, marks(F.col("attrs"))
+    nodes = cut(with_path(nodes).withColumn("__kept", (F.col("tag") == "#text") | kept(m, cycle)).withColumn("__draft", draft_insert(m, cycle)))
+    rejected = nodes.where("not __kept")
+    soft = rejected.where("__draft")
     holds = surviving(nodes, soft).join(soft.select("doc_id", F.col("pre").alias("o_pre"), "tag"), ["doc_id", "o_pre"])
     if refused is not None:
-        holds = holds.join(F.broadcast(refused), ["doc_id", "tag", "kept_text"], "left_anti")
-    hold = holds.select("doc_id", F.col("o_pre").alias("pre"), F.lit(True).alias("retained"))
-    hard = _outer(rejected.join(hold, ["doc_id", "pre"], "left_anti"))
-    gone = nodes.join(hard, "doc_id").where("o_pre <= pre and o_post >= post").select("doc_id", "pre").distinct()
-    left = nodes.join(gone, ["doc_id", "pre"], "left_anti").join(hold, ["doc_id", "pre"], "left")
+        holds = holds.join(refused, ["doc_id", "tag", "kept_text"], "left_anti")
+    hold = cut(holds.select("doc_id", F.col("o_pre").alias("pre"), F.lit(True).alias("retained")))
+    gone = _below(nodes, rejected.join(hold, ["doc_id", "pre"], "left_anti"), ["doc_id"], strictly=False)
+    left = cut(nodes.join(gone, ["doc_id", "pre"], "left_anti").join(hold, ["doc_id", "pre"], "left"))
     texts = visible(left, ["doc_id"]).select("doc_id", "pre", F.lit(True).alias("__seen"))
-    boxes = _outer(left.where(_container("insText")))
-    boxed = left.join(boxes, "doc_id").where("o_pre <= pre and o_post >= post").select("doc_id", "pre").distinct()
+    boxed = _below(left, left.where(_container("insText")), ["doc_id"], strictly=False)
     edges = _edge("insText", "start") | _edge("insText", "end") | _edge("delText", "start") | _edge("delText", "end")
     left = left.join(texts, ["doc_id", "pre"], "left").where((F.col("tag") != "#text") | F.col("__seen")).join(boxed, ["doc_id", "pre"], "left_anti").where(~edges)
     wrapper = left.where(_container("delText")).select("doc_id", F.col("pre").alias("parent"), F.col("parent").alias("__grand"))
     left = left.where(~_container("delText")).join(wrapper, ["doc_id", "parent"], "left").withColumn("parent", F.coalesce("__grand", "parent"))
-    return left.select(*nodes.columns, F.coalesce("retained", F.lit(False)).alias("retained"))
+    return left.select(*columns, F.coalesce("retained", F.lit(False)).alias("retained"))
 
 
 def accepted_text(nodes: DataFrame, of: DataFrame, cycle: int) -> DataFrame:
     """(doc_id, o_pre, accepted): text below each element of ``of`` with later insertions taken and deletions left out."""
     from quillspark.functions.text import collapse
 
+    nodes = with_path(nodes)
     below = _inside(nodes, _outer(of))
-    deleted = _outer(nodes.where((F.col("tag") == "placeholder") | F.exists(marks(F.col("attrs")), lambda x: (x["kind"] == "delete") & (x["year"] >= cycle)))).select("doc_id", F.col("o_pre").alias("__b"), F.col("o_post").alias("__e"))
+    deleted = nodes.where((F.col("tag") == "placeholder") | F.exists(marks(F.col("attrs")), lambda x: (x["kind"] == "delete") & (x["year"] >= cycle))).select("doc_id", F.col("pre").alias("__top"))
     seen = visible(below, ["doc_id", "o_pre"], hidden="delText")
-    hid = seen.join(deleted, "doc_id").where("__b < pre and __e > post and __b > o_pre").select("doc_id", "o_pre", "pre").distinct()
+    hid = seen.select("doc_id", "o_pre", "pre", F.explode("path").alias("__top")).where("__top < pre and __top > o_pre").join(deleted, ["doc_id", "__top"]).select("doc_id", "o_pre", "pre").distinct()
     return seen.join(hid, ["doc_id", "o_pre", "pre"], "left_anti").groupBy("doc_id", "o_pre").agg(collapse(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pre", "text"))), lambda s: s["text"]), "")).alias("accepted"))
 
 
 def retention_counts(base: DataFrame, units: DataFrame) -> DataFrame:
     """(doc_id, unit, n): retained elements of each unit, those of nested units counted for the inner one only."""
-    r = base.where("retained").select("doc_id", F.col("pre").alias("r_pre"), F.col("post").alias("r_post"))
-    u = units.select("doc_id", F.col("pre").alias("unit"), F.col("post").alias("u_post"))
-    inner = r.join(u, "doc_id").where("unit <= r_pre and u_post >= r_post").groupBy("doc_id", "r_pre").agg(F.max("unit").alias("unit"))
+    r = with_path(base).where("retained").select("doc_id", F.col("pre").alias("r_pre"), F.explode("path").alias("unit"))
+    inner = r.join(units.select("doc_id", F.col("pre").alias("unit")), ["doc_id", "unit"]).groupBy("doc_id", "r_pre").agg(F.max("unit").alias("unit"))
     return inner.groupBy("doc_id", "unit").agg(F.count(F.lit(1)).alias("n"))
 
 
 def corrections(texts: DataFrame, rulings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Texts (doc_id, pre, text, retained) with ruled replacements (doc_id, find, replace), and the violations:
     rulings that match no text, several, or text that isn't retained."""
-    hits = texts.join(F.broadcast(rulings), "doc_id").where(F.contains("text", "find"))
+    hits = texts.join(rulings, "doc_id").where(F.contains("text", "find"))
     count = hits.groupBy("doc_id", "find").agg(F.count(F.lit(1)).alias("n"), F.bool_and("retained").alias("inside"))
     faults = rulings.join(count, ["doc_id", "find"], "left").where("n is null or n <> 1 or not inside").select("doc_id", "find", F.coalesce("n", F.lit(0)).alias("n"), "inside")
     good = hits.join(count.where("n = 1 and inside"), ["doc_id", "find"]).select("doc_id", "pre", F.replace("text", "find", "replace").alias("fixed"))

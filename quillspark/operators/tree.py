@@ -1,7 +1,7 @@
 """Context inheritance, classification and guards over node tables.
 
-All joins are equi-joins on doc_id first, so an interval condition is checked within a document
-only and documents spread over tasks.
+Ancestors come from a node's path, so joins up and down a tree are equi-joins on document and place:
+a few big documents spread over tasks, and rows grow with nodes times depth, not with their square.
 """
 
 from __future__ import annotations
@@ -10,12 +10,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def with_path(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``path``: the pre of each ancestor and its own. Node tables of ``shred`` have it; for others it
+    is made from pre and post by comparing all nodes of a document, which is for small tables."""
+    if "path" in nodes.columns:
+        return nodes
+    a = nodes.where("tag <> '#text'").select("doc_id", F.col("pre").alias("a_pre"), F.col("post").alias("a_post"))
+    up = nodes.select("doc_id", "pre", "post").join(a, "doc_id").where("a_pre < pre and a_post > post").groupBy("doc_id", "pre").agg(F.array_sort(F.collect_list("a_pre")).alias("__up"))
+    return nodes.join(up, ["doc_id", "pre"], "left").withColumn("path", F.concat(F.coalesce("__up", F.array().cast("array<int>")), F.array(F.col("pre").cast("int")))).drop("__up")
+
+
 def ancestors(nodes: DataFrame, of: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
     """(doc_id, pre) of each node of ``of`` with its ancestors-or-self as a_pre and a_<column>."""
-    of = nodes if of is None else of
-    a = nodes.where("tag <> '#text'").select("doc_id", F.col("pre").alias("a_pre"), F.col("post").alias("a_post"), *(F.col(c).alias(f"a_{c}") for c in columns or ["tag"]))
-    n = of.select("doc_id", "pre", "post")
-    return n.join(a, "doc_id").where((F.col("a_pre") <= F.col("pre")) & (F.col("a_post") >= F.col("post"))).drop("a_post", "post")
+    nodes = with_path(nodes)
+    of = nodes if of is None else of if "path" in of.columns else of.join(nodes.select("doc_id", "pre", "path"), ["doc_id", "pre"])
+    a = nodes.where("tag <> '#text'").select("doc_id", F.col("pre").alias("a_pre"), *(F.col(c).alias(f"a_{c}") for c in columns or ["tag"]))
+    return of.select("doc_id", "pre", F.explode("path").alias("a_pre")).join(a, ["doc_id", "a_pre"])
 
 
 def nearest(nodes: DataFrame, value: Column, name: str, where: Column | None = None) -> DataFrame:
@@ -27,7 +37,7 @@ def nearest(nodes: DataFrame, value: Column, name: str, where: Column | None = N
 
 def with_class(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """``nodes`` with the class of their tag (null: unknown). ``classes`` (tag, class) is a vocabulary of a few hundred rows at most."""
-    return nodes.join(F.broadcast(classes), "tag", "left")
+    return nodes.join(classes, "tag", "left")
 
 
 def unknown_tags(classed: DataFrame) -> DataFrame:
@@ -94,11 +104,27 @@ def child_text(nodes: DataFrame, tag: str, name: str) -> DataFrame:
     """(doc_id, parent, name): the collapsed text of each element's first child of a tag."""
     from quillspark.functions.text import collapse
 
-    kids = nodes.where(F.col("tag") == tag).select("doc_id", "parent", F.col("pre").alias("c_pre"), F.col("post").alias("c_post"))
-    first = kids.groupBy("doc_id", "parent").agg(F.min_by("c_post", "c_pre").alias("c_post"), F.min("c_pre").alias("c_pre"))
-    text = nodes.where("tag = '#text'").select("doc_id", "pre", "text")
-    inside = first.join(text, "doc_id").where((F.col("pre") > F.col("c_pre")) & (F.col("pre") < F.col("c_pre") + 1_000_000_000)).join(nodes.select("doc_id", "pre", F.col("post").alias("t_post")), ["doc_id", "pre"]).where("t_post < c_post")
-    return inside.groupBy("doc_id", "parent").agg(collapse(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pre", "text"))), lambda s: s["text"]), "")).alias(name))
+    nodes = with_path(nodes)
+    first = nodes.where(F.col("tag") == tag).groupBy("doc_id", "parent").agg(F.min("pre").alias("a_pre"))
+    text = nodes.where("tag = '#text'").select("doc_id", "pre", "text", F.explode("path").alias("a_pre"))
+    return first.join(text, ["doc_id", "a_pre"]).groupBy("doc_id", "parent").agg(collapse(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pre", "text"))), lambda s: s["text"]), "")).alias(name))
+
+
+def without(nodes: DataFrame, tag: str) -> DataFrame:
+    """``nodes`` without elements of a tag and all below them: what a placeholder holds is no value."""
+    nodes = with_path(nodes)
+    top = nodes.where(F.col("tag") == tag).select("doc_id", F.col("pre").alias("__top"))
+    gone = nodes.select("doc_id", "pre", F.explode("path").alias("__top")).join(top, ["doc_id", "__top"]).select("doc_id", "pre").distinct()
+    return nodes.join(gone, ["doc_id", "pre"], "left_anti")
+
+
+def abstracts(classed: DataFrame) -> DataFrame:
+    """Roots that carry prose of their own as an attribute, with section and state: each is an overview unit."""
+    attr = lambda k: F.nullif(F.trim(F.col("attrs")[k]), F.lit(""))
+    own = classed.where("class = 'root'").where(attr("summary").isNotNull())
+    up = ancestors(classed.withColumn("own_state", F.upper(attr("state"))), own, ["own_state"])
+    near = up.groupBy("doc_id", "pre").agg(F.max_by("a_own_state", F.when(F.col("a_own_state").isNotNull(), F.col("a_pre"))).alias("state"))
+    return own.select("doc_id", "pre", "post", "tag", "class", "attrs", attr("num").alias("section_num")).join(near, ["doc_id", "pre"])
 
 
 def prose_attribute(nodes: DataFrame) -> Column:

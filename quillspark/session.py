@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -28,3 +29,19 @@ def ready(spark: SparkSession) -> SparkSession:
     if ROOT not in path.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, (ROOT, path)))
     return spark
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed now and cut off from its plan, by a reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
+
+    For operators that use an intermediate table so often that its plan would multiply. Only a
+    local master may leave the folder unnamed; on a cluster executors must share it.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillspark-"))
+    return df.checkpoint(eager=True)

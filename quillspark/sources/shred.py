@@ -1,8 +1,9 @@
 """XML and HTML as node tables.
 
 A node table has one row per element or text node of a document: doc_id, pre, post, parent, depth,
-ord, tag (``#text`` for text), attrs, text. ``pre``/``post`` number nodes by opening and closing, so
-an ancestor has a smaller pre and a larger post; ``ord`` is the place among siblings.
+ord, tag (``#text`` for text), attrs, text, path. ``pre``/``post`` number nodes by opening and closing,
+so an ancestor has a smaller pre and a larger post; ``ord`` is the place among siblings; ``path`` holds
+the pre of each ancestor from the root down, and the node's own, so that descent is an equi-join.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from xml.parsers import expat
 import pandas as pd
 from pyspark.sql import DataFrame
 
-NODE = "pre int, post int, parent int, depth int, ord int, tag string, attrs map<string,string>, text string, error string"
+NODE = "pre int, post int, parent int, depth int, ord int, tag string, attrs map<string,string>, text string, path array<int>, error string"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 
@@ -27,7 +28,7 @@ class _Builder:
 
     def open(self, tag: str, attrs: dict) -> None:
         parent = self.stack[-1] if self.stack else None
-        self.rows.append([len(self.rows), 0, parent, len(self.stack), self.kids[-1], tag, {k: v or "" for k, v in attrs.items()}, None])
+        self.rows.append([len(self.rows), 0, parent, len(self.stack), self.kids[-1], tag, {k: v or "" for k, v in attrs.items()}, None, [*self.stack, len(self.rows)]])
         self.kids[-1] += 1
         self.stack.append(len(self.rows) - 1)
         self.kids.append(0)
@@ -42,7 +43,7 @@ class _Builder:
         if last and last[5] == "#text" and last[2] == (self.stack[-1] if self.stack else None) and last[4] == self.kids[-1] - 1:
             last[7] += data
             return
-        self.rows.append([len(self.rows), self.count, self.stack[-1] if self.stack else None, len(self.stack), self.kids[-1], "#text", {}, data])
+        self.rows.append([len(self.rows), self.count, self.stack[-1] if self.stack else None, len(self.stack), self.kids[-1], "#text", {}, data, [*self.stack, len(self.rows)]])
         self.kids[-1] += 1
         self.count += 1
 
@@ -56,7 +57,7 @@ def parse_xml(text: str) -> list[list]:
     try:
         p.Parse(text, True)
     except expat.ExpatError as e:
-        return [[0, 0, None, 0, 0, None, {}, None, str(e)]]
+        return [[0, 0, None, 0, 0, None, {}, None, [], str(e)]]
     return [[*r, None] for r in b.rows]
 
 
@@ -102,7 +103,7 @@ def shred(docs: DataFrame, doc_id: str, content: str, kind: str = "xml") -> Data
     """The node table of each document. Null and empty contents give no rows; a faulty XML document one with ``error``."""
     parse = parse_xml if kind == "xml" else parse_html
     type_of = docs.schema[doc_id].dataType.simpleString()
-    names = ["doc_id", "pre", "post", "parent", "depth", "ord", "tag", "attrs", "text", "error"]
+    names = ["doc_id", "pre", "post", "parent", "depth", "ord", "tag", "attrs", "text", "path", "error"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

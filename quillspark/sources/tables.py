@@ -29,7 +29,7 @@ def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 def verified(archives: DataFrame, checksums: DataFrame) -> DataFrame:
     """``archives`` (name, content) with their SHA-256 and whether it is the one of ``checksums`` (name, sha256); null where none is stated."""
     a = archives.withColumn("actual", F.sha2("content", 256))
-    return a.join(F.broadcast(checksums), "name", "left").withColumn("ok", F.col("actual") == F.lower("sha256"))
+    return a.join(checksums, "name", "left").withColumn("ok", F.col("actual") == F.lower("sha256"))
 
 
 def stale(archives: DataFrame, extracted: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def markdown(files: DataFrame) -> DataFrame:
     keys = F.map_from_entries(F.transform(plain, lambda x: F.struct(F.substring_index(x, ": ", 1), unquote(F.regexp_replace(x, "^[a-z_]+: ", "")))))
     return files.select(
         "path", keys.alias("keys"),
-        F.transform(F.filter(F.split(F.regexp_extract(head, r"(?m)^sources: \[(.*)\]$", 1), ", "), lambda x: x != ""), unquote).alias("sources"),
+        F.transform(F.regexp_extract_all(F.regexp_extract(head, r"(?m)^sources: \[(.*)\]$", 1), F.lit(r'"(?:[^"\\]|\\.)*+"|[^,\s"][^,]*'), F.lit(0)), unquote).alias("sources"),
         F.transform(F.filter(lines, lambda x: x.startswith("  - ")), lambda x: unquote(F.substring(x, 5, F.length(x)))).alias("defined_terms"),
         F.regexp_extract(rest, r"\A# ([^\n]*)", 1).alias("h1"),
         F.trim(F.regexp_replace(rest, r"\A# [^\n]*\n*", ""), F.lit("\n")).alias("body"), "content",
@@ -147,3 +147,22 @@ def crawl(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
 def redact(text: Column, keys: str = "key|token|secret|password|authorization") -> Column:
     """A JSON text with the string values of secret-looking keys replaced, at any depth."""
     return F.regexp_replace(text, rf'(?i)("[^"]*(?:{keys})[^"]*"\s*:\s*)"(?:[^"\\]|\\.)*+"', '$1"[redacted]"')
+
+
+def probed(urls: DataFrame, statuses: DataFrame, most_errors: int = 5) -> tuple[DataFrame, DataFrame]:
+    """URLs with the state of their last probe (url, attempt, status): present, missing or error; and the violation
+    that stops a run: ``most_errors`` URLs or more gave neither 200 nor 404. A URL without a probe is an error."""
+    from quillspark.functions.urls import head_state
+    from quillspark.operators.guards import violation
+
+    last = statuses.groupBy("url").agg(F.max_by("status", "attempt").alias("status"))
+    states = urls.select("url").distinct().join(last, "url", "left").withColumn("state", head_state(F.coalesce("status", F.lit(0))))
+    errors = states.where("state = 'error'").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("first")).where(F.col("n") >= most_errors)
+    return states, violation(errors, "probe", "first", "concat(n, ' without answer')")
+
+
+def upload_plan(figures: DataFrame, states: DataFrame) -> DataFrame:
+    """What is to be sent (url, path, content type): figures (url, path) that the probe finds missing. A name without known type is a violation (null)."""
+    from quillspark.functions.urls import content_type
+
+    return figures.join(states.where("state = 'missing'").select("url"), "url", "left_semi").select("url", "path", content_type(F.col("path")).alias("content_type")).distinct()
