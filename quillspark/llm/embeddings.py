@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from quillspark.llm.common import materialise
 from quillspark.llm.graph import components
@@ -33,8 +34,15 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q.astype(np.int8), scale, np.linalg.norm(unit - q / scale[:, None], axis=1)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows as doubles with a largest component between 1/2 and 1, by a power of two: no square of a component overflows or vanishes, and cosines keep every bit."""
+    x = x.astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def link_matrix(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
-    """Which rows of x and y (double, not zero) have a cosine of ``threshold`` or more."""
+    """Which rows of x and y (not zero) have a cosine of ``threshold`` or more, in double precision."""
+    x, y = scaled(x), scaled(y)
     ux, uy = (v / np.linalg.norm(v, axis=1)[:, None] for v in (x, y))
     (qx, sx, ex), (qy, sy, ey) = quantise(ux), quantise(uy)
     kind = np.float32 if x.shape[1] <= EXACT_F32 else np.float64
@@ -87,7 +95,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tile: int = 1024)
     are vectors of their own; a null vec_id is counted, but names no component, and is never kept.
     Other columns don't matter.
     """
-    v = vectors.select("vec_id", F.col("label").alias("__label"), F.col("embedding").cast("array<double>").alias("__x"))
+    # single-precision vectors travel as they are; cosines are taken of their values as doubles
+    single = vectors.schema["embedding"].dataType == ArrayType(FloatType(), True) or vectors.schema["embedding"].dataType == ArrayType(FloatType(), False)
+    v = vectors.select("vec_id", F.col("label").alias("__label"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("__x"))
     finite = F.forall("__x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     usable = F.col("__label").isNotNull() & F.coalesce(finite & F.exists("__x", lambda c: c != 0), F.lit(False))
     key = F.when(usable, F.concat_ws(":", F.hex(F.xxhash64("__label", "__x")), F.hex(F.xxhash64(F.lit("second"), "__x", "__label"))))
@@ -108,10 +118,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tile: int = 1024)
     roots = components(found.select(F.col("key").alias("src"), F.col("root").alias("dst")))
     links = found.groupBy("key").agg(F.sum("links").alias("__links"))
     state = nodes.select("__key", "__m").join(links, F.col("key") == F.col("__key"), "left").join(roots, F.col("node") == F.col("__key"), "left").select(F.col("__key").alias("__k"), (F.coalesce("__links", F.lit(0)) + F.col("__m") - 1).alias("__links"), F.coalesce("root", "__key").alias("__root"))
-    rows = v.select("vec_id", "__key").join(state, F.col("__k") == F.col("__key"), "left").select("vec_id", "__links", "__root")
-    least = rows.where("__root is not null").groupBy(F.col("__root").alias("__r")).agg(F.min("vec_id").alias("__least"))
+    # written and joined by hint: where one component or one vector holds many rows, Spark can split the join
+    state = materialise(state, "vectors-state")
+    rows = materialise(v.select("vec_id", "__key").join(state.hint("merge"), F.col("__k") == F.col("__key"), "left").select("vec_id", "__links", "__root"), "vectors-rows")
+    least = materialise(rows.where("__root is not null").groupBy(F.col("__root").alias("__r")).agg(F.min("vec_id").alias("__least")), "vectors-least")
     component = F.coalesce("__least", "vec_id")
-    return rows.join(least, F.col("__r") == F.col("__root"), "left").select("vec_id", F.coalesce("__links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    return rows.join(least.hint("merge"), F.col("__r") == F.col("__root"), "left").select("vec_id", F.coalesce("__links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
 def oracle(threshold: float = 0.93) -> str:

@@ -61,3 +61,9 @@ def test_odd_rows(spark):
     rows = [(1, e, 0), (2, None, 0), (3, [0.0, 0.0], 0), (4, [1.0, None], 0), (5, [float("nan"), 1.0], 0), (6, [float("inf"), 1.0], 0), (7, e, None), (8, [], 0), (9, [1.0, 2.0, 0.0], 0), (None, e, 0), (1, e, 0), (10, [2.0, 4.0], 0), (11, e, 1), (None, None, None)]
     assert run(spark, rows) == brute(rows, 0.93)
     assert run(spark, []) == []
+
+
+def test_components_of_any_size_link(spark):
+    rows = [(0, [1.0, 0.0], 1), (1, [1e-170, 0.0], 1), (2, [1e200, 0.0], 1), (3, [1e200, 1e200], 1), (4, [1e-300, 1e-300], 1), (5, [-1.0, 0.0], 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
