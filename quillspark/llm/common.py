@@ -19,12 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (tests on one machine) a temporary folder is made and
-    recorded as the context's checkpoint directory, so that later calls reuse it.
+    Only a local master (tests on one machine) may name none: a temporary folder is made then and
+    recorded as the context's checkpoint directory, so that later calls reuse it. On a cluster its
+    executors would not see such a folder, so a session without the setting is refused.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
         named = sc.getCheckpointDir()
     return named

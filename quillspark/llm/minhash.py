@@ -182,8 +182,9 @@ def near_texts(docs: DataFrame, shingle: int = 4, percent: int = 80, bands: int
     named = sigs.join(roots, F.col("node") == F.col("__set"), "left").select("__row", "__n", F.coalesce("root", "__set").alias("__root")).dropDuplicates(["__row"])
     d, keep = boxed(docs, ("n_shingles", "component_id", "kept"))
     ids = docs.select(F.col("doc_id").alias("__id"), row_key("doc_id", "text").alias("__row")).join(named, "__row").where("__root is not null")
-    names = ids.groupBy("__root").agg(F.min("__id").alias("__least"))
-    named = named.join(names.withColumnRenamed("__root", "__r"), F.col("__r") == F.col("__root"), "left").select("__row", "__n", "__root", "__least")
+    # written and joined by hint: where one component holds many rows, Spark can split the join
+    names = materialise(ids.groupBy(F.col("__root").alias("__r")).agg(F.min("__id").alias("__least")), "minhash-names")
+    named = named.join(names.hint("merge"), F.col("__r") == F.col("__root"), "left").select("__row", "__n", "__root", "__least")
     j = d.join(named, F.col("__key") == F.col("__row"), "left")
     own = unboxed("doc_id")
     component = F.when(F.col("__root").isNull(), own).otherwise(F.col("__least"))
