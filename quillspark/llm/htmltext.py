@@ -292,10 +292,12 @@ class Trees:
     def fit(self, x: np.ndarray, y: np.ndarray) -> "Trees":
         edges = [self._edges(x[:, f]) for f in range(x.shape[1])]
         binned = np.stack([np.searchsorted(e, x[:, f], side="right") for f, e in enumerate(edges)], axis=1)
-        wide, n = self.bins, len(y)
+        n = len(y)
         self.base = float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
         z = np.full(n, self.base)
-        flat = binned + np.arange(x.shape[1]) * wide
+        # sums over flags are matrix products, over the other features counts by bin
+        flags = [f for f, e in enumerate(edges) if len(e) < 2]
+        flagged, other = binned[:, flags].T.astype(float), [(f, np.ascontiguousarray(binned[:, f])) for f, e in enumerate(edges) if len(e) > 1]
         for _ in range(self.rounds):
             p = 1 / (1 + np.exp(-z))
             g, h = p - y, p * (1 - p)
@@ -303,15 +305,12 @@ class Trees:
             feature, cut = np.zeros(2**self.depth - 1, np.int64), np.full(2**self.depth - 1, np.inf)
             for level in range(self.depth):
                 first, width = 2**level - 1, 2**level
-                size = x.shape[1] * wide
-                key = ((at - first)[:, None] * size + flat).ravel()
-                gs = np.bincount(key, np.repeat(g, x.shape[1]), width * size).reshape(width, x.shape[1], wide).cumsum(axis=2)
-                hs = np.bincount(key, np.repeat(h, x.shape[1]), width * size).reshape(width, x.shape[1], wide).cumsum(axis=2)
+                gs, hs = (self._sums(v, at - first, width, flags, flagged, other) for v in (g, h))
                 gt, ht = gs[:, :, -1:], hs[:, :, -1:]
                 gain = gs**2 / (hs + self.l2) + (gt - gs) ** 2 / (ht - hs + self.l2) - gt**2 / (ht + self.l2)
                 gain[(hs < 1) | (ht - hs < 1)] = 0
                 best = gain.reshape(width, -1).argmax(axis=1)
-                f, b = best // wide, best % wide
+                f, b = best // self.bins, best % self.bins
                 ok = gain.reshape(width, -1)[np.arange(width), best] > 1e-6
                 for k in np.flatnonzero(ok):
                     if b[k] < len(edges[f[k]]):
@@ -325,6 +324,18 @@ class Trees:
             self.leaf.append(value)
         return self
 
+    def _sums(self, v: np.ndarray, node: np.ndarray, width: int, flags: list[int], flagged: np.ndarray, other: list[tuple[int, np.ndarray]]) -> np.ndarray:
+        """Sums of ``v`` by node, feature and bin, each bin with those before it."""
+        out = np.zeros((width, len(flags) + len(other), self.bins))
+        at = np.zeros((len(v), width))
+        at[np.arange(len(v)), node] = v
+        total = at.sum(axis=0)
+        out[:, flags] = total[:, None, None]
+        out[:, flags, 0] -= (flagged @ at).T
+        for f, bins in other:
+            out[:, f] = np.bincount(node * self.bins + bins, v, width * self.bins).reshape(width, self.bins).cumsum(axis=1)
+        return out
+
     def _edges(self, v: np.ndarray) -> np.ndarray:
         """Cuts between the values if they are few (rare flags keep theirs), else at quantiles."""
         u = np.unique(v)
