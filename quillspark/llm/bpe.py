@@ -161,8 +161,11 @@ def _empty_ids():
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: number of tokens, SHA-256 of the decimal ids joined by one space, and of the decoded bytes.
 
-    Null texts count as empty. The ids stay inside the task, so only the digests leave it.
+    Null texts count as empty, rows that repeat others have a result each, an empty table none;
+    doc_id is of any type, other columns don't matter. The ids stay inside the task, so only the
+    digests leave it.
     """
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -175,4 +178,4 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 d.append(hashlib.sha256(c.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(i, pa.string()), pa.array(d, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -93,7 +93,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tile: int = 1024)
     Only vectors of one (non-null) label and one length are compared. Vectors that are null,
     empty, zero, or hold a null or non-finite component link with nothing. Rows that repeat an id
     are vectors of their own; a null vec_id is counted, but names no component, and is never kept.
-    Other columns don't matter.
+    A cosine of exactly the threshold links. Other columns don't matter, an empty table gives no rows.
     """
     # single-precision vectors travel as they are; cosines are taken of their values as doubles
     single = vectors.schema["embedding"].dataType == ArrayType(FloatType(), True) or vectors.schema["embedding"].dataType == ArrayType(FloatType(), False)

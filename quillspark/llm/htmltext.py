@@ -497,8 +497,8 @@ def main_texts(pages: list[str | None], trees: Trees) -> list[str]:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` with text (main text, empty if none) and n_chars (its code points).
 
-    A null page counts as empty. Rows are independent; other columns pass, columns of the two
-    names are replaced. The model (some kilobytes) is trained once on the driver and broadcast.
+    A null page counts as empty. Rows are independent, repeated ones too; an empty table gives none.
+    Other columns pass, columns of the two names are replaced. The model (some kilobytes) is trained once on the driver and broadcast.
     """
     keep = pages.drop("text", "n_chars")
     schema = keep.withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema

@@ -130,11 +130,32 @@ def pad(data: bytes, unit: int = BLOCK) -> bytes:
     return data + b"\0" * (-len(data) % unit or (0 if data else unit))
 
 
+def stored(text: str | None) -> bytes:
+    """The stored form of a text: a mu-law WAVE file whose samples are its padded UTF-8 bytes; a null counts as empty."""
+    return wav(pad((text or "").encode()), MULAW, 8, RATE)
+
+
+def resampled(media: bytes) -> bytes:
+    """A stored form's samples, expanded and resampled, as a 16-bit PCM WAVE file."""
+    tag, _, data = read_wav(media)
+    return wav(resample(expand(tag, data)).tobytes(), PCM, 16, OUT_RATE)
+
+
+def _slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about a megabyte of text, one row at least: what is made of a slice is several times its size."""
+    sizes = np.cumsum([len(x.as_py() or "") for x in batch.column(text)])
+    at = 0
+    while at < batch.num_rows:
+        rows = max(1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + (1 << 20), "right")) - at)
+        yield batch.slice(at, rows)
+        at += rows
+
+
 def store_audio(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``media`` (mu-law WAVE holding the text's padded bytes) and ``pcm`` (resampled 16-bit WAVE).
 
-    A null text counts as empty: one block of bytes 0. Rows are independent; other columns pass,
-    columns of the two names are replaced.
+    A null text counts as empty: one block of bytes 0. Rows are independent, repeated ones too; an
+    empty table gives none. Other columns pass, columns of the two names are replaced.
     """
     from pyspark.sql import functions as F
 
@@ -143,55 +164,50 @@ def store_audio(df: DataFrame, text: str = "text") -> DataFrame:
     names = [f.name for f in keep.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            media = [wav(pad((x.as_py() or "").encode()), MULAW, 8, RATE) for x in b.column(text)]
-            pcm = [wav(resample(expand(MULAW, read_wav(m)[2])).tobytes(), PCM, 16, OUT_RATE) for m in media]
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(media, pa.binary()), pa.array(pcm, pa.binary())], names=[*names, "media", "pcm"])
+        for whole in batches:
+            for b in _slices(whole, text):
+                media = [stored(x.as_py()) for x in b.column(text)]
+                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(media, pa.binary()), pa.array(map(resampled, media), pa.binary())], names=[*names, "media", "pcm"])
 
     return keep.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """Per document: sizes and digests of the payload and its stored form, and the features read back from it.
+    """Per document: sizes and digests of what ``store_audio`` stores of its text, and features read back from it.
 
+    Both forms are made by the functions that make its columns, in the task that takes their
+    digests, so they don't travel. Null, empty and repeated rows as there; doc_id is of any type.
     ADPCM blocks of all texts in a slice of the batch are decoded together, then cut apart again.
     """
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                rows, total = at, 0
-                texts: list[bytes] = []
-                while rows < batch.num_rows and total < 1 << 20:
-                    texts.append((batch.column("text")[rows].as_py() or "").encode())
-                    total += len(texts[-1])
-                    rows += 1
-                yield _digest_slice(batch.column("doc_id").slice(at, rows - at), texts)
-                at = rows
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
-
-
-def _digest_slice(ids: pa.Array, texts: list[bytes]) -> pa.RecordBatch:
-    media = [wav(pad(x), MULAW, 8, RATE) for x in texts]
+        for whole in batches:
+            for b in _slices(whole, "text"):
+                yield _digest_slice(b.column("doc_id"), [x.as_py() for x in b.column("text")])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+
+
+def _digest_slice(ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
+    media = [stored(x) for x in texts]
     back = [read_wav(m) for m in media]
     joined = np.frombuffer(b"".join(p for _, _, p in back), np.uint8).reshape(-1, BLOCK)
     adpcm = np.concatenate([adpcm_decode(joined[i : i + 4096]) for i in range(0, len(joined), 4096)])
     sha = lambda x: hashlib.sha256(x).hexdigest()
     feature, block = [], 0
-    for tag, _, payload in back:
+    for m, (tag, _, payload) in zip(media, back, strict=True):
         pcm = expand(tag, payload)
         wide = pcm.astype(np.int64)
         n = len(payload) // BLOCK
         turns = int(np.count_nonzero((pcm[1:] < 0) != (pcm[:-1] < 0)))
         feature.append(
-            f"peak={int(max(abs(int(pcm.max())), abs(int(pcm.min()))))};rms={math.isqrt(int(wide @ wide) // len(pcm))};turns={turns};pcm16k={zlib.crc32(resample(pcm)):08x};"
+            f"peak={int(max(abs(int(pcm.max())), abs(int(pcm.min()))))};rms={math.isqrt(int(wide @ wide) // len(pcm))};turns={turns};pcm16k={zlib.crc32(read_wav(resampled(m))[2]):08x};"
             f"alaw={zlib.crc32(expand(ALAW, payload)):08x};adpcm={zlib.crc32(adpcm[block : block + n]):08x}"
         )
         block += n
     cols = [
-        ids, pa.array(map(len, texts), pa.int64()), pa.array((len(p) for _, _, p in back), pa.int64()), pa.array((sha(p) for _, _, p in back), pa.string()),
+        ids, pa.array((len((x or "").encode()) for x in texts), pa.int64()), pa.array((len(p) for _, _, p in back), pa.int64()), pa.array((sha(p) for _, _, p in back), pa.string()),
         pa.array((zlib.crc32(p[-BLOCK:]) for _, _, p in back), pa.int64()), pa.array(map(len, media), pa.int64()), pa.array(map(sha, media), pa.string()), pa.array(feature, pa.string()),
     ]
     return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])

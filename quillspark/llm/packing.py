@@ -114,7 +114,9 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int = 1, size: int =
     """Pieces of packed sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null or empty text is a document of ``end_id`` alone. Repeated rows are packed as documents
-    of their own, a null doc_id stays null. An empty table gives no rows. added_tokens: as in
+    of their own, a null doc_id stays null; doc_id is a long. Of windows that a piece fits equally
+    well, and of those equally full, the one opened first takes it. Other columns of ``docs`` don't
+    matter, whatever their names. An empty table gives no rows. added_tokens: as in
     ``encoder``; the query and the pipeline set it. Memory: ``open_windows``
     windows a task; a merging task reads what ``fan_in`` tasks left open.
     """
