@@ -9,12 +9,12 @@ def con(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(queries.SQL))
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, sf, con, name):
     same(queries.QUERIES[name](spark, sf), con, queries.SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
+@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
 def test_query_without_sql_runs(spark, sf, name):
     assert queries.QUERIES[name](spark, sf).count() > 0
 
