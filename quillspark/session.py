@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,17 +32,34 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed now and cut off from its plan, by a reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    For operators that use an intermediate table so often that its plan would multiply. Only a
-    local master may leave the folder unnamed; on a cluster executors must share it.
+    Only a local master (tests on one machine) may name none: a temporary folder is made then and
+    recorded as the context's checkpoint directory, so that later calls reuse it. On a cluster its
+    executors would not see such a folder, so a session without the setting is refused.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillspark-"))
-    return df.checkpoint(eager=True)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
+        named = sc.getCheckpointDir()
+    return named
+
+
+def cut(df: DataFrame, name: str = "cut", by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` computed now and cut off from its plan: a Parquet table in the shared folder, read back.
+
+    For operators that use an intermediate table so often that its plan would multiply. Unlike a
+    cache the files outlive executors, and unlike an RDD checkpoint they are columnar, so later
+    steps read only the columns they name. ``by``: columns whose values become folders, so that
+    later steps read only the values they ask for. The driver's JVM deletes the table when it ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return spark.read.schema(df.schema).parquet(path)
