@@ -4,50 +4,19 @@ from __future__ import annotations
 
 import base64
 import functools
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.session import cut as materialise  # noqa: F401
+from quillspark.session import shared_dir  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables, read by Spark (any file system it knows)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only a local master (tests on one machine) may name none: a temporary folder is made then and
-    recorded as the context's checkpoint directory, so that later calls reuse it. On a cluster its
-    executors would not see such a folder, so a session without the setting is refused.
-    """
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
-        named = sc.getCheckpointDir()
-    return named
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` as a Parquet table into the shared folder and read it back.
-
-    Unlike a cache the files outlive executors, and unlike an RDD checkpoint they are columnar
-    and compressed, so later steps read only the columns they name. The driver's JVM deletes them
-    when it ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 @functools.lru_cache(maxsize=4)
 def ranks(path: str) -> dict[bytes, int]:
     """Merge ranks of a ``.tiktoken`` file: a line holds base64 bytes and the rank."""
