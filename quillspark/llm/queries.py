@@ -8,7 +8,7 @@ import public_tokenizers as tokens
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import bpe, embeddings, htmltext, linededup, media, minhash, mixing, packing, pii, tokencounts, toxicity
+from quillspark.llm import bpe, embeddings, htmltext, linededup, media, minhash, mixing, packing, periodic, pii, tokencounts, toxicity
 from quillspark.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"), F.md5("text").alias("text_md5"))
     return mixing.mix(docs, key=("doc_id", "text_md5")).select("doc_id", "size", "source_size", "target", "taken")
@@ -65,7 +69,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash, op10_htmltext, op13_mixing, pipeline)}
+    return {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash, op10_htmltext, op12_periodic, op13_mixing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
