@@ -8,7 +8,7 @@ import public_tokenizers as tokens
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import bpe, embeddings, htmltext, linededup, media, minhash, mixing, packing, periodic, pii, tokencounts, toxicity
+from quillspark.llm import bpe, embeddings, htmltext, linededup, media, minhash, mixing, packing, periodic, phrases, pii, tokencounts, toxicity
 from quillspark.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"))
 
@@ -69,8 +73,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash, op10_htmltext, op12_periodic, op13_mixing, pipeline)}
+    return {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_linededup, op4_bpe, op5_pii, op6_vectors, op7_telephony, op8_packing, op9_minhash, op10_htmltext, op11_phrases, op12_periodic, op13_mixing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_linededup": linededup.oracle(), "op6_vectors": embeddings.oracle(), "op9_minhash": minhash.oracle(), "op13_mixing": mixing.oracle()}
+    return {"op3_linededup": linededup.oracle(), "op6_vectors": embeddings.oracle(), "op9_minhash": minhash.oracle(), "op11_phrases": phrases.oracle(), "op13_mixing": mixing.oracle()}
