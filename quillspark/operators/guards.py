@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.operators import positions
+
 VIOLATION = ("guard", "subject", "detail")
 
 
@@ -131,9 +133,7 @@ def exact_names(corpus: DataFrame) -> DataFrame:
 def phrases_present(corpus: DataFrame, phrases: list[str]) -> DataFrame:
     """#2, #3: phrases that no line of any file holds whole."""
     wanted = corpus.sparkSession.createDataFrame([(p,) for p in phrases], "phrase string")
-    holds = lambda p: F.exists(F.split("content", "\n"), lambda x: F.contains(x, F.lit(p)))
-    each = F.array(*(F.struct(F.lit(p).alias("phrase"), holds(p).alias("there")) for p in phrases))
-    there = corpus.select(F.explode(each).alias("x")).where("x.there").select("x.phrase").distinct()
+    there = positions.lines_with(positions.index(corpus, "path", "content", lines=True), phrases).select("phrase").distinct()
     return violation(wanted.join(there, "phrase", "left_anti"), "phrase", "phrase", "'in no line'")
 
 

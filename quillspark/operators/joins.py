@@ -183,30 +183,6 @@ def packaged(figures: DataFrame, documents: DataFrame, listings: DataFrame) -> D
     return j.select("year", "key", "file", "package", F.when(F.col("package").isNull(), "no package").when(F.col("__there"), "listed").otherwise("not listed").alias("state"))
 
 
-def containment_pairs(passages: DataFrame, texts: DataFrame, words: int = 8, few: int = 200) -> DataFrame:
-    """(item_id, doc_id) of passages that texts contain word for word (white space as single spaces).
-
-    Up to ``few`` passages are looked for in each text by one narrow pass. Of more a passage's first ``words`` words (a shorter one's first word) are its key; a text offers its
-    stretches of so many words, and its words. The equi-join leaves few candidates, compared in full.
-    """
-    split = lambda c: F.filter(F.split(F.regexp_replace(F.col(c), "\\s+", " "), " "), lambda w: w != "")
-    p = passages.select("item_id", split("text").alias("__w")).where("size(__w) > 0")
-    known = p.select("item_id", F.array_join("__w", " ").alias("passage")).distinct().limit(few + 1).collect()
-    if len(known) <= few:
-        each = F.array(*(F.struct(F.lit(r["item_id"]).alias("item_id"), F.lit(f" {r['passage']} ").alias("passage")) for r in known)) if known else F.array(F.struct(F.lit(None).alias("item_id"), F.lit(None).cast("string").alias("passage")))
-        t = texts.select("doc_id", F.concat(F.lit(" "), F.trim(F.regexp_replace("text", "\\s+", " ")), F.lit(" ")).alias("__t")).where("trim(__t) <> ''")
-        return t.select("doc_id", F.explode(F.filter(each, lambda x: F.contains("__t", x["passage"]))).alias("__p")).select("__p.item_id", "doc_id").distinct()
-    n = F.when(F.size("__w") < words, 1).otherwise(words)
-    p = p.select("item_id", F.array_join("__w", " ").alias("passage"), F.array_join(F.slice("__w", F.lit(1), n), " ").alias("__k"))
-    t = texts.select("doc_id", split("text").alias("__w")).where("size(__w) > 0")
-    # shifted copies side by side: each array is built once per text, not once per word
-    shifted = F.arrays_zip(*(F.slice("__w", F.lit(i + 1), F.greatest(F.size("__w") - words + 1, F.lit(0))).alias(f"w{i}") for i in range(words)))
-    grams = F.transform(shifted, lambda z: F.concat_ws(" ", *(z[f"w{i}"] for i in range(words))))
-    keyed = t.select("doc_id", F.explode(F.array_distinct(F.concat(grams, "__w"))).alias("__k")).join(p.select("item_id", "__k"), "__k").select("item_id", "doc_id").distinct()
-    whole = t.select("doc_id", F.concat(F.lit(" "), F.array_join("__w", " "), F.lit(" ")).alias("__t"))
-    return keyed.join(p.select("item_id", "passage"), "item_id").join(whole, "doc_id").where(F.contains("__t", F.concat(F.lit(" "), "passage", F.lit(" ")))).select("item_id", "doc_id").distinct()
-
-
 def collapse_runs(df: DataFrame, partition: list[str], order: list[str], key: str) -> DataFrame:
     """Gaps and islands: runs of equal ``key`` with their first ordinal and length."""
     w = Window.partitionBy(*partition).orderBy(*order)

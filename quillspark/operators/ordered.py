@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.operators import scan
+
 
 def last_by(df: DataFrame, key: str, order: str, where: Column) -> DataFrame:
     """The last row of each key that meets a condition."""
@@ -46,12 +48,9 @@ def by_tuple(df: DataFrame, label: str, state: str, path: str) -> DataFrame:
 
 
 def places(df: DataFrame, label: str, state: str, path: str) -> DataFrame:
-    """``df`` with its place in index order, from 1. A label's rows are numbered among themselves; what
-    stands before them is summed over the labels, of which there are far fewer than rows."""
-    before = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    before = before.withColumn("__before", F.sum("__n").over(Window.orderBy(label)) - F.col("__n")).drop("__n")
-    own = F.row_number().over(Window.partitionBy(label).orderBy(F.coalesce(F.col(state), F.lit("")), path))
-    return df.withColumn("__own", own).join(before, label).withColumn("place", F.col("__own") + F.col("__before")).drop("__own", "__before")
+    """``df`` with its place in index order, from 1: by ranges of that order, whatever share of the rows a label has."""
+    keyed = df.withColumn("__state", F.coalesce(F.col(state), F.lit("")))
+    return scan.places(keyed, [label, "__state", path]).drop("__state")
 
 
 def heading_windows(lines: DataFrame) -> DataFrame:

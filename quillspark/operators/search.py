@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.operators import positions
+
 
 def by_designation(corpus: DataFrame, id: str) -> DataFrame:
     """Files whose name leads with a designation's token."""
@@ -12,11 +14,17 @@ def by_designation(corpus: DataFrame, id: str) -> DataFrame:
 
 
 def phrase(corpus: DataFrame, words: str) -> DataFrame:
-    """(path, lines): lines that hold a phrase; a paragraph is one line. The filter comes before the lines are taken apart."""
+    """(path, lines): lines that hold one phrase, by one scan; a paragraph is one line. For many phrases, or again and again, take ``phrases``."""
     lines = F.filter(F.split("content", "\n"), lambda x: F.contains(x, F.lit(words)))
     return corpus.where(F.contains("content", F.lit(words))).select("path", F.size(lines).alias("lines"))
 
 
+def phrases(postings: DataFrame, wanted: list[str]) -> DataFrame:
+    """(phrase, path, lines): how many lines of each file hold each phrase, from an index of lines (``positions.index``) in one job."""
+    found = positions.lines_with(postings, wanted)
+    return found.groupBy("phrase", "row", F.col("doc").alias("path")).agg(F.count(F.lit(1)).alias("lines")).drop("row")
+
+
 def citation_window(corpus: DataFrame, n: int = 7) -> DataFrame:
     """Whether citation and address stand in the first lines of a file."""
     head = F.array_join(F.slice(F.split("content", "\n"), 1, n), "\n")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as tx
-from quillspark.operators import joins, tracked, tree
+from quillspark.operators import joins, scan, tracked, tree
 from quillspark.session import cut
 
 
@@ -96,12 +96,13 @@ def package_files(nodes: DataFrame, cycle: int, states: list[str], number_tags:
 
 
 def spine(base: DataFrame, map_tag: str = "map") -> DataFrame:
-    """References of a package's map in order, from its base view: ref, ord, conref, id, title_id, section (of the nearest topic set)."""
+    """References of a package's map in order, from its base view: ref, ord, conref, id, title_id, section (of the nearest topic set).
+    ref: the place in the order of the maps and of what stands in them."""
     base = base.join(base.where("parent is null").where(F.col("tag") == map_tag).select("doc_id"), "doc_id", "left_semi")
     at = tree.nearest(base, F.col("attrs")["section-num"], "section").where("tag = 'clauseref'")
     title = base.where("tag = 'title'").groupBy("doc_id", F.col("parent").alias("pre")).agg(F.min_by(F.col("attrs")["id"], "pre").alias("title_id"))
-    at = at.join(title, ["doc_id", "pre"], "left").select(F.col("pre").alias("ord"), F.col("attrs")["conref"].alias("conref"), F.col("attrs")["id"].alias("id"), "title_id", "section")
-    return at.withColumn("ref", F.row_number().over(Window.orderBy("ord")).cast("string"))
+    at = at.join(title, ["doc_id", "pre"], "left").select("doc_id", F.col("pre").alias("ord"), F.col("attrs")["conref"].alias("conref"), F.col("attrs")["id"].alias("id"), "title_id", "section")
+    return scan.places(at, ["doc_id", "ord"], "ref").withColumn("ref", F.col("ref").cast("string")).drop("doc_id")
 
 
 def read_package_files(nodes: DataFrame, cycle: int, rulings: DataFrame, states: list[str], tolerated: str = "ERROR") -> tuple[DataFrame, DataFrame]:

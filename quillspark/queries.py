@@ -16,7 +16,7 @@ from quillspark.functions import labels as lab
 from quillspark.functions import text as tx
 from quillspark.functions import urls as ur
 from quillspark.functions import yamlish as ym
-from quillspark.operators import census, fold, joins, ordered, search, tracked, transcript, tree
+from quillspark.operators import census, fold, joins, ordered, positions, scan, search, tracked, transcript, tree
 from quillspark.plans import build
 from quillspark.sources import shred, tables
 from quillspark.sources.tables import table
@@ -126,10 +126,10 @@ def sense_merge(spark, sf):
 
 @query("SELECT phrase, doc_id, len(list_filter(string_split(text, chr(10)), lambda x: contains(x, phrase))) AS lines FROM documents, (VALUES ('of the'), ('worthless'), ('Copyright')) p(phrase) WHERE contains(text, phrase)")
 def phrase_hits(spark, sf):
-    """Q2, Q3: phrases by line."""
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.col("text").alias("content"))
-    out = [search.phrase(d, p).select(F.lit(p).alias("phrase"), F.col("path").alias("doc_id"), F.col("lines").cast("long").alias("lines")) for p in ("of the", "worthless", "Copyright")]
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    """Q2, Q3: phrases by line, all from one positional index in one job."""
+    postings = positions.index(table(spark, sf, "documents"), lines=True)
+    found = search.phrases(postings, ["of the", "worthless", "Copyright"])
+    return found.select("phrase", F.col("path").alias("doc_id"), F.col("lines").cast("long").alias("lines"))
 
 
 @query("SELECT md5(line) AS line_md5, count(*) AS n, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line) <> '' GROUP BY line HAVING count(*) > 1")
@@ -282,8 +282,26 @@ def renumbered_files(spark, sf):
 SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d
 ON contains(' ' || trim(regexp_replace(d.text, '\\s+', ' ', 'g')) || ' ', ' ' || trim(regexp_replace(b.text, '\\s+', ' ', 'g')) || ' ') WHERE trim(b.text) <> ''""")
 def passage_containment(spark, sf):
-    """Passages that texts hold word for word, by an equi-join on the first words of a passage."""
-    return joins.containment_pairs(table(spark, sf, "benchmark"), table(spark, sf, "documents"))
+    """Passages that texts hold word for word, by a positional index and the rarest word of each passage."""
+    return positions.containment(table(spark, sf, "benchmark"), table(spark, sf, "documents"))
+
+
+@query("""
+WITH s AS (SELECT ts, event_id, sum(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN -1 ELSE 0 END) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM events)
+SELECT event_id, (s - least(0, min(s) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)))::BIGINT AS depth, row_number() OVER (ORDER BY ts, event_id) AS place FROM s""")
+def sequence_depth(spark, sf):
+    """All events as one sequence: the depth that never falls below zero, and each event's place, by ranges and their summaries."""
+    delta = F.when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "purchase", -1).otherwise(0)
+    d = scan.clamped_depth(table(spark, sf, "events").select("event_id", "ts", "event_type"), ["ts", "event_id"], delta)
+    return scan.places(d, ["ts", "event_id"]).select("event_id", "depth", "place")
+
+
+@query("""
+WITH o AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS place, event_type FROM events), s AS (SELECT *, place - row_number() OVER (PARTITION BY event_type ORDER BY place) AS island FROM o)
+SELECT min(place) AS first, count(*) AS length, event_type FROM s GROUP BY event_type, island""")
+def sequence_runs(spark, sf):
+    """Stretches of equal events in one sequence over the whole table, also across ranges."""
+    return scan.runs(table(spark, sf, "events").select("ts", "event_id", "event_type"), ["ts", "event_id"], "event_type").select("first", "length", "event_type")
 
 
 @query("""

@@ -230,11 +230,3 @@ def test_build_plan(spark):
     assert "## Definition 2 (v2)" in files["2025/glossary/fire.md"] and "2025/vol1/part-c1-nsw-scope.md" in files
     assert sorted((r["guard"], r["subject"]) for r in b.violations.collect()) == [("linked", "u5"), ("rendered", "u5")]
     assert b.producible.count() == 4 and b.stats.where("doc = 'v1' and kind = 'clause'").first()["linked"] == 1
-
-
-def test_containment_by_either_plan(spark):
-    p = spark.createDataFrame([(1, "a  b"), (2, "one two three four five six seven eight nine"), (3, " "), (4, None), (5, "zz")], "item_id int, text string")
-    t = spark.createDataFrame([(1, "x a\nb y"), (2, "xa b"), (3, "0 one two three four five six seven eight nine"), (4, None), (5, ""), (6, "one two three four five six seven eight"), (1, "x a b")], "doc_id int, text string")
-    for few in (200, 0):
-        assert sorted((r["item_id"], r["doc_id"]) for r in joins.containment_pairs(p, t, few=few).collect()) == [(1, 1), (2, 3)], few
-    assert joins.containment_pairs(p.where("false"), t).count() == 0
