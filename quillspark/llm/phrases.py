@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import materialise
 
 #: Words of a task's open shards; rows of bitmaps (blocks that aren't empty) extended at a time.
-SHARD_WORDS, ROWS_AT_ONCE = 2_000_000, 1 << 18
+SHARD_WORDS, ROWS_AT_ONCE = 1_000_000, 1 << 17
 
 #: Letters A-Z in lower case; what ends a piece becomes a byte that UTF-8 doesn't have, a tab a space.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -96,16 +96,16 @@ class Bitmaps:
 
     def __init__(self, y: np.ndarray):
         at = np.flatnonzero(y >= 0)
-        block, bit = at >> 6, np.uint64(1) << (at & 63).astype(np.uint64)
-        order = np.argsort(y[at], kind="stable")
-        w, b = y[at][order], block[order]
+        at = at[np.argsort(y[at], kind="stable")].astype(np.int32)
+        w, b = y[at], at >> 6
         first = np.ones(len(at), bool)
         first[1:] = (w[1:] != w[:-1]) | (b[1:] != b[:-1])
         starts = np.flatnonzero(first)
-        self.word, self.block = w[starts], b[starts].astype(np.int32)
-        self.bits = np.bitwise_or.reduceat(bit[order], starts) if len(at) else bit
+        self.word, self.block = w[starts], b[starts]
+        bit = np.uint64(1) << (at & 63).astype(np.uint64)
+        self.bits = np.bitwise_or.reduceat(bit, starts) if len(at) else bit
         self.row_of = np.zeros(len(y), np.int32)
-        self.row_of[at[order]] = np.cumsum(first, dtype=np.int32) - 1
+        self.row_of[at] = np.cumsum(first, dtype=np.int32) - 1
         # positions that hold any of the words
         self.any = np.zeros((len(y) >> 6) + 2, np.uint64)
         np.bitwise_or.at(self.any, self.block, self.bits)
