@@ -63,3 +63,12 @@ def cut(df: DataFrame, name: str = "cut", by: tuple[str, ...] = ()) -> DataFrame
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``cut`` has written and that nothing reads any more, before the driver ends."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        at = path(folder)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
