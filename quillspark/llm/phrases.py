@@ -11,7 +11,9 @@ time, so that the bitmaps of few phrases are held at once.
 Counts of shards are summed by Spark. A phrase can only be frequent if its words and its shorter
 phrases are; so each length is counted over all shards before the next, and a shard extends only
 phrases that are frequent in all. It learns of those through the rarest word of each: they are joined
-to the words of the shards, and nothing is broadcast. Shards are written once, as compressed word ids.
+to the words of the shards, and nothing is broadcast. Shards are written once as compressed word ids,
+and once more when the frequent words are known. A task takes a shard's rows in order, first
+what the shard has to know, then its words, so no row holds more than a shard's words and no list is collected.
 
 Then all is joins and aggregates over the frequent phrases: the counts of the parts of each cut, the
 lowest-scoring cut, longer phrases that say the same, and the first phrases of each group.
@@ -31,9 +33,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import materialise
+from quillspark.session import discard
 
 #: Words of a task's open shards; rows of bitmaps (blocks that aren't empty) extended at a time.
-SHARD_WORDS, ROWS_AT_ONCE = 1_000_000, 1 << 17
+SHARD_WORDS, ROWS_AT_ONCE = 2_000_000, 1 << 17
 
 #: Letters A-Z in lower case; what ends a piece becomes a byte that UTF-8 doesn't have, a tab a space.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -73,19 +76,61 @@ def _sharded(by: str, text: str):
                     most = max(open_, key=lambda g: open_[g].n)
                     done = open_.pop(most)
                     total -= done.n
-                    yield _laid(done, most, (task << 32) + next(number))
+                    yield from _laid(done, most, (task << 32) + next(number))
         for g, s in open_.items():
-            yield _laid(s, g, (task << 32) + next(number))
+            yield from _laid(s, g, (task << 32) + next(number))
 
     return run
 
 
-def _laid(s: Shard, group: str, number: int) -> pa.RecordBatch:
+SHARDS = "shard bigint, grp string, local bigint, word string, n bigint, laid binary"
+#: A shard's rows for a task: what kind they are (BLOB comes last), numbers, and its words.
+ROWS, BLOB = "shard bigint, kind int, a bigint, b bigint, c bigint, laid binary", 99
+
+
+def _laid(s: Shard, group: str, number: int) -> Iterator[pa.RecordBatch]:
+    """The words of a shard with their counts, then one row with all its ids."""
     x = np.concatenate(s.laid)
-    n = np.bincount(x, minlength=len(s.ids))
+    n = np.bincount(x, minlength=len(s.ids))[1:]
     names = [w.decode("utf-8", "surrogatepass") for w in s.ids if w != GAP]
-    packed = zstandard.ZstdCompressor(level=1).compress(x.tobytes())
-    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([group], pa.string()), pa.array([packed], pa.binary()), pa.array([names], pa.list_(pa.string())), pa.array([n[1:]], pa.list_(pa.int64()))], names=["shard", "grp", "laid", "words", "counts"])
+    for words_, counts, laid in ((names, n, None), ([None], [None], _packed(x))):
+        k = len(words_)
+        local = pa.array(np.arange(1, k + 1)) if laid is None else pa.array([None], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([number] * k, pa.int64()), pa.array([group] * k, pa.string()), local, pa.array(words_, pa.string()), pa.array(counts, pa.int64()), pa.array([laid] * k, pa.binary())], names=["shard", "grp", "local", "word", "n", "laid"])
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+
+
+def _unpacked(laid: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(laid)
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
+    """(shard, words, kinds, numbers by column) of rows sorted by shard and kind."""
+    held = []
+    for b in batches:
+        kind = b.column("kind").to_numpy(zero_copy_only=False)
+        numbers = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in "abc"])
+        start = 0
+        for end in np.flatnonzero(kind == BLOB).tolist():
+            held.append((kind[start:end], numbers[:, start:end]))
+            yield b.column("shard")[end].as_py(), _unpacked(b.column("laid")[end].as_py()), np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held], axis=1)
+            held, start = [], end + 1
+        held.append((kind[start:].copy(), numbers[:, start:].copy()))
+
+
+def _dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shards of frequent words only: their number, their global ids in order, and at each position the place of its word
+    among these, from 1; 0 for others and for gaps. Shards without frequent words go."""
+    for shard, laid, _, (local, gid, _) in _by_shard(batches):
+        x = np.frombuffer(laid, np.int32)
+        if len(gid):
+            order = np.argsort(gid)
+            of = np.zeros(int(max(x.max(), local.max())) + 1, np.int32)
+            of[local[order]] = np.arange(1, len(gid) + 1, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([_packed(np.array([len(gid)], np.int64), gid[order], of[x])], pa.binary())], names=["shard", "laid"])
 
 
 class Bitmaps:
@@ -205,18 +250,32 @@ def counted(x: np.ndarray, local: np.ndarray, gids: np.ndarray, known: list[tupl
 
 
 def _counting(lengths: list[int]):
+    """Counts of phrases one word longer than those of ``lengths``, whose rows (kind: length; without last word, last word, id) come before a shard's words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = lambda a, names: [a.values.field(c).to_numpy(zero_copy_only=False) for c in names] if a.is_valid else [np.zeros(0, np.int64) for _ in names]
-        for b in batches:
-            for i in range(b.num_rows):
-                x = np.frombuffer(zstandard.ZstdDecompressor().decompress(b.column("laid")[i].as_py()), np.int32)
-                known = [tuple(columns(b.column(f"known{k}")[i], ("p", "w", "gid"))) for k in lengths]
-                for p, w, n in counted(x, *columns(b.column("frequent")[i], ("local", "gid")), known):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (p, w, n)], names=["p", "w", "n"])
+        for _, laid, kind, numbers in _by_shard(batches):
+            n = int(np.frombuffer(laid, np.int64, 1)[0])
+            gids, x = np.frombuffer(laid, np.int64, n, 8), np.frombuffer(laid, np.int32, offset=8 * (n + 1))
+            known = [tuple(numbers[:, kind == k]) for k in lengths]
+            for p, w, c in counted(x, np.arange(1, n + 1), gids, known):
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in (p, w, c)], names=["p", "w", "n"])
 
     return run
 
 
+def _rows(df: DataFrame, kind: int, *numbers: str) -> DataFrame:
+    zero = F.lit(0).cast("long")
+    cols = [F.col(n).alias(x) for n, x in zip(numbers, "abc", strict=False)] + [zero.alias(x) for x in "abc"[len(numbers) :]]
+    return df.select("shard", F.lit(kind).alias("kind"), *cols, (F.col("laid") if kind == BLOB else F.lit(None).cast("binary")).alias("laid"))
+
+
+def _sorted(*parts: DataFrame) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.repartition("shard").sortWithinPartitions("shard", "kind")
+
+
 def frequent_phrases(docs: DataFrame, by: str = "lang", text: str = "text", least: int = 30, longest: int = 4, other: str = "und") -> tuple[DataFrame, DataFrame]:
     """(grp, phrase, words, n) of words and phrases of up to ``longest`` words that stand at least ``least`` times in the
     texts of a group, and (grp, total) with the words of each group.
@@ -225,26 +284,27 @@ def frequent_phrases(docs: DataFrame, by: str = "lang", text: str = "text", leas
     null group are those of ``other``. Null and empty texts have no words; repeated rows count again.
     """
     rows = docs.select(F.coalesce(F.col(f"`{by}`").cast("string"), F.lit(other)).alias("grp"), F.col(f"`{text}`").alias("text"))
-    shards = materialise(rows.mapInArrow(_sharded("grp", "text"), "shard bigint, grp string, laid binary, words array<string>, counts array<bigint>"), "phrases-shards")
-    vocabulary = shards.select("shard", "grp", F.posexplode(F.arrays_zip("words", "counts"))).select("shard", "grp", (F.col("pos") + 1).cast("long").alias("local"), F.col("col.words").alias("phrase"), F.col("col.counts").alias("n"))
-    totals = vocabulary.groupBy("grp").agg(F.sum("n").alias("total"))
+    shards = materialise(rows.mapInArrow(_sharded("grp", "text"), SHARDS), "phrases-shards")
+    vocabulary = shards.where("word is not null").select("shard", "grp", "local", F.col("word").alias("phrase"), "n")
+    totals = materialise(vocabulary.groupBy("grp").agg(F.sum("n").alias("total")), "phrases-totals")
     one = vocabulary.groupBy("grp", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     one = materialise(one.withColumn("gid", F.monotonically_increasing_id()), "phrases-1")
     here = materialise(vocabulary.select("shard", "local", "grp", "phrase").join(one.select("grp", "phrase", "gid"), ["grp", "phrase"]).select("shard", "local", "gid"), "phrases-words")
+    dense = materialise(_sorted(_rows(here, 0, "local", "gid"), _rows(shards.where("laid is not null"), BLOB)).mapInArrow(_dense, "shard bigint, laid binary"), "phrases-dense")
+    discard(shards)
     levels = [one.select("gid", "grp", "phrase", F.array("phrase").alias("words"), "n", F.col("gid").alias("rare"), F.col("n").alias("rare_n"))]
-    state = shards.select("shard", "laid").join(here.groupBy("shard").agg(F.collect_list(F.struct("local", "gid")).alias("frequent")), "shard")
     word = levels[0].select(F.col("gid").alias("w"), F.col("phrase").alias("__word"), F.col("n").alias("__n"))
+    state, known = _rows(dense, BLOB), []
     for k in range(2, longest + 1):
-        found = state.mapInArrow(_counting(list(range(2, k))), "p bigint, w bigint, n bigint").groupBy("p", "w").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        counts = (_sorted(state, *known) if known else state).mapInArrow(_counting(list(range(2, k))), "p bigint, w bigint, n bigint")
+        found = counts.groupBy("p", "w").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         below = levels[-1].select(F.col("gid").alias("p"), "grp", "phrase", "words", "rare", "rare_n")
         named = found.join(below, "p").join(word, "w")
         rarer = F.col("__n") < F.col("rare_n")
         named = named.select("p", "w", "grp", F.concat_ws(" ", "phrase", "__word").alias("phrase"), F.concat("words", F.array("__word")).alias("words"), "n", F.when(rarer, F.col("w")).otherwise(F.col("rare")).alias("rare"), F.least("__n", "rare_n").alias("rare_n"))
         level = materialise(named.withColumn("gid", F.monotonically_increasing_id()), f"phrases-{k}")
         levels.append(level)
-        if k < longest:
-            known = here.select("shard", F.col("gid").alias("rare")).join(level.select("rare", "p", "w", "gid"), "rare").groupBy("shard").agg(F.collect_list(F.struct("p", "w", "gid")).alias(f"known{k}"))
-            state = state.join(known, "shard", "left")
+        known.append(_rows(here.select("shard", F.col("gid").alias("rare")).join(level.select("rare", "p", "w", "gid"), "rare"), k, "p", "w", "gid"))
     every = [x.select("grp", "phrase", "words", "n") for x in levels]
     out = every[0]
     for x in every[1:]:
