@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.text import body_of, prose_list
 from quillspark.functions.urls import rewrite_prefix
+from quillspark.session import cut
 
 
 def neutral(content: Column, prefix: Column) -> Column:
@@ -17,14 +18,16 @@ def neutral(content: Column, prefix: Column) -> Column:
 def resolve_unique(records: DataFrame) -> DataFrame:
     """One row per path: outcome (single, identical, merged, folded, conflict), the canonical record's ordinal, documents and bodies.
 
-    records: path, kind, doc, ord (document order, then place), content, prefix. Contents of one
-    path are reduced to digests before they meet; a path's records are few (one per document and
-    sense), so the ordered collection is bounded by the number of documents.
+    records: path, kind, doc, ord (document order, then place), content, prefix. Texts are read once
+    and leave as digests, of which each document's distinct ones are written; what is collected in order is a
+    path's documents, as many as publish.
     """
-    r = records.withColumn("__d", F.sha2("content", 256)).withColumn("__nd", F.sha2(neutral(F.col("content"), F.col("prefix")), 256))
-    per_doc = r.groupBy("path", "kind", "doc").agg(F.min("ord").alias("ord"), F.count_distinct("__d").alias("senses"))
-    docs = per_doc.groupBy("path").agg(F.max("senses").alias("senses"), F.array_sort(F.collect_list(F.struct("ord", "doc"))).alias("docs"))
-    all_ = r.groupBy("path").agg(F.max("kind").alias("kind"), F.count(F.lit(1)).alias("records"), F.count_distinct("__d").alias("contents"), F.count_distinct("__nd").alias("classes"), F.min("ord").alias("canonical"))
+    d, nd = F.unhex(F.sha2("content", 256)), F.unhex(F.sha2(neutral(F.col("content"), F.col("prefix")), 256))
+    # one pass over the texts; what follows reads digests only
+    r = cut(records.groupBy("path", "kind", "doc", d.alias("__d"), nd.alias("__nd")).agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n")), "digests")
+    per_doc = r.groupBy("path", "doc").agg(F.max("kind").alias("kind"), F.min("ord").alias("ord"), F.count_distinct("__d").alias("senses"), F.sum("n").alias("n"))
+    docs = per_doc.groupBy("path").agg(F.max("kind").alias("kind"), F.sum("n").alias("records"), F.min("ord").alias("canonical"), F.max("senses").alias("senses"), F.array_sort(F.collect_list(F.struct("ord", "doc"))).alias("docs"))
+    all_ = r.groupBy("path").agg(F.count_distinct("__d").alias("contents"), F.count_distinct("__nd").alias("classes"))
     outcome = (
         F.when(F.col("records") == 1, "single").when(F.col("contents") == 1, "identical")
         .when((F.col("kind") == "glossary") & (F.col("senses") > 1), "merged").when(F.col("kind") == "glossary", "folded").otherwise("conflict")
@@ -32,6 +35,14 @@ def resolve_unique(records: DataFrame) -> DataFrame:
     return all_.join(docs, "path").select("path", outcome.alias("outcome"), "canonical", "records", "contents", "classes", F.transform("docs", lambda s: s["doc"]).alias("documents"))
 
 
+def copies(records: DataFrame) -> DataFrame:
+    """(k, canonical, copies, documents): records (k, ord, doc) of equal key folded: the first ordinal, how many there are,
+    and their documents in the order in which they were first seen. A key's records are summed up by document before they meet."""
+    per_doc = records.groupBy("k", "doc").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n"))
+    g = per_doc.groupBy("k").agg(F.min("ord").alias("canonical"), F.sum("n").alias("copies"), F.array_sort(F.collect_list(F.struct("ord", "doc"))).alias("d"))
+    return g.select("k", "canonical", "copies", F.transform("d", lambda x: x["doc"]).alias("documents"))
+
+
 def fold_classes(records: DataFrame) -> DataFrame:
     """Per path and body class (after neutralising image prefixes): first ordinal, documents in order, body."""
     r = records.withColumn("__nd", F.sha2(neutral(F.col("content"), F.col("prefix")), 256))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.operators import positions
+from quillspark.session import cut
 
 VIOLATION = ("guard", "subject", "detail")
 
@@ -23,7 +24,8 @@ def gathered(*violations: DataFrame) -> DataFrame:
 
 
 def require_none(violations: DataFrame, most: int = 20) -> None:
-    """Raise with the first violations and their number; evaluated once, before anything is written."""
+    """Raise with the first violations and their number; evaluated and written once, before anything else is."""
+    violations = cut(violations, "violations")
     rows = violations.orderBy(*VIOLATION).limit(most + 1).collect()
     if rows:
         more = violations.count() - min(len(rows), most)

@@ -59,6 +59,28 @@ def running_sum(df: DataFrame, order: list, value: Column, name: str, parts: int
     return r.join(before, "__part").withColumn(name, F.sum("__v").over(_so_far(order)) + F.col("__before")).drop("__part", "__before", "__v")
 
 
+def running_max(df: DataFrame, partition: list[str], order: list[str], value: str, name: str, parts: int | None = None) -> DataFrame:
+    """``df`` with the greatest ``value`` (a whole number) of the rows of its partition up to and with each row.
+
+    As a window, but a partition may be larger than a task: a range passes on its last partition
+    and the greatest value of that, which counts for rows of later ranges as long as they are of the same one.
+    """
+    r = ranged(df.withColumn("__k", F.struct(*partition)).withColumn("__v", F.col(value).cast("long")), [*partition, *order], parts)
+    each = r.groupBy("__part", "__k").agg(F.max("__v").alias("m"))
+    ends = each.groupBy("__part").agg(F.min("__k").alias("first"), F.max(F.struct("__k", "m")).alias("last"))
+
+    def combine(state: tuple, x: Row) -> tuple:
+        key, m = x["last"]
+        alone = x["first"] == key == state[0] and state[1] is not None
+        return key, max(state[1], m) if alone and m is not None else state[1] if alone else m
+
+    kind = df.select(F.struct(*partition).alias("k")).schema["k"].dataType.simpleString()
+    before = _before(ends, (None, None), combine, f"__open {kind}, __most bigint")
+    w = Window.partitionBy("__part", "__k").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.max("__v").over(w)
+    return r.join(before, "__part").withColumn(name, F.when(F.col("__open").eqNullSafe(F.col("__k")), F.greatest("__most", own)).otherwise(own)).drop("__part", "__k", "__v", "__open", "__most")
+
+
 def clamped_depth(df: DataFrame, order: list, delta: Column, name: str = "depth", parts: int | None = None) -> DataFrame:
     """A counter over all rows as one sequence that never falls below zero.
 

@@ -9,15 +9,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.operators import scan
+from quillspark.session import cut
+
+
+def intervals(nodes: DataFrame) -> DataFrame:
+    """(doc_id, pre, end) of nodes with something below them, from pre and post alone: end is the pre of the last
+    node below, the greatest pre of the nodes that close no later."""
+    closed = scan.running_max(nodes.select("doc_id", F.col("pre").cast("long").alias("pre"), "post"), ["doc_id"], ["post"], "pre", "end")
+    return closed.where("end > pre").select("doc_id", "pre", "end")
+
+
+def stabbed(nodes: DataFrame) -> DataFrame:
+    """(doc_id, pre, a_pre): each node with all its ancestors, from pre and post alone.
+
+    An interval belongs to one cell of the interval tree over the document's places: the smallest
+    dyadic one that holds it, whose midpoint it spans. The intervals of a cell all hold its midpoint, so
+    they lie in each other and are no more than the tree is deep. A node looks into the cells above
+    its place, one for each size that its document has: an equi-join by document, size and cell. Pairs of
+    nodes are never formed, and a large document spreads over tasks.
+    """
+    iv = intervals(nodes).withColumn("size", F.when(F.col("pre") == F.col("end"), 0).otherwise(F.length(F.bin(F.col("pre").bitwiseXOR(F.col("end"))))))
+    iv = cut(iv.select("doc_id", F.col("pre").alias("a_pre"), "end", "size", F.expr("shiftright(pre, size)").alias("cell")), "intervals")
+    sizes = iv.groupBy("doc_id").agg(F.collect_set("size").alias("sizes"))
+    points = nodes.select("doc_id", F.col("pre").cast("long").alias("pre")).join(sizes, "doc_id").select("doc_id", "pre", F.explode("sizes").alias("size"))
+    points = points.withColumn("cell", F.expr("shiftright(pre, size)"))
+    return points.join(iv, ["doc_id", "size", "cell"]).where("a_pre < pre and pre <= end").select("doc_id", "pre", "a_pre")
+
 
 def with_path(nodes: DataFrame) -> DataFrame:
     """``nodes`` with ``path``: the pre of each ancestor and its own. Node tables of ``shred`` have it; for others it
-    is made from pre and post by comparing all nodes of a document, which is for small tables."""
+    is made from pre and post by ``stabbed``."""
     if "path" in nodes.columns:
         return nodes
-    a = nodes.where("tag <> '#text'").select("doc_id", F.col("pre").alias("a_pre"), F.col("post").alias("a_post"))
-    up = nodes.select("doc_id", "pre", "post").join(a, "doc_id").where("a_pre < pre and a_post > post").groupBy("doc_id", "pre").agg(F.array_sort(F.collect_list("a_pre")).alias("__up"))
-    return nodes.join(up, ["doc_id", "pre"], "left").withColumn("path", F.concat(F.coalesce("__up", F.array().cast("array<int>")), F.array(F.col("pre").cast("int")))).drop("__up")
+    kind = nodes.schema["pre"].dataType.simpleString()
+    up = stabbed(nodes).groupBy("doc_id", F.col("pre").cast(kind).alias("pre")).agg(F.array_sort(F.collect_list("a_pre")).cast(f"array<{kind}>").alias("__up"))
+    return nodes.join(up, ["doc_id", "pre"], "left").withColumn("path", F.concat(F.coalesce("__up", F.array().cast(f"array<{kind}>")), F.array("pre"))).drop("__up")
 
 
 def ancestors(nodes: DataFrame, of: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:

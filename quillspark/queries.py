@@ -18,7 +18,7 @@ from quillspark.functions import urls as ur
 from quillspark.functions import yamlish as ym
 from quillspark.operators import census, fold, joins, ordered, positions, scan, search, tracked, transcript, tree
 from quillspark.plans import build
-from quillspark.sources import shred, tables
+from quillspark.sources import frontier, ranges, shred, tables
 from quillspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,11 +105,8 @@ WITH s AS (SELECT text, source, min(doc_id) AS first FROM documents GROUP BY ALL
 SELECT min(doc_id) AS canonical, count(*) AS copies, any_value(sources) AS sources FROM documents JOIN l USING (text) GROUP BY text HAVING count(*) > 1""")
 def dup_fold(spark, sf):
     """Byte-identical texts folded, the first by ordinal canonical, sources in first-seen order."""
-    d = table(spark, sf, "documents").where("text is not null").select(F.sha2("text", 256).alias("k"), "doc_id", F.array("source").alias("own"))
-    first = joins.first_by(d, "k", "doc_id").select("k", F.col("doc_id").alias("canonical"))
-    sources = fold.ordered_union(d, "k", "own", "doc_id", "sources")
-    copies = census.tally(d, F.col("k")).where("n > 1").withColumnRenamed("n", "copies")
-    return copies.join(first, "k").join(sources, "k").select("canonical", "copies", F.array_join("sources", ", ").alias("sources"))
+    d = table(spark, sf, "documents").where("text is not null").select(F.sha2("text", 256).alias("k"), F.col("doc_id").alias("ord"), F.col("source").alias("doc"))
+    return fold.copies(d).where("copies > 1").select("canonical", "copies", F.array_join("documents", ", ").alias("sources"))
 
 
 @query(f"""
@@ -201,6 +198,25 @@ def tag_containment(spark, sf):
     return tree.containment(shred.shred(table(spark, sf, "pages"), "page_id", "html", "html"))
 
 
+#: Tags of pages in their order, without comments and what scripts and styles hold; void elements and those that end themselves open nothing.
+TAGS = r"""
+h AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)(<script[^>]*>).*?(</script\s*>)', '\1\2', 'g'), '(?is)(<style[^>]*>).*?(</style\s*>)', '\1\2', 'g') AS x FROM pages),
+l AS (SELECT page_id, regexp_extract_all(x, '</?[a-zA-Z](?:"[^"]*"|''[^'']*''|[^"''>])*>') AS tags FROM h),
+e AS (SELECT page_id, generate_subscripts(tags, 1) AS i, unnest(tags) AS t FROM l),
+n AS (SELECT page_id, i, lower(regexp_extract(t, '^</?([^\s/>]+)', 1)) AS tag, t LIKE '</%' AS ends, t LIKE '%/>' AS alone FROM e),
+d AS (SELECT *, CASE WHEN ends THEN -1 WHEN alone OR tag IN ('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'param', 'source', 'track', 'wbr') THEN 0 ELSE 1 END AS delta FROM n),
+s AS (SELECT *, sum(delta) OVER (ORDER BY page_id, i) AS s FROM d), c AS (SELECT *, s - least(0, min(s) OVER (ORDER BY page_id, i)) AS after FROM s)"""
+
+
+@query(f"WITH {TAGS} SELECT row_number() OVER (ORDER BY page_id, i) AS place, tag, (after - delta)::BIGINT AS depth FROM c WHERE NOT ends")
+def pages_as_one(spark, sf):
+    """All pages as one document that no task reads whole: its tags in their order, and how deep they stand."""
+    pages = table(spark, sf, "pages").select("page_id", F.posexplode(F.split("html", "<")).alias("i", "piece")).where("i > 0 or piece <> ''")
+    pieces = pages.select(F.lit("pages").alias("doc_id"), "page_id", "i", "piece", (F.col("i") == 0).alias("text"))
+    nodes, _ = ranges.shred_pieces(pieces, ["page_id", "i"], "html", "text")
+    return scan.places(nodes.where("tag <> '#text'").select("pre", "tag", "depth"), ["pre"]).select("place", "tag", F.col("depth").cast("long").alias("depth"))
+
+
 @query()
 def nearest_class(spark, sf):
     """The nearest ancestor's class of each paragraph (no SQL: needs a parser; tested on fixtures)."""
@@ -217,7 +233,24 @@ def crawl_closure(spark, sf):
     n = table(spark, sf, "nation")
     k = F.col("n_nationkey")
     edges = n.select(k.alias("src"), (k * 2 % 25).alias("dst")).unionByName(n.select(k.alias("src"), ((k + 7) % 25).alias("dst")))
-    return tables.crawl(edges, table(spark, sf, "region").select(F.col("r_regionkey").alias("node")), 3)
+    return frontier.crawl(edges, table(spark, sf, "region").select(F.col("r_regionkey").alias("node")), 3).select("node", "depth")
+
+
+CRAWL = r"""
+WITH RECURSIVE l AS (SELECT DISTINCT 'page ' || page_id AS page, 'link ' || link AS link FROM (SELECT page_id, regexp_replace(regexp_replace(unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)), '[#?].*$', ''), '/+$', '') AS link FROM pages) WHERE link <> ''),
+e AS (SELECT page AS src, link AS dst FROM l UNION ALL SELECT link, page FROM l),
+r AS (SELECT DISTINCT page AS node, 0 AS depth FROM l WHERE link = 'link /de' UNION SELECT e.dst, depth + 1 FROM r JOIN e ON e.src = r.node WHERE depth < 4)
+SELECT node, min(depth) AS depth, CASE WHEN min(depth) = 4 THEN 'recorded' ELSE 'done' END AS state FROM r GROUP BY node"""
+
+
+@query(CRAWL)
+def crawl_frontier(spark, sf):
+    """S13, ST3: pages by the links they share, from those that link to one address: a run of two levels that is stopped, and one that resumes from its table."""
+    links = tables.links(table(spark, sf, "pages")).select(F.concat(F.lit("page "), "page_id").alias("page"), F.concat(F.lit("link "), "link").alias("link"))
+    edges = links.select(F.col("page").alias("src"), F.col("link").alias("dst")).unionByName(links.select(F.col("link").alias("src"), F.col("page").alias("dst")))
+    seeds = links.where("link = 'link /de'").select(F.col("page").alias("node"))
+    stopped = frontier.crawl(edges, seeds, 4, levels=2)
+    return frontier.crawl(edges, seeds, 4, resume=stopped)
 
 
 @query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS transcript FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
@@ -373,11 +406,11 @@ def forward_references(spark, sf):
     return ordered.both_ways(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("k")), "k")
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_nationkey = 3")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 450000 EXCEPT SELECT c_custkey FROM customer WHERE c_nationkey = 3")
 def dead_rulings(spark, sf):
     """Declared, less fired, less superseded."""
     c = table(spark, sf, "customer")
-    return ordered.dead(c.select(F.col("c_custkey").alias("k")), table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), c.where("c_nationkey = 3").select(F.col("c_custkey").alias("k")), "k")
+    return ordered.dead(c.select(F.col("c_custkey").alias("k")), table(spark, sf, "orders").where("o_totalprice > 450000").select(F.col("o_custkey").alias("k")), c.where("c_nationkey = 3").select(F.col("c_custkey").alias("k")), "k")
 
 
 @query("""

@@ -128,7 +128,7 @@ SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'not five segments' WHEN 1 THEN 'a
 def figure_urls(spark, sf):
     """Image URLs taken apart, or what is wrong with them."""
     n = F.col("p_size")
-    good = _cat("https://img.example/ncc/fig/2025/v", (n % 3).cast("string"), "/")
+    good = _cat("https://img.example/set/fig/2025/v", (n % 3).cast("string"), "/")
     url = F.when(n % 6 == 0, "https://img.example/a/b").when(n % 6 == 1, "https://evil.example/a/b/2025/v/x.svg").when(n % 6 == 2, _cat(good, "x.svg?y")).when(n % 6 == 3, _cat(good, "%zz")).when(n % 6 == 4, _cat(good, "%2e%2e")).otherwise(_cat(good, ur.encode_component(_cat(F.col("p_name"), " (", _c("p_size"), ").svg"))))
     p = ur.figure_parts(url, "img.example")
     return table(spark, sf, "part").select("p_partkey", F.coalesce(p["problem"], F.lit("")).alias("problem"), F.when(p["problem"].isNull(), F.concat_ws("|", p["year"], p["key"], p["file"])).otherwise("").alias("parts"))
@@ -388,6 +388,16 @@ def tree_nearest(spark, sf):
     return tree.nearest(n, F.col("attrs")["state"], "near").where("depth = 3").select("doc_id", "pre", "near")
 
 
+@query(f"""
+WITH {NODES}, k AS (SELECT *, CASE depth WHEN 0 THEN count(*) OVER (PARTITION BY r) WHEN 1 THEN count(*) OVER (PARTITION BY r, n) WHEN 2 THEN count(*) OVER (PARTITION BY r, n, seg) WHEN 3 THEN count(*) OVER (PARTITION BY r, n, seg, c) ELSE 1 END - 1 AS below FROM t),
+i AS (SELECT r, pre, pre + below - depth AS post FROM k)
+SELECT d.r AS doc_id, d.pre::BIGINT AS pre, count(*) AS above, max(a.pre)::BIGINT AS nearest, sum(a.pre)::BIGINT AS places FROM i d JOIN i a ON a.r = d.r AND a.pre < d.pre AND a.post > d.post GROUP BY ALL""")
+def tree_stabbed(spark, sf):
+    """All ancestors of all nodes from pre and post alone, by cells of the interval tree."""
+    up = tree.stabbed(_nodes(spark, sf).select("doc_id", "pre", "post"))
+    return up.groupBy("doc_id", "pre").agg(F.count(F.lit(1)).alias("above"), F.max("a_pre").alias("nearest"), F.sum("a_pre").alias("places"))
+
+
 @query(f"""
 WITH {NODES} SELECT r AS doc_id, pre, upper(CASE WHEN depth = 3 AND c % 5 = 0 THEN 'nsw' ELSE 'r' || r END) AS state, n::VARCHAR AS section_num, CASE WHEN seg = 'AUTOMOBILE' THEN '' ELSE 'part' END AS container_kind, CASE WHEN seg = 'AUTOMOBILE' THEN '' ELSE seg END AS container_num
 FROM t WHERE tag IN ('clause', 'part')""")
@@ -438,16 +448,16 @@ def retention_counts(spark, sf):
 
 
 @query("""
-WITH t AS (SELECT doc_id % 20 AS doc, doc_id, string_split(text, ' ')[1] AS w, doc_id % 3 <> 0 AS retained FROM documents), r AS (SELECT DISTINCT s_nationkey % 20 AS doc, 'The' AS find FROM supplier),
-h AS (SELECT t.doc, find, count(*) AS n, bool_and(retained) AS inside FROM t JOIN r ON t.doc = r.doc AND contains(w, find) GROUP BY ALL)
-SELECT 'text' AS what, t.doc_id, CASE WHEN h.n = 1 AND h.inside AND contains(w, 'The') THEN replace(w, 'The', 'A') ELSE w END AS text FROM t LEFT JOIN h ON h.doc = t.doc
+WITH t AS (SELECT doc_id // 2 AS doc, doc_id, text, doc_id % 3 <> 0 AS retained FROM documents), r AS (SELECT DISTINCT doc FROM t),
+h AS (SELECT doc, count(*) AS n, bool_and(retained) AS inside FROM t WHERE contains(text, 'Copyright') GROUP BY doc)
+SELECT 'text' AS what, t.doc_id, md5(CASE WHEN h.n = 1 AND h.inside THEN replace(text, 'Copyright', 'A') ELSE text END) AS text FROM t LEFT JOIN h USING (doc)
 UNION ALL SELECT 'fault', r.doc, coalesce(n, 0)::VARCHAR FROM r LEFT JOIN h USING (doc) WHERE n IS NULL OR n <> 1 OR NOT inside""")
 def corrections(spark, sf):
-    """Ruled corrections of texts, and rulings that fit none, several, or one that isn't retained."""
-    t = table(spark, sf, "documents").select((F.col("doc_id") % 20).alias("doc_id"), F.col("doc_id").alias("pre"), F.split("text", " ")[0].alias("text"), (F.col("doc_id") % 3 != 0).alias("retained"))
-    r = table(spark, sf, "supplier").select((F.col("s_nationkey") % 20).cast("long").alias("doc_id"), F.lit("The").alias("find"), F.lit("A").alias("replace")).distinct()
+    """Ruled corrections of whole texts (two documents share a ruling), and rulings that fit none, several, or one that isn't retained."""
+    t = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 2).alias("doc_id"), F.col("doc_id").alias("pre"), "text", (F.col("doc_id") % 3 != 0).alias("retained"))
+    r = t.select("doc_id", F.lit("Copyright").alias("find"), F.lit("A").alias("replace")).distinct()
     fixed, faults = tracked.corrections(t, r)
-    return fixed.select(F.lit("text").alias("what"), F.col("pre").alias("doc_id"), "text").unionByName(faults.select(F.lit("fault").alias("what"), "doc_id", F.col("n").cast("string").alias("text")))
+    return fixed.select(F.lit("text").alias("what"), F.col("pre").alias("doc_id"), F.md5("text").alias("text")).unionByName(faults.select(F.lit("fault").alias("what"), "doc_id", F.col("n").cast("string").alias("text")))
 
 
 # Censuses
@@ -689,11 +699,13 @@ def archives(spark, sf):
     return tables.unzip(zips).select("name", F.coalesce(F.md5("data"), F.lit("")).alias("data"), F.coalesce("error", F.lit("")).alias("error"))
 
 
-@query("SELECT name FROM (VALUES ('customer'), ('documents'), ('lineitem'), ('nation'), ('orders'), ('part'), ('region'), ('supplier')) t(name)")
+TABLES = "benchmark conversations customer documents embeddings events labels lineitem nation orders pages part region supplier".split()
+
+
+@query(f"SELECT name FROM (VALUES {', '.join(f"('{t}')" for t in TABLES)}) t(name)")
 def listing(spark, sf):
-    """Files below a folder, by path."""
-    names = ["customer", "documents", "lineitem", "nation", "orders", "part", "region", "supplier"]
-    return tables.listing(spark, sf, "*.parquet").select(F.regexp_extract("path", r"([^/]+)\.parquet(?:/[^/]*)?$", 1).alias("name")).where(F.col("name").isin(names)).distinct()
+    """Files below a folder, by path; a table is a file or a folder of files."""
+    return tables.listing(spark, sf, "*.parquet").select(F.regexp_extract("path", r"([^/]+)\.parquet(?:/[^/]*)?$", 1).alias("name")).distinct()
 
 
 @query("SELECT user_id, sum(coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), 0))::BIGINT AS total, count(*) FILTER (WHERE try_cast(json_extract_string(props, '$.k') AS BIGINT) IS NULL) AS none FROM events GROUP BY user_id")

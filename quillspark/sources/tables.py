@@ -129,21 +129,6 @@ def json_or_null(text: Column, schema: str) -> Column:
     return F.from_json(text, schema, {"mode": "PERMISSIVE"})
 
 
-def crawl(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
-    """(node, depth) of every node within ``depth`` links of the seeds, by breadth-first joins.
-
-    Nodes at the last depth are recorded, not expanded. ``edges`` (src, dst), ``seeds`` (node).
-    Each level joins only the frontier, and is cut by an anti-join with what is known.
-    """
-    found = seeds.select("node", F.lit(0).alias("depth")).distinct()
-    frontier = found
-    for level in range(1, depth + 1):
-        step = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        frontier = step.join(found.select("node"), "node", "left_anti").select("node", F.lit(level).alias("depth"))
-        found = found.unionByName(frontier)
-    return found
-
-
 def redact(text: Column, keys: str = "key|token|secret|password|authorization") -> Column:
     """A JSON text with the string values of secret-looking keys replaced, at any depth."""
     return F.regexp_replace(text, rf'(?i)("[^"]*(?:{keys})[^"]*"\s*:\s*)"(?:[^"\\]|\\.)*+"', '$1"[redacted]"')

@@ -4,7 +4,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from quillspark.sources import paged, shred, sinks, tables
+from quillspark.sources import frontier, paged, shred, sinks, tables
 
 
 def archive(*entries, method=zipfile.ZIP_DEFLATED):
@@ -59,7 +59,7 @@ def test_links_crawl_images(spark):
     assert [r["link"] for r in tables.links(p, "http://h/").collect()] == ["http://h/x"]
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("b", "a")], "src string, dst string")
     s = spark.createDataFrame([("a",)], "node string")
-    assert {r["node"]: r["depth"] for r in tables.crawl(e, s, 2).collect()} == {"a": 0, "b": 1, "c": 2}
+    assert {r["node"]: r["depth"] for r in frontier.crawl(e, s, 2).collect()} == {"a": 0, "b": 1, "c": 2}
     f = spark.createDataFrame([("v1", "v1/Images/a.png"), ("v2", "v2/XMLs/a.xml"), ("v3", "v3/images/a.png"), ("v3", "v3/IMAGES/b.png")], "doc string, path string")
     assert {r["doc"]: r["state"] for r in tables.images(f).collect()} == {"v1": "listed", "v2": "absent", "v3": "ambiguous"}
 
