@@ -10,8 +10,8 @@ time, so that the bitmaps of few phrases are held at once.
 
 Counts of shards are summed by Spark. A phrase can only be frequent if its words and its shorter
 phrases are; so each length is counted over all shards before the next, and a shard extends only
-phrases that are frequent in all. It learns of those through the rarest word of each: they are joined
-to the words of the shards, and nothing is broadcast. Shards are written once as compressed word ids,
+phrases that are frequent in all. Its own counts tell which of those it holds: a phrase's counts meet by one
+exchange, their sum stays with each of them, and those of frequent phrases return to their shards. Nothing is broadcast. Shards are written once as compressed word ids,
 and once more when the frequent words are known. A task takes a shard's rows in order, first
 what the shard has to know, then its words, so no row holds more than a shard's words and no list is collected.
 
@@ -253,12 +253,12 @@ def _counting(lengths: list[int]):
     """Counts of phrases one word longer than those of ``lengths``, whose rows (kind: length; without last word, last word, id) come before a shard's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, laid, kind, numbers in _by_shard(batches):
+        for shard, laid, kind, numbers in _by_shard(batches):
             n = int(np.frombuffer(laid, np.int64, 1)[0])
             gids, x = np.frombuffer(laid, np.int64, n, 8), np.frombuffer(laid, np.int32, offset=8 * (n + 1))
             known = [tuple(numbers[:, kind == k]) for k in lengths]
             for p, w, c in counted(x, np.arange(1, n + 1), gids, known):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in (p, w, c)], names=["p", "w", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in (np.full(len(p), shard), p, w, c)], names=["shard", "p", "w", "n"])
 
     return run
 
@@ -289,22 +289,22 @@ def frequent_phrases(docs: DataFrame, by: str = "lang", text: str = "text", leas
     totals = materialise(vocabulary.groupBy("grp").agg(F.sum("n").alias("total")), "phrases-totals")
     one = vocabulary.groupBy("grp", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     one = materialise(one.withColumn("gid", F.monotonically_increasing_id()), "phrases-1")
-    here = materialise(vocabulary.select("shard", "local", "grp", "phrase").join(one.select("grp", "phrase", "gid"), ["grp", "phrase"]).select("shard", "local", "gid"), "phrases-words")
+    here = vocabulary.select("shard", "local", "grp", "phrase").join(one.select("grp", "phrase", "gid"), ["grp", "phrase"])
     dense = materialise(_sorted(_rows(here, 0, "local", "gid"), _rows(shards.where("laid is not null"), BLOB)).mapInArrow(_dense, "shard bigint, laid binary"), "phrases-dense")
     discard(shards)
-    levels = [one.select("gid", "grp", "phrase", F.array("phrase").alias("words"), "n", F.col("gid").alias("rare"), F.col("n").alias("rare_n"))]
-    word = levels[0].select(F.col("gid").alias("w"), F.col("phrase").alias("__word"), F.col("n").alias("__n"))
-    state, known = _rows(dense, BLOB), []
+    levels = [one.select("gid", "grp", "phrase", F.array("phrase").alias("words"), "n")]
+    word = levels[0].select(F.col("gid").alias("w"), F.col("phrase").alias("__word"))
+    state, known, each = _rows(dense, BLOB), [], Window.partitionBy("p", "w")
     for k in range(2, longest + 1):
-        counts = (_sorted(state, *known) if known else state).mapInArrow(_counting(list(range(2, k))), "p bigint, w bigint, n bigint")
-        found = counts.groupBy("p", "w").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        below = levels[-1].select(F.col("gid").alias("p"), "grp", "phrase", "words", "rare", "rare_n")
-        named = found.join(below, "p").join(word, "w")
-        rarer = F.col("__n") < F.col("rare_n")
-        named = named.select("p", "w", "grp", F.concat_ws(" ", "phrase", "__word").alias("phrase"), F.concat("words", F.array("__word")).alias("words"), "n", F.when(rarer, F.col("w")).otherwise(F.col("rare")).alias("rare"), F.least("__n", "rare_n").alias("rare_n"))
-        level = materialise(named.withColumn("gid", F.monotonically_increasing_id()), f"phrases-{k}")
-        levels.append(level)
-        known.append(_rows(here.select("shard", F.col("gid").alias("rare")).join(level.select("rare", "p", "w", "gid"), "rare"), k, "p", "w", "gid"))
+        counts = (_sorted(state, *known) if known else state).mapInArrow(_counting(list(range(2, k))), "shard bigint, p bigint, w bigint, n bigint")
+        # a phrase has a row for each shard, so nothing is left to combine before the exchange
+        held = materialise(counts.withColumn("total", F.sum("n").over(each)).where(F.col("total") >= least).drop("n"), f"phrases-{k}-rows")
+        named = held.groupBy("p", "w").agg(F.max("total").alias("n")).join(levels[-1].select(F.col("gid").alias("p"), "grp", "phrase", "words"), "p").join(word, "w")
+        named = named.select("p", "w", "grp", F.concat_ws(" ", "phrase", "__word").alias("phrase"), F.concat("words", F.array("__word")).alias("words"), "n")
+        levels.append(materialise(named.withColumn("gid", F.monotonically_increasing_id()), f"phrases-{k}"))
+        if k < longest:
+            known.append(_rows(materialise(held.join(levels[-1].select("p", "w", "gid"), ["p", "w"]), f"phrases-{k}-known"), k, "p", "w", "gid"))
+            discard(held)
     every = [x.select("grp", "phrase", "words", "n") for x in levels]
     out = every[0]
     for x in every[1:]:
