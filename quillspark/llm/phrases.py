@@ -84,8 +84,8 @@ def _sharded(by: str, text: str):
 
 
 SHARDS = "shard bigint, grp string, local bigint, word string, n bigint, laid binary"
-#: A shard's rows for a task: what kind they are (BLOB comes last), numbers, and its words.
-ROWS, BLOB = "shard bigint, kind int, a bigint, b bigint, c bigint, laid binary", 99
+#: A shard's rows for a task are of a kind, with numbers (n1, n2, ...); this kind, the last, has its words instead.
+BLOB = 99
 
 
 def _laid(s: Shard, group: str, number: int) -> Iterator[pa.RecordBatch]:
@@ -107,24 +107,23 @@ def _unpacked(laid: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(laid)
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
-    """(shard, words, kinds, numbers by column) of rows sorted by shard and kind."""
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """(shard, words, numbers by column) of rows sorted by shard and kind."""
     held = []
     for b in batches:
         kind = b.column("kind").to_numpy(zero_copy_only=False)
-        numbers = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in "abc"])
+        numbers = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names if c[0] == "n"])
         start = 0
         for end in np.flatnonzero(kind == BLOB).tolist():
-            held.append((kind[start:end], numbers[:, start:end]))
-            yield b.column("shard")[end].as_py(), _unpacked(b.column("laid")[end].as_py()), np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held], axis=1)
+            yield b.column("shard")[end].as_py(), _unpacked(b.column("laid")[end].as_py()), np.concatenate([*held, numbers[:, start:end]], axis=1)
             held, start = [], end + 1
-        held.append((kind[start:].copy(), numbers[:, start:].copy()))
+        held.append(numbers[:, start:].copy())
 
 
 def _dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shards of frequent words only: their number, their global ids in order, and at each position the place of its word
     among these, from 1; 0 for others and for gaps. Shards without frequent words go."""
-    for shard, laid, _, (local, gid, _) in _by_shard(batches):
+    for shard, laid, (local, gid) in _by_shard(batches):
         x = np.frombuffer(laid, np.int32)
         if len(gid):
             order = np.argsort(gid)
@@ -178,11 +177,11 @@ class Bitmaps:
 
 
 class Level:
-    """Frequent phrases of one length in a shard: sorted keys (phrase without its last word, last word), global
-    ids, and which phrase of the length below each is without its first word."""
+    """Frequent phrases of one length in a shard: sorted keys (phrase without its last word, last word), their words,
+    and which phrase of the length below each is without its first word."""
 
-    def __init__(self, keys: np.ndarray, gids: np.ndarray, tail: np.ndarray):
-        self.keys, self.gids, self.tail = keys, gids, tail
+    def __init__(self, keys: np.ndarray, words: np.ndarray, tail: np.ndarray):
+        self.keys, self.words, self.tail = keys, words, tail
 
     def find(self, phrase: np.ndarray, word: np.ndarray, n_words: int) -> np.ndarray:
         """Places of (phrase, word), -1 for those that aren't there."""
@@ -193,19 +192,29 @@ class Level:
         return np.where(self.keys[i] == key, i, -1)
 
 
-def _place(values: np.ndarray, sorted_: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Where each value stands in an array given by its sorted form and order; -1: nowhere."""
-    if not len(sorted_):
-        return np.full(len(values), -1, np.int64)
-    i = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
-    return np.where(sorted_[i] == values, order[i], -1)
+def _levels(n: int, known: np.ndarray) -> list[Level]:
+    """Levels of the words (places 0 to n) and of the phrases in ``known`` (a row of words each) with all phrases inside them."""
+    levels = [Level(np.arange(n, dtype=np.int64), np.arange(n)[:, None], np.zeros(n, np.int64))]
 
+    def index(words_: np.ndarray) -> np.ndarray:
+        at = words_[:, 0]
+        for d in range(1, words_.shape[1]):
+            at = levels[d].find(at, words_[:, d], n)
+        return at
 
-def counted(x: np.ndarray, local: np.ndarray, gids: np.ndarray, known: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """How often phrases of len(known) + 2 words stand in a shard: (global id of the phrase without its last word, that of the last word, count), by groups.
+    m = known.shape[1]
+    for k in range(2, m + 1):
+        inside = np.concatenate([known[:, i : i + k] for i in range(m - k + 1)])
+        keys, first = np.unique(index(inside[:, :-1]) * n + inside[:, -1], return_index=True)
+        levels.append(Level(keys, inside[first], index(inside[first][:, 1:])))
+    return levels
 
-    x: local word ids. local, gids: frequent words. known: for each length from 2 on (phrase without
-    its last word, last word, global id) of the phrases frequent in all shards, among them all that this shard has.
+
+def counted(x: np.ndarray, local: np.ndarray, gids: np.ndarray, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """How often phrases stand in a shard that are one word longer than those of ``known`` (pairs without it): (global ids
+    of their words, a row a phrase; counts), by groups.
+
+    x: local word ids. local, gids: frequent words. known: the shard's phrases of one length that are frequent in all shards, a row of global ids each.
     """
     order = np.argsort(gids)
     local, gids = local[order], gids[order]
@@ -215,18 +224,11 @@ def counted(x: np.ndarray, local: np.ndarray, gids: np.ndarray, known: list[tupl
     of = np.full(max(int(x.max(initial=0)), int(local.max())) + 1, -1, np.int32)
     of[local] = np.arange(n, dtype=np.int32)
     maps = Bitmaps(of[x])
-    levels = [Level(np.arange(n, dtype=np.int64), gids, np.zeros(n, np.int64))]
-    for p, w, g in known:
-        below = levels[-1]
-        by = np.argsort(below.gids)
-        pi, wi = _place(p, below.gids[by], by), _place(w, gids, np.arange(n))
-        here = (pi >= 0) & (wi >= 0)
-        pi, wi, g = pi[here], wi[here], g[here]
-        keys = pi * n + wi
-        by = np.argsort(keys)
-        pi, wi = pi[by], wi[by]
-        tail = wi if len(levels) == 1 else below.find(below.tail[pi], wi, n)
-        levels.append(Level(keys[by], g[by], tail))
+    places = np.arange(n)[:, None]
+    if known is not None:
+        places = np.minimum(np.searchsorted(gids, known), n - 1)
+        places = places[(gids[places] == known).all(axis=1)]
+    levels = _levels(n, places)
 
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(maps.word)) + 1, [len(maps.word)]))
     first = 0
@@ -246,34 +248,36 @@ def counted(x: np.ndarray, local: np.ndarray, gids: np.ndarray, known: list[tupl
                 phrase, block, bits = place[ok], block[ok], bits[ok]
         keys, which = np.unique(phrase * n + word, return_inverse=True)
         sums = np.bincount(which, weights=np.bitwise_count(bits), minlength=len(keys)).astype(np.int64)
-        yield levels[-1].gids[keys // n], gids[keys % n], sums
+        yield np.column_stack((gids[levels[-1].words[keys // n]], gids[keys % n])), sums
 
 
-def _counting(lengths: list[int]):
-    """Counts of phrases one word longer than those of ``lengths``, whose rows (kind: length; without last word, last word, id) come before a shard's words."""
+def _counting(k: int):
+    """Counts of phrases of k words; before a shard's words come its frequent phrases of one word less, if these are more than words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, laid, kind, numbers in _by_shard(batches):
+        for shard, laid, numbers in _by_shard(batches):
             n = int(np.frombuffer(laid, np.int64, 1)[0])
             gids, x = np.frombuffer(laid, np.int64, n, 8), np.frombuffer(laid, np.int32, offset=8 * (n + 1))
-            known = [tuple(numbers[:, kind == k]) for k in lengths]
-            for p, w, c in counted(x, np.arange(1, n + 1), gids, known):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in (np.full(len(p), shard), p, w, c)], names=["shard", "p", "w", "n"])
+            for phrases, sums in counted(x, np.arange(1, n + 1), gids, numbers.T if k > 2 else None):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (np.full(len(sums), shard), *phrases.T, sums)], names=["shard", *_words(k), "n"])
 
     return run
 
 
+def _words(k: int) -> list[str]:
+    return [f"w{i}" for i in range(1, k + 1)]
+
+
 def _rows(df: DataFrame, kind: int, *numbers: str) -> DataFrame:
-    zero = F.lit(0).cast("long")
-    cols = [F.col(n).alias(x) for n, x in zip(numbers, "abc", strict=False)] + [zero.alias(x) for x in "abc"[len(numbers) :]]
-    return df.select("shard", F.lit(kind).alias("kind"), *cols, (F.col("laid") if kind == BLOB else F.lit(None).cast("binary")).alias("laid"))
+    return df.select("shard", F.lit(kind).alias("kind"), *(F.col(c).alias(f"n{i}") for i, c in enumerate(numbers)), F.lit(None).cast("binary").alias("laid"))
+
+
+def _blobs(df: DataFrame, numbers: int) -> DataFrame:
+    return df.select("shard", F.lit(BLOB).alias("kind"), *(F.lit(0).cast("long").alias(f"n{i}") for i in range(numbers)), "laid")
 
 
-def _sorted(*parts: DataFrame) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.repartition("shard").sortWithinPartitions("shard", "kind")
+def _sorted(first: DataFrame, last: DataFrame) -> DataFrame:
+    return first.unionByName(last).repartition("shard").sortWithinPartitions("shard", "kind")
 
 
 def frequent_phrases(docs: DataFrame, by: str = "lang", text: str = "text", least: int = 30, longest: int = 4, other: str = "und") -> tuple[DataFrame, DataFrame]:
@@ -290,24 +294,25 @@ def frequent_phrases(docs: DataFrame, by: str = "lang", text: str = "text", leas
     one = vocabulary.groupBy("grp", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     one = materialise(one.withColumn("gid", F.monotonically_increasing_id()), "phrases-1")
     here = vocabulary.select("shard", "local", "grp", "phrase").join(one.select("grp", "phrase", "gid"), ["grp", "phrase"])
-    dense = materialise(_sorted(_rows(here, 0, "local", "gid"), _rows(shards.where("laid is not null"), BLOB)).mapInArrow(_dense, "shard bigint, laid binary"), "phrases-dense")
+    dense = materialise(_sorted(_rows(here, 0, "local", "gid"), _blobs(shards.where("laid is not null"), 2)).mapInArrow(_dense, "shard bigint, laid binary"), "phrases-dense")
     discard(shards)
-    levels = [one.select("gid", "grp", "phrase", F.array("phrase").alias("words"), "n")]
-    word = levels[0].select(F.col("gid").alias("w"), F.col("phrase").alias("__word"))
-    state, known, each = _rows(dense, BLOB), [], Window.partitionBy("p", "w")
+    levels, held = [one.select("grp", "phrase", F.array("phrase").alias("words"), "n")], None
     for k in range(2, longest + 1):
-        counts = (_sorted(state, *known) if known else state).mapInArrow(_counting(list(range(2, k))), "shard bigint, p bigint, w bigint, n bigint")
+        w = _words(k)
+        rows = _blobs(dense, 1) if held is None else _sorted(_rows(held, k, *w[:-1]), _blobs(dense, k - 1))
+        counts = rows.mapInArrow(_counting(k), ", ".join(f"{c} bigint" for c in ["shard", *w, "n"]))
         # a phrase has a row for each shard, so nothing is left to combine before the exchange
-        held = materialise(counts.withColumn("total", F.sum("n").over(each)).where(F.col("total") >= least).drop("n"), f"phrases-{k}-rows")
-        named = held.groupBy("p", "w").agg(F.max("total").alias("n")).join(levels[-1].select(F.col("gid").alias("p"), "grp", "phrase", "words"), "p").join(word, "w")
-        named = named.select("p", "w", "grp", F.concat_ws(" ", "phrase", "__word").alias("phrase"), F.concat("words", F.array("__word")).alias("words"), "n")
-        levels.append(materialise(named.withColumn("gid", F.monotonically_increasing_id()), f"phrases-{k}"))
-        if k < longest:
-            known.append(_rows(materialise(held.join(levels[-1].select("p", "w", "gid"), ["p", "w"]), f"phrases-{k}-known"), k, "p", "w", "gid"))
-            discard(held)
-    every = [x.select("grp", "phrase", "words", "n") for x in levels]
-    out = every[0]
-    for x in every[1:]:
+        total = F.sum("n").over(Window.partitionBy(*w))
+        last, held = held, materialise(counts.withColumn("total", total).where(F.col("total") >= least).drop("n"), f"phrases-{k}")
+        if last is not None:
+            discard(last)
+        named = held.groupBy(*w).agg(F.max("total").alias("n"))
+        for i, c in enumerate(w):
+            named = named.join(one.select(F.col("gid").alias(c), F.col("phrase").alias(f"p{i}"), *(["grp"] if i == 0 else [])), c)
+        own = [f"p{i}" for i in range(k)]
+        levels.append(materialise(named.select("grp", F.concat_ws(" ", *own).alias("phrase"), F.array(*own).alias("words"), "n"), f"phrases-{k}-named"))
+    out = levels[0]
+    for x in levels[1:]:
         out = out.unionByName(x)
     return out, totals
 

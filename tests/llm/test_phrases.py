@@ -66,15 +66,13 @@ def test_bitmaps_cross_blocks(monkeypatch):
     plain = lambda k: Counter(tuple(name[i] for i in x[j : j + k].tolist()) for j in range(len(x) - k + 1) if all(i in name for i in x[j : j + k].tolist()))
     for rows in (1, 7, 1 << 18):
         monkeypatch.setattr(phrases, "ROWS_AT_ONCE", rows)
-        get = lambda known: {(p, w): n for a in phrases.counted(x, local, gids, known) for p, w, n in zip(*map(np.ndarray.tolist, a), strict=True)}
-        two = get([])
-        assert two == plain(2)
-        frequent = [k for k, n in two.items() if n >= 60]
-        ids = {k: 1000 - i for i, k in enumerate(frequent)}
-        extra = [(123, 10, 5)]  # a phrase of which this shard has no word
-        known = [tuple(np.array(c) for c in zip(*[(*k, ids[k]) for k in frequent], *extra, strict=True))]
-        three = get(known)
-        assert three == {(ids[k[:2]], k[2]): n for k, n in plain(3).items() if k[:2] in ids and k[1:] in ids}
+        get = lambda known: {tuple(p): n for ps, ns in phrases.counted(x, local, gids, known) for p, n in zip(ps.tolist(), ns.tolist(), strict=True)}
+        assert get(None) == plain(2)
+        two = [k for k, n in plain(2).items() if n >= 60]
+        three = get(np.array([*two, (123, 10)]))  # the last has a word that this shard has not
+        assert three == {k: n for k, n in plain(3).items() if k[:2] in two and k[1:] in two}
+        some = [k for k, n in three.items() if n >= 6]
+        assert get(np.array(some)) == {k: n for k, n in plain(4).items() if k[:3] in some and k[1:] in some}
 
 
 def test_exact_beyond_64_bits(spark):
