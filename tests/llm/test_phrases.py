@@ -68,10 +68,10 @@ def test_bitmaps_cross_blocks(monkeypatch):
         monkeypatch.setattr(phrases, "ROWS_AT_ONCE", rows)
         get = lambda known: {tuple(p): n for ps, ns in phrases.counted(x, local, gids, known) for p, n in zip(ps.tolist(), ns.tolist(), strict=True)}
         assert get(None) == plain(2)
-        two = [k for k, n in plain(2).items() if n >= 60]
+        two = [k for k, n in plain(2).items() if n >= 40]
         three = get(np.array([*two, (123, 10)]))  # the last has a word that this shard has not
         assert three == {k: n for k, n in plain(3).items() if k[:2] in two and k[1:] in two}
-        some = [k for k, n in three.items() if n >= 6]
+        some = [k for k, n in three.items() if n >= 7]
         assert get(np.array(some)) == {k: n for k, n in plain(4).items() if k[:3] in some and k[1:] in some}
 
 
