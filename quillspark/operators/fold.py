@@ -15,6 +15,12 @@ def neutral(content: Column, prefix: Column) -> Column:
     return rewrite_prefix(content, prefix, F.lit("{figures}"))
 
 
+def digests(records: DataFrame) -> DataFrame:
+    """``records`` (path, kind, doc, ord, content, prefix) with digests of their contents, as they stand and after neutralising image prefixes, instead of these."""
+    d, nd = F.unhex(F.sha2("content", 256)), F.unhex(F.sha2(neutral(F.col("content"), F.col("prefix")), 256))
+    return records.select("path", "kind", "doc", "ord", d.alias("__d"), nd.alias("__nd"))
+
+
 def resolve_unique(records: DataFrame) -> DataFrame:
     """One row per path: outcome (single, identical, merged, folded, conflict), the canonical record's ordinal, documents and bodies.
 
@@ -22,9 +28,13 @@ def resolve_unique(records: DataFrame) -> DataFrame:
     and leave as digests, of which each document's distinct ones are written; what is collected in order is a
     path's documents, as many as publish.
     """
-    d, nd = F.unhex(F.sha2("content", 256)), F.unhex(F.sha2(neutral(F.col("content"), F.col("prefix")), 256))
+    return resolve_digests(digests(records))
+
+
+def resolve_digests(records: DataFrame) -> DataFrame:
+    """``resolve_unique`` of what ``digests`` gives."""
     # one pass over the texts; what follows reads digests only
-    r = cut(records.groupBy("path", "kind", "doc", d.alias("__d"), nd.alias("__nd")).agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n")), "digests")
+    r = cut(records.groupBy("path", "kind", "doc", "__d", "__nd").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n")), "digests")
     per_doc = r.groupBy("path", "doc").agg(F.max("kind").alias("kind"), F.min("ord").alias("ord"), F.count_distinct("__d").alias("senses"), F.sum("n").alias("n"))
     docs = per_doc.groupBy("path").agg(F.max("kind").alias("kind"), F.sum("n").alias("records"), F.min("ord").alias("canonical"), F.max("senses").alias("senses"), F.array_sort(F.collect_list(F.struct("ord", "doc"))).alias("docs"))
     all_ = r.groupBy("path").agg(F.count_distinct("__d").alias("contents"), F.count_distinct("__nd").alias("classes"))
