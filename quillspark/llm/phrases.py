@@ -76,14 +76,24 @@ def _sharded(by: str, text: str):
                     most = max(open_, key=lambda g: open_[g].n)
                     done = open_.pop(most)
                     total -= done.n
-                    yield from _laid(done, most, (task << 32) + next(number))
+                    yield from _laid(done, most, _number(task, next(number)))
         for g, s in open_.items():
-            yield from _laid(s, g, (task << 32) + next(number))
+            yield from _laid(s, g, _number(task, next(number)))
 
     return run
 
 
 SHARDS = "shard bigint, grp string, local bigint, word string, n bigint, laid binary"
+#: Bits of a shard's number within its task, and of a word's number within its shard.
+IN_TASK, IN_SHARD = 12, 28
+
+
+def _number(task: int, n: int) -> int:
+    if n >> IN_TASK:
+        raise ValueError("a task has too many shards: read smaller partitions")
+    return (task << IN_TASK) + n
+
+
 #: A shard's rows for a task are of a kind, with numbers (n1, n2, ...); this kind, the last, has its words instead.
 BLOB = 99
 
@@ -100,7 +110,7 @@ def _laid(s: Shard, group: str, number: int) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(a.tobytes() for a in arrays))
 
 
 def _unpacked(laid: bytes) -> bytes:
@@ -291,9 +301,11 @@ def frequent_phrases(docs: DataFrame, by: str = "lang", text: str = "text", leas
     shards = materialise(rows.mapInArrow(_sharded("grp", "text"), SHARDS), "phrases-shards")
     vocabulary = shards.where("word is not null").select("shard", "grp", "local", F.col("word").alias("phrase"), "n")
     totals = materialise(vocabulary.groupBy("grp").agg(F.sum("n").alias("total")), "phrases-totals")
-    one = vocabulary.groupBy("grp", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    one = materialise(one.withColumn("gid", F.monotonically_increasing_id()), "phrases-1")
-    here = vocabulary.select("shard", "local", "grp", "phrase").join(one.select("grp", "phrase", "gid"), ["grp", "phrase"])
+    # a word is known by its number in the first shard that has it; that row stands for it
+    each, own = Window.partitionBy("grp", "phrase"), F.shiftleft("shard", IN_SHARD) + F.col("local")
+    here = vocabulary.withColumn("total", F.sum("n").over(each)).withColumn("gid", F.min(own).over(each)).where(F.col("total") >= least)
+    here = materialise(here.select("shard", "local", "gid", *(F.when(F.col("gid") == own, F.col(c)).alias(c) for c in ("grp", "phrase", "total"))), "phrases-1")
+    one = here.where("phrase is not null").select("gid", "grp", "phrase", F.col("total").alias("n"))
     dense = materialise(_sorted(_rows(here, 0, "local", "gid"), _blobs(shards.where("laid is not null"), 2)).mapInArrow(_dense, "shard bigint, laid binary"), "phrases-dense")
     discard(shards)
     levels, held = [one.select("grp", "phrase", F.array("phrase").alias("words"), "n")], None
@@ -302,11 +314,12 @@ def frequent_phrases(docs: DataFrame, by: str = "lang", text: str = "text", leas
         rows = _blobs(dense, 1) if held is None else _sorted(_rows(held, k, *w[:-1]), _blobs(dense, k - 1))
         counts = rows.mapInArrow(_counting(k), ", ".join(f"{c} bigint" for c in ["shard", *w, "n"]))
         # a phrase has a row for each shard, so nothing is left to combine before the exchange
-        total = F.sum("n").over(Window.partitionBy(*w))
-        last, held = held, materialise(counts.withColumn("total", total).where(F.col("total") >= least).drop("n"), f"phrases-{k}")
+        each = Window.partitionBy(*w)
+        summed = counts.withColumn("total", F.sum("n").over(each)).withColumn("first", F.min("shard").over(each))
+        last, held = held, materialise(summed.where(F.col("total") >= least).drop("n"), f"phrases-{k}")
         if last is not None:
             discard(last)
-        named = held.groupBy(*w).agg(F.max("total").alias("n"))
+        named = held.where("shard = first").select(*w, F.col("total").alias("n"))
         for i, c in enumerate(w):
             named = named.join(one.select(F.col("gid").alias(c), F.col("phrase").alias(f"p{i}"), *(["grp"] if i == 0 else [])), c)
         own = [f"p{i}" for i in range(k)]
