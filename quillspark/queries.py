@@ -701,7 +701,7 @@ def ext_revenue(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from quillspark import queries_corpus, queries_fixtures, queries_units  # noqa: F401  (they register theirs)
+    from quillspark import queries_corpus, queries_units  # noqa: F401  (they register theirs)
 
     return dict(QUERIES)
 

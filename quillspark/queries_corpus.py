@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quillspark.operators import scan, splice
-from quillspark.plans import increments, indexes
+from quillspark.functions import text as tx
+from quillspark.operators import scan, splice, tracked
+from quillspark.plans import increments, indexes, readers
 from quillspark.queries import RECORDS, UNITS, _records, _title, query
 from quillspark.queries_units import NODES, _nodes
-from quillspark.functions import text as tx
-from quillspark.session import shared_dir
-from quillspark.sources import corpus
+from quillspark.session import cut, shared_dir
+from quillspark.sources import corpus, shred
 from quillspark.sources.tables import table
 from quillspark.streaming import lifecycle
 
@@ -53,6 +54,7 @@ def corpus_written(spark, sf):
 
 CAP = 21_600
 
+
 @query(f"""
 WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn, CASE event_type WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'blocked' END AS ends FROM events),
 r AS (SELECT user_id, rn, us, ends, 1::BIGINT AS number, us AS started, 1::BIGINT AS n, NULL::BIGINT AS x_number, NULL::BIGINT AS x_started, NULL::BIGINT AS x_n FROM e WHERE rn = 1
@@ -86,6 +88,72 @@ def incremental_fold(spark, sf):
     return out.select("path", "outcome", "canonical", "records", F.array_join("documents", ", ").alias("documents"))
 
 
+@query("""
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, turn % 5 AS k FROM conversations)
+SELECT conv_id, md5(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role <> 'user' AND k <> 3), '')) AS base, count(*) FILTER (WHERE role <> 'user' AND k = 2 AND regexp_replace(text, '\\s+', '', 'g') <> '') AS retained,
+  md5(trim(regexp_replace(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE k <> 4), ''), '\\s+', ' ', 'g'))) AS accepted
+FROM t GROUP BY conv_id""")
+def conversation_states(spark, sf):
+    """Conversations as texts with tracked changes: turns marked as inserted or deleted in several years, what users say as later
+    insertions; the earlier state, what is retained in it, and the later state."""
+    t = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    mark = lambda kind, year: F.create_map(F.lit("t:type"), F.lit(kind), F.lit("t:dateTime"), F.lit(f"{year}-05-01"))
+    none = F.create_map().cast("map<string,string>")
+    k = F.col("turn") % 5
+    attrs = F.when(k == 1, mark("insert", 2022)).when(k == 2, mark("insert", 2025)).when(k == 3, mark("delete", 2021)).when(k == 4, mark("delete", 2025)).otherwise(none)
+    at = 1 + 3 * F.col("turn")  # a turn is a paragraph, with a container of insertions if it is a user's, and its text
+    row = lambda df, pre, path, tag, attrs, text: df.select(F.col("conv_id").alias("doc_id"), pre.cast("int").alias("pre"), F.array(*path).cast("array<int>").alias("path"), tag.alias("tag"), attrs.alias("attrs"), text.cast("string").alias("text"))
+    zero, null = F.lit(0), F.lit(None)
+    user = t.where("role = 'user'")
+    nodes = row(t.select("conv_id").distinct(), zero, [zero], F.lit("d"), none, null)
+    nodes = nodes.unionByName(row(t, at, [zero, at], F.lit("p"), attrs, null)).unionByName(row(user, at + 1, [zero, at, at + 1], F.lit("insText"), none, null))
+    nodes = nodes.unionByName(row(user, at + 2, [zero, at, at + 1, at + 2], F.lit("#text"), none, F.col("text"))).unionByName(row(t.where("role <> 'user'"), at + 2, [zero, at, at + 2], F.lit("#text"), none, F.col("text")))
+    nodes = nodes.withColumn("parent", F.get("path", F.size("path") - 2))
+    base = tracked.base_view(nodes, 2024)
+    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("tag") == "#text", F.struct("pre", "text")))), lambda s: s["text"]), "")
+    b = base.groupBy("doc_id").agg(F.md5(texts).alias("base"), F.count_if("retained").alias("retained"))
+    later = tracked.accepted_text(nodes, nodes.where("tag = 'd'"), 2024).select("doc_id", "accepted")
+    return b.join(later, "doc_id", "left").select(F.col("doc_id").alias("conv_id"), "base", "retained", F.md5(F.coalesce("accepted", F.lit(""))).alias("accepted"))
+
+
+VOLUME_CLASSES = [("volume", "root", None), ("section", "root", None), ("part", "container", None), ("clause", "unit", "clause"), ("clause-variation", "unit", "clause"), ("glossentry", "unit", "glossary"), ("p", "prose", None), *((t, "metadata", None) for t in ("title", "sptc", "glossterm", "archive-num"))]
+
+
+@query("""
+WITH c AS (SELECT n_nationkey AS doc, n_regionkey::VARCHAR AS r, c_mktsegment AS seg, c_custkey AS c, c_name AS name FROM customer JOIN nation ON c_nationkey = n_nationkey),
+u AS (
+  SELECT n_nationkey AS doc, 0 AS a, '' AS seg, 0::BIGINT AS c, 0 AS b, 'page' AS kind, true AS overview, '' AS id, n_name AS title, 'S' || n_nationkey AS state, n_regionkey::VARCHAR AS section, '' AS container, '' AS supersedes, '' AS building, '' AS category FROM nation
+  UNION ALL SELECT DISTINCT doc, 1, seg, 0, 0, 'page', true, '', seg, 'S' || doc, r, seg, '', '', '' FROM c WHERE seg <> 'BUILDING'
+  UNION ALL SELECT doc, 1, seg, c, 0, 'clause', false, 'K' || c, name, 'S' || doc, r, seg, CASE WHEN c % 7 = 0 THEN '' ELSE 'A' || c END, CASE WHEN c % 2 = 0 THEN 'Class ' || c % 3 ELSE '' END, '' FROM c
+  UNION ALL SELECT doc, 1, seg, c, 1, 'clause', false, 'K' || c, name || ' here', 'NSW', r, seg, '', '', '' FROM c WHERE c % 5 = 0
+  UNION ALL SELECT s_nationkey, 2, '', s_suppkey, 0, 'glossary', false, '', s_name, 'S' || s_nationkey, '', '', '', '', CASE WHEN s_suppkey % 2 = 0 THEN 'symbols' ELSE 'glossary' END FROM supplier)
+SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY a, seg, c, b) AS n, kind, overview, id, title, state, section, container, container AS container_title, supersedes, building, category FROM u""")
+def nation_volumes(spark, sf):
+    """A volume in XML for each nation, its segments as containers, customers as clauses with variations, suppliers
+    as glossary entries; read as monolithic documents."""
+    lit, c = F.lit, F.col("c_custkey")
+    cat = lambda *x: F.concat(*(y if not isinstance(y, str) else lit(y) for y in x))
+    archive = F.when(c % 7 == 0, "<archive-num><placeholder>none</placeholder></archive-num>").otherwise(cat("<archive-num>A", c, "</archive-num>"))
+    varied = F.when(c % 5 == 0, cat("<clause-variation state='nsw'><sptc>K", c, "</sptc><title>", F.col("c_name"), " here</title></clause-variation>")).otherwise("")
+    clause = cat("<clause", F.when(c % 2 == 0, cat(" building='Class ", c % 3, "'")).otherwise(""), "><sptc>K", c, "</sptc><title>", F.col("c_name"), "</title>", archive, varied, "</clause>")
+    joined = lambda key, text: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), text.alias("x")))), lambda s: s["x"]), "")
+    seg = F.col("c_mktsegment")
+    parts = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment").agg(joined(c, clause).alias("x"))
+    part = cat("<part num='", seg, "'><title>", seg, "</title>", F.when(seg != "BUILDING", cat("<p>About ", seg, ".</p>")).otherwise(""), F.col("x"), "</part>")
+    s = F.col("s_suppkey")
+    entry = cat("<glossentry", F.when(s % 2 == 0, " category='symbols'").otherwise(""), "><glossterm>", F.col("s_name"), "</glossterm></glossentry>")
+    sections = parts.groupBy("n_nationkey").agg(joined(seg, part).alias("parts"))
+    entries = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(joined(s, entry).alias("entries"))
+    v = table(spark, sf, "nation").join(sections, "n_nationkey", "left").join(entries, "n_nationkey", "left").na.fill("", ["parts", "entries"])
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    xml = cat("<volume state='s", k, "'><section num='", F.col("n_regionkey"), "' summary='About ", name, ".'><title>", name, "</title>", F.col("parts"), "</section>", F.col("entries"), "</volume>")
+    nodes = cut(shred.shred(v.select(k.alias("doc"), xml.alias("xml")), "doc", "xml"))
+    u = readers.read_document(nodes, spark.createDataFrame(VOLUME_CLASSES, "tag string, class string, kind string"), "2025", "one")
+    e = lambda c, name: F.coalesce(F.col(c), F.lit("")).alias(name)
+    n = F.row_number().over(Window.partitionBy("doc_id").orderBy("unit_ord")).cast("long")
+    return u.select(F.col("doc_id").alias("doc"), n.alias("n"), "kind", "overview", e("id", "id"), "title", e("state", "state"), e("section_num", "section"), e("container_num", "container"), e("container_title", "container_title"), e("supersedes", "supersedes"), e("building_classes", "building"), e("category", "category"))
+
+
 ENTRIES = f"SELECT CASE WHEN doc_id % 2 = 0 THEN '2022' ELSE '2025' END AS edition, CASE WHEN doc_id % 3 = 0 THEN 'page' ELSE 'clause' END AS kind, source AS dir, upper(lang) || doc_id % 500 AS label, CASE WHEN doc_id % 4 = 0 THEN lang ELSE '' END AS state, path, doc_id FROM ({UNITS})"
 FILES = "n || CASE WHEN n = 1 THEN ' file' ELSE ' files' END"
 INDEX = f"""

@@ -1,8 +1,8 @@
 """Queries over hand-written inputs of the reference formats; their SQL lists the rows that are expected.
 
-The driver's tables hold no XML units, packages or tracked changes, and SQL can't parse them. So each of
-these queries runs an operator over a small fixture stated here, and its SQL is the table of results as
-worked out by hand from the format's rules.
+The driver's tables hold no XML units, packages or tracked changes. So each of these runs an operator over
+a small fixture stated here, and its SQL is the table of results as worked out by hand from the
+format's rules. They are tests, not registered queries: ``test_fixture_queries`` runs them.
 """
 
 from __future__ import annotations
@@ -14,9 +14,18 @@ from pyspark.sql import functions as F
 from quillspark.operators import guards, render, tracked, tree
 from quillspark.plans import build as plan
 from quillspark.plans import readers
-from quillspark.queries import query
 from quillspark.sources.shred import shred
 
+QUERIES, SQL = {}, {}
+
+
+def query(sql: str):
+    def add(f):
+        QUERIES[f.__name__], SQL[f.__name__] = f, sql
+        return f
+
+    return add
+
 
 def values(columns: str, rows: Sequence[Sequence]) -> str:
     """SQL of a table of texts and whole numbers."""
