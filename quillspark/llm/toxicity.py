@@ -5,13 +5,14 @@ less an absolute discount, give the upper order; the mass the discount frees goe
 distribution that both classes share, made of continuation counts: in how many documents of
 either class an expression turns up, not how often. An expression whose document counts don't
 differ between the classes by a likelihood-ratio test, or whose estimates differ by less than a
-factor of 12, is too rare or too even to have a class's own estimate and is left to the shared backoff,
+factor of 20, is too rare or too even to have a class's own estimate and is left to the shared backoff,
 which adds nothing to the comparison: many weak expressions can't outweigh few strong ones.
 
 A text's value is the toxic less the ordinary log-likelihood, divided by the number of words and
 some words more, so that one word doesn't decide a short text. An isotonic fit maps it to a
 probability. That fit is crossed: the training rows fall into two folds, and a row's value for the
-fit comes from the models of the other fold, which have not seen the row.
+fit comes from the models of the other fold, which have not seen the row. The two thresholds were
+chosen by the log-loss of these crossed values (``crossed``), so by training rows only.
 
 Plan: one pass counts the labelled rows, one gives their crossed values, and one narrow pass scores
 all rows. Texts are never shuffled unless the labels or the model outgrow stated bounds.
@@ -133,23 +134,26 @@ class Model:
         return sum(get(x, 0.0) for x in w) / (len(w) + self.prior_words)
 
 
+#: Log-ratios are multiples of its reciprocal.
+GRAIN = float(1 << 30)
+
 #: The model of all training rows, and those of either fold.
 MODELS = {"__ratio": (0, 1), "__ratio0": (0,), "__ratio1": (1,)}
 
 
-def rated(docs: DataFrame, labels: DataFrame, discount: float = 0.75, evidence: float = 15.0, strength: float = 2.5) -> DataFrame | None:
+def rated(docs: DataFrame, labels: DataFrame, discount: float = 0.75, evidence: float = 10.0, strength: float = 3.0) -> DataFrame | None:
     """word, __seen, __ratio: each word of the labelled rows that aren't held out, its documents and its
     log-ratio; __ratio0 and __ratio1 are those of the models of one fold.
 
     Each row counts, wholly. evidence: least likelihood-ratio statistic (one degree of freedom) of an
-    expression's document counts. strength: least log-ratio, either way, of its class estimates. The
-    ratio of a word below either is null. None without toxic or without ordinary words; a fold
+    expression's document counts. strength: least log-ratio, either way, of its class estimates. Their defaults
+    are those of the least crossed log-loss, see ``crossed``. The ratio of a word below either is null. None without toxic or without ordinary words; a fold
     without one of them takes the model of all rows.
     """
     return _rated(*training(docs, labels), discount, evidence, strength)
 
 
-def _rated(train: DataFrame, known, discount: float = 0.75, evidence: float = 15.0, strength: float = 2.5) -> DataFrame | None:
+def _rated(train: DataFrame, known, discount: float = 0.75, evidence: float = 10.0, strength: float = 3.0) -> DataFrame | None:
     counts = train.mapInArrow(_counter(known), COUNTED).groupBy("word").agg(*(F.sum(c).alias(c) for c in CELLS))
     counts = materialise(counts, "toxicity")
     isword = F.col("word").isNotNull()
@@ -176,7 +180,8 @@ def _rated(train: DataFrame, known, discount: float = 0.75, evidence: float = 15
             backoff = seen * (discount * total[f"t{c}{name}"] / (total[f"d0{name}"] + total[f"d1{name}"]))
             return (F.greatest(n[c] - discount, F.lit(0.0)) + backoff) / total[f"n{c}{name}"]
 
-        value = F.when(seen > 0, F.log(p(1) / p(0)))
+        # multiples of a power of two: sums of them are exact, so that every plan gives the same value
+        value = F.when(seen > 0, F.round(F.log(p(1) / p(0)) * GRAIN) / GRAIN)
         return F.when((_evidence(d, [total[f"docs{c}{name}"] for c in (0, 1)]) >= evidence) & (F.abs(value) >= strength), value)
 
     seen = cells("d", 0, (0, 1)) + cells("d", 1, (0, 1))
@@ -246,8 +251,53 @@ def calibration(bins: list[tuple[float, int, int]]) -> tuple[list[float], list[f
     return xs or [0.0], ps or [prior]
 
 
+def _total(m: dict[str, tuple], which: int, w: list[str]) -> float:
+    return sum(m[x][which] for x in w if x in m)
+
+
 def _value(m: dict[str, tuple], which: int, w: list[str], prior_words: int) -> float:
-    return sum(m[x][which] for x in w if x in m) / (len(w) + prior_words)
+    return _total(m, which, w) / (len(w) + prior_words)
+
+
+def _bins(train: DataFrame, known, model, bin_width: float, prior_words: int) -> list[tuple[float, int, int]]:
+    """(value, ordinary rows, toxic rows) of the training rows, each valued by the model of the other fold."""
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Counter()
+        for b in batches:
+            for text, f, c in _tagged(b, known):
+                out[round(_value(model.value, 2 - f, words(text), prior_words) / bin_width), c] += 1
+        keys = sorted({k for k, _ in out})
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *(pa.array([out[k, c] for k in keys], pa.int64()) for c in (0, 1))], names=["b", "n0", "n1"])
+
+    binned = train.mapInArrow(bins, "b int, n0 long, n1 long").groupBy("b").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return [(r["b"] * bin_width, r["n0"], r["n1"]) for r in binned.orderBy("b").collect()]
+
+
+def crossed(docs: DataFrame, labels: DataFrame, settings: list[dict], threshold: float = 0.3, bin_width: float = 0.002, prior_words: int = 50) -> list[dict]:
+    """What each setting of ``rated``'s parameters gives on the training rows alone: the area under the curve of
+    their crossed values, the log-loss of the fit to these, precision and recall at ``threshold``.
+
+    This is how the defaults were chosen; rows that are held out have no part in it, neither their
+    labels nor their texts. The models are sent to the tasks whole: for samples, not for all the world's labels.
+    """
+    train, known = training(docs, labels)
+    out = []
+    for params in settings:
+        ratios, _ = _shipped(_rated(train, known, **params), 1 << 62)
+        out.append(params | _figures(_bins(train, known, docs.sparkSession.sparkContext.broadcast(ratios), bin_width, prior_words), threshold))
+    return out
+
+
+def _figures(bins: list[tuple[float, int, int]], threshold: float) -> dict:
+    xs, ps = calibration(bins)
+    p = _probability(np.array([b[0] for b in bins]), xs, ps)
+    n0, n1 = (np.array([b[i] for b in bins], float) for i in (1, 2))
+    below = np.cumsum(n0) - n0
+    auc = float((n1 * (below + n0 / 2)).sum() / max(n0.sum() * n1.sum(), 1.0))
+    said, hit = (n0 + n1)[p >= threshold].sum(), n1[p >= threshold].sum()
+    loss = -float((n1 * np.log(p) + n0 * np.log(1 - p)).sum() / max((n0 + n1).sum(), 1.0))
+    return {"auc": auc, "loss": loss, "precision": float(hit / max(said, 1.0)), "recall": float(hit / max(n1.sum(), 1.0))}
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, bin_width: float = 0.002, prior_words: int = 50, max_shipped: int = 200_000, max_known: int = 2_000_000, **params) -> DataFrame:
@@ -259,26 +309,16 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, bin_width:
     no rows. Other columns pass, whatever their names; columns of the three names are replaced.
     Every word of the model counts: at most max_shipped ratios are sent to the driver and the
     tasks, the others are joined to the texts' words as a table. At most max_known labels are sent,
-    more are joined. Sent to the driver besides: one row per bin of values (from -8 to 8).
+    more are joined. Sent to the driver besides: one row per bin of values, which lie between the least and the greatest log-ratio.
     """
     spark = docs.sparkSession
     train, known = training(docs, labels, max_known)
     ratios, others = _shipped(_rated(train, known, **params), max_shipped)
     model = spark.sparkContext.broadcast(ratios)
 
-    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Counter()
-        for b in batches:
-            for text, f, c in _tagged(b, known):
-                v = _value(model.value, 2 - f, words(text), prior_words)
-                out[round(min(8.0, max(-8.0, v)) / bin_width), c] += 1
-        keys = sorted({k for k, _ in out})
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *(pa.array([out[k, c] for k in keys], pa.int64()) for c in (0, 1))], names=["b", "n0", "n1"])
-
     if others is not None:
         return _score_joined(docs, labels, model, others, threshold, bin_width, prior_words)
-    binned = train.mapInArrow(bins, "b int, n0 long, n1 long").groupBy("b").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    xs, ps = calibration([(r["b"] * bin_width, r["n0"], r["n1"]) for r in binned.orderBy("b").collect()])
+    xs, ps = calibration(_bins(train, known, model, bin_width, prior_words))
     keep = docs.drop("held_out", "score", "predicted")
     names = keep.columns
 
@@ -303,8 +343,8 @@ def _score_joined(docs: DataFrame, labels: DataFrame, model, others: DataFrame,
         m = model.value
         for b in batches:
             own = [words(x.as_py()) for x in b.column("text")]
-            crossed = [_value(m, 0 if f is None else 2 - f, w, prior_words) for w, f in zip(own, b.column("__fold").to_pylist(), strict=True)]
-            cols = [b.column("doc_id"), b.column("__key"), b.column("__fold"), pa.array([_value(m, 0, w, prior_words) for w in own], pa.float64()), pa.array(crossed, pa.float64())]
+            crossed = [_total(m, 0 if f is None else 2 - f, w) for w, f in zip(own, b.column("__fold").to_pylist(), strict=True)]
+            cols = [b.column("doc_id"), b.column("__key"), b.column("__fold"), pa.array([_total(m, 0, w) for w in own], pa.float64()), pa.array(crossed, pa.float64())]
             yield pa.RecordBatch.from_arrays([*cols, pa.array([[x for x in w if x not in m] for w in own], pa.list_(pa.string())), pa.array([len(w) + prior_words for w in own], pa.int64())], names=["doc_id", "__key", "__fold", "__value", "__crossed", "__rest", "__n"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -312,11 +352,11 @@ def _score_joined(docs: DataFrame, labels: DataFrame, model, others: DataFrame,
     valued = texts.mapInArrow(values, f"doc_id {kind}, __key binary, __fold int, __value double, __crossed double, __rest array<string>, __n long")
     valued = materialise(valued.dropDuplicates(["__key"]), "toxicity-values")
     crossed = F.when(F.col("__fold") == 0, F.col("__ratio1")).otherwise(F.col("__ratio0"))
-    rest = valued.select(F.col("__key").alias("__rkey"), "__n", "__fold", F.explode("__rest").alias("word")).join(others, "word").groupBy("__rkey").agg(F.sum(F.col("__ratio") / F.col("__n")).alias("__more"), F.sum(crossed / F.col("__n")).alias("__more_crossed"))
-    sum_of = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0.0))
+    rest = valued.select(F.col("__key").alias("__rkey"), "__fold", F.explode("__rest").alias("word")).join(others, "word").groupBy("__rkey").agg(F.sum("__ratio").alias("__more"), F.sum(crossed).alias("__more_crossed"))
+    sum_of = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0.0))) / F.col("__n")
     valued = materialise(valued.join(rest, F.col("__key") == F.col("__rkey"), "left").select("doc_id", "__key", sum_of("__value", "__more").alias("__value"), sum_of("__crossed", "__more_crossed").alias("__crossed")), "toxicity-values")
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("__toxic"))
-    bin_of = F.bround(F.greatest(F.lit(-8.0), F.least(F.lit(8.0), "__crossed")) / bin_width).cast("int")
+    bin_of = F.bround(F.col("__crossed") / bin_width).cast("int")
     # as often as rows hold the text: the rows, not the distinct texts, are what the fit counts
     times = docs.groupBy(row_key("doc_id", "text").alias("__tkey")).agg(F.count(F.lit(1)).alias("__times"))
     rows = valued.where(~held_out(F.col("doc_id"))).join(known, "doc_id").join(times, F.col("__key") == F.col("__tkey"))

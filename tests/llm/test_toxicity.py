@@ -117,6 +117,18 @@ def test_scores_equal_plain_ones(spark):
                 assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want), (evidence, most, max_known)
 
 
+def test_parameters_are_chosen_without_held_out_rows(spark):
+    docs, labels = corpus(random.Random(4))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    settings = [{"evidence": 15.0, "strength": 2.0}, {"evidence": -1.0, "strength": 0.0}]
+    figures = toxicity.crossed(d, spark.createDataFrame(labels, LABELS), settings)
+    assert [f["evidence"] for f in figures] == [15.0, -1.0] and figures[0]["loss"] < figures[1]["loss"] and figures[0]["auc"] > 0.95
+    out = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    flipped = [(i, q, 1 - t if out(i) else t) for i, q, t in labels]
+    blank = spark.createDataFrame([(i, "vile" if out(i) else t) for i, t in docs], "doc_id long, text string")
+    assert toxicity.crossed(blank, spark.createDataFrame(flipped, LABELS), settings) == figures
+
+
 def test_labels_by_ids_that_are_text(spark):
     docs, labels = corpus(random.Random(4))
     d = spark.createDataFrame([(f"id-{i}", t) for i, t in docs], "doc_id string, text string")
