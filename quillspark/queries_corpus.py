@@ -13,7 +13,7 @@ from quillspark.plans import increments, indexes, readers
 from quillspark.queries import RECORDS, UNITS, _records, _title, query
 from quillspark.queries_units import NODES, _nodes
 from quillspark.session import cut, shared_dir
-from quillspark.sources import corpus, shred
+from quillspark.sources import archives, corpus, shred
 from quillspark.sources.tables import table
 from quillspark.streaming import lifecycle
 
@@ -52,6 +52,18 @@ def corpus_written(spark, sf):
     return corpus.read_corpus(spark, root).select("path", "sha256", "bytes")
 
 
+@query("SELECT 'd/' || source || '/' || doc_id || '.txt' AS name, sha256(text) AS sha256, '' AS error FROM documents UNION ALL SELECT 'n/' || n_name || '.xml', sha256('<n>' || n_nationkey || '</n>'), '' FROM nation UNION ALL SELECT '../' || n_name, '', 'escapes its folder' FROM nation")
+def packed_archives(spark, sf):
+    """Documents and nations packed into archives, and their entries read by ranges of the archives' bytes; escaping names are refused."""
+    root = f"{shared_dir(spark)}/archives-{uuid.uuid4().hex}"
+    d = table(spark, sf, "documents").where("text is not null").select(F.concat(F.lit("d/"), "source", F.lit("/"), "doc_id", F.lit(".txt")).alias("path"), F.col("text").cast("binary").alias("content"))
+    n = table(spark, sf, "nation")
+    x = n.select(F.concat(F.lit("n/"), "n_name", F.lit(".xml")).alias("path"), F.concat(F.lit("<n>"), "n_nationkey", F.lit("</n>")).cast("binary").alias("content"))
+    bad = n.select(F.concat(F.lit("../"), "n_name").alias("path"), F.lit("x").cast("binary").alias("content"))
+    archives.write_archives(d.unionByName(x).unionByName(bad), root).agg(F.sum("entries")).first()
+    return archives.read_archives(spark, root, 1 << 18).select("name", F.coalesce(F.sha2("data", 256), F.lit("")).alias("sha256"), F.coalesce("error", F.lit("")).alias("error"))
+
+
 CAP = 21_600
 
 

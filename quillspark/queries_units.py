@@ -685,17 +685,21 @@ def archives(spark, sf):
     import io
     import zipfile
 
-    @F.udf("binary")
-    def pack(name, text):
-        b = io.BytesIO()
-        with zipfile.ZipFile(b, "w") as z:
-            z.writestr("a/", "")
-            z.writestr(f"a/{name}.xml", text, zipfile.ZIP_DEFLATED)
-            z.writestr(f"..{name}", "ok", zipfile.ZIP_STORED)
-            z.writestr(f"../{name}", "x")
-        return b.getvalue()
-
-    zips = table(spark, sf, "nation").select(F.col("n_name").alias("path"), pack("n_name", _cat("<n>", _c("n_nationkey"), "</n>")).alias("content"))
+    def pack(batches):
+        for batch in batches:
+            made = []
+            for name, text in zip(batch["path"], batch["text"], strict=True):
+                b = io.BytesIO()
+                with zipfile.ZipFile(b, "w") as z:
+                    z.writestr("a/", "")
+                    z.writestr(f"a/{name}.xml", text, zipfile.ZIP_DEFLATED)
+                    z.writestr(f"..{name}", "ok", zipfile.ZIP_STORED)
+                    z.writestr(f"../{name}", "x")
+                made.append(b.getvalue())
+            yield batch[["path"]].assign(content=made)
+
+    named = table(spark, sf, "nation").select(F.col("n_name").alias("path"), _cat("<n>", _c("n_nationkey"), "</n>").alias("text"))
+    zips = named.mapInPandas(pack, "path string, content binary")
     return tables.unzip(zips).select("name", F.coalesce(F.md5("data"), F.lit("")).alias("data"), F.coalesce("error", F.lit("")).alias("error"))
 
 
