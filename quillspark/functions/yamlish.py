@@ -57,10 +57,15 @@ def quoted(x: Column) -> Column:
     return F.concat(F.lit('"'), controls, F.lit('"'))
 
 
+#: Values that need no quotes whatever the rules below say: a letter, letters, digits and harmless marks, longer than any
+#: word that YAML reads as something else. Most titles are of this form, and one match decides them.
+PLAIN = r"^\p{L}[\p{L}\p{N} ,/()._'-]{6,}[\p{L}\p{N})]$"
+
+
 def scalar(x: Column) -> Column:
     """A value as a YAML scalar; null as the empty one."""
     x = F.coalesce(x, F.lit(""))
-    return F.when(needs_quote(x), quoted(x)).otherwise(x)
+    return F.when(x.rlike(PLAIN), x).when(needs_quote(x), quoted(x)).otherwise(x)
 
 
 def flow_seq(items: Column) -> Column:

@@ -83,3 +83,12 @@ def test_yaml(spark):
         if "\x01" not in x:
             assert ev(spark, yamlish.unquote(yamlish.scalar(a)), x) == x
     assert ev(spark, yamlish.flow_seq(F.split(a, ";")), "Vol one;a, b") == '[Vol one, "a, b"]'
+
+
+def test_plain_values_need_no_quotes(spark):
+    import random
+
+    r = random.Random(2)
+    values = ["".join(r.choice("ABCxyzé日 ,/()._'-09:#~") for _ in range(r.randint(1, 14))) for _ in range(3000)] + ["falsefalse", "nullnull", "yes yes yes", "infinity (x)"]
+    df = spark.createDataFrame([(v,) for v in values], "a string").where(F.col("a").rlike(yamlish.PLAIN))
+    assert df.count() > 50 and df.where(yamlish.needs_quote(F.col("a"))).count() == 0
