@@ -233,3 +233,8 @@ def sources_for(volume: Column, sources: Column) -> Column:
     list_ = F.filter(F.transform(given, lambda s: trim_ws(F.coalesce(s, F.lit("")))), lambda s: s != "")
     problem = F.when(F.size(list_) == 0, "no source").when(F.size(F.array_distinct(list_)) < F.size(list_), "named twice")
     return F.struct(list_.alias("sources"), problem.alias("problem"))
+
+
+def escape_re(x: Column) -> Column:
+    """A text as a pattern that matches it and nothing else."""
+    return F.regexp_replace(x, r"([.*+?^${}()|\[\]\\])", r"\\$1")

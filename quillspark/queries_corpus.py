@@ -166,6 +166,14 @@ def nation_volumes(spark, sf):
     return u.select(F.col("doc_id").alias("doc"), n.alias("n"), "kind", "overview", e("id", "id"), "title", e("state", "state"), e("section_num", "section"), e("container_num", "container"), e("container_title", "container_title"), e("supersedes", "supersedes"), e("building_classes", "building"), e("category", "category"))
 
 
+@query(r"SELECT doc_id, md5(regexp_replace(text, '([.*+?^${}()|\[\]\\])', '\\\1', 'g')) AS pattern, regexp_matches(text, '[.*+?^${}()|\[\]\\]') AS escaped FROM documents")
+def escaped_patterns(spark, sf):
+    """texts as patterns that match them and nothing else."""
+    d = table(spark, sf, "documents")
+    pattern = tx.escape_re(F.col("text"))
+    return d.select("doc_id", F.md5(pattern).alias("pattern"), (pattern != F.col("text")).alias("escaped"))
+
+
 ENTRIES = f"SELECT CASE WHEN doc_id % 2 = 0 THEN '2022' ELSE '2025' END AS edition, CASE WHEN doc_id % 3 = 0 THEN 'page' ELSE 'clause' END AS kind, source AS dir, upper(lang) || doc_id % 500 AS label, CASE WHEN doc_id % 4 = 0 THEN lang ELSE '' END AS state, path, doc_id FROM ({UNITS})"
 FILES = "n || CASE WHEN n = 1 THEN ' file' ELSE ' files' END"
 INDEX = f"""
