@@ -13,7 +13,7 @@ from quillspark.plans import increments, indexes, readers
 from quillspark.queries import RECORDS, UNITS, _records, _title, query
 from quillspark.queries_units import NODES, _nodes
 from quillspark.session import cut, shared_dir
-from quillspark.sources import archives, corpus, shred
+from quillspark.sources import archives, corpus, paged, shred
 from quillspark.sources.tables import table
 from quillspark.streaming import lifecycle
 
@@ -174,6 +174,21 @@ def escaped_patterns(spark, sf):
     return d.select("doc_id", F.md5(pattern).alias("pattern"), (pattern != F.col("text")).alias("escaped"))
 
 
+@query("SELECT c_custkey::VARCHAR AS id, c_mktsegment AS type, c_name AS name FROM customer")
+def paged_customers(spark, sf):
+    """Customers as pages of JSON that name the next one, read by following the cursor."""
+    c = scan.places(table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_name"), ["c_custkey"]).withColumn("page", F.floor((F.col("place") - 1) / 500))
+    pages = c.groupBy("page").agg(F.collect_list(F.struct(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("type"), F.col("c_name").alias("name"))).alias("data"), F.count(F.lit(1)).alias("n"))
+    last = cut(pages).agg(F.max("page")).first()[0]
+    following = F.when(F.col("page") < F.lit(last), (F.col("page") + 1).cast("string"))
+    files = pages.select(F.concat(F.lit("p/"), "page", F.lit(".json")).alias("path"), F.to_json(F.struct("data", following.alias("next_page"))).alias("content"))
+    root = f"{shared_dir(spark)}/paged-{uuid.uuid4().hex}"
+    run = corpus.write_corpus(files, spark.createDataFrame([], "guard string, subject string, detail string"), root)
+    spark.dataSource.register(paged.PagedSource)
+    items = spark.read.format("paged").option("path", f"{root}/versions/{run}/files/p").option("most", (last or 0) + 1).load()
+    return items.select("id", "type", F.get_json_object("body", "$.name").alias("name"))
+
+
 ENTRIES = f"SELECT CASE WHEN doc_id % 2 = 0 THEN '2022' ELSE '2025' END AS edition, CASE WHEN doc_id % 3 = 0 THEN 'page' ELSE 'clause' END AS kind, source AS dir, upper(lang) || doc_id % 500 AS label, CASE WHEN doc_id % 4 = 0 THEN lang ELSE '' END AS state, path, doc_id FROM ({UNITS})"
 FILES = "n || CASE WHEN n = 1 THEN ' file' ELSE ' files' END"
 INDEX = f"""

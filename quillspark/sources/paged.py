@@ -23,7 +23,7 @@ class PagedSource(DataSource):
     """``spark.read.format("paged")`` over page files in a folder: option ``path``; page N names the next one.
 
     It stands for a remote list whose pages are JSON objects {data: [...], next_page: name or null};
-    the transport is a function, so that a service's client can take the place of the files.
+    the transport is a function, so that a service's client can take the place of the files. The folder is a URI that pyarrow's file systems open.
     """
 
     @classmethod
@@ -44,9 +44,13 @@ class PagedReader(DataSourceReader):
     def read(self, partition):
         import json
 
+        from quillspark.sources.corpus import _open
+
+        files, root = _open(self.path)
+
         def fetch(cursor):
-            with open(f"{self.path}/{cursor or self.first}.json", encoding="utf-8") as f:
-                return json.load(f)
+            with files.open_input_stream(f"{root}/{cursor or self.first}.json") as f:
+                return json.loads(f.read())
 
         for item in read_pages(fetch, self.most):
             yield str(item.get("id")), item.get("type"), json.dumps(item, sort_keys=True)
