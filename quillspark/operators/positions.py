@@ -20,22 +20,27 @@ def squeezed(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(text, "\\s+", " "), " "), lambda w: w != "")
 
 
-def index(texts: DataFrame, doc: str = "doc_id", text: str = "text", lines: bool = False) -> DataFrame:
-    """Postings (row, doc, line, pos, word) of ``texts``, written once and sorted by word within a file, so that
-    a filter on words reads the pages of those words only.
+def index(texts: DataFrame, doc: str = "doc_id", text: str = "text", lines: bool = False, ordered: bool = True) -> DataFrame:
+    """Postings (row, doc, line, pos, word) of ``texts``, written once and, if ``ordered``, sorted by word within a
+    file, so that a filter on words reads the pages of those words only: for an index that is to be kept.
 
     lines: each line is cut at single spaces, so that words and places say all of it (two spaces
     enclose an empty word). Else a text is one line of its words. row tells texts apart whose
     ids repeat or are null. A null text has no postings.
     """
-    t = texts.select(F.monotonically_increasing_id().alias("row"), F.col(doc).alias("doc"), F.col(text).alias("__t"))
+    t = texts.select(F.col(doc).alias("doc"), F.col(text).alias("__t"))
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    if t.rdd.getNumPartitions() < cores:  # a small file is one task's; its texts are dealt out
+        t = t.repartition(cores)
+    t = t.withColumn("row", F.monotonically_increasing_id())
     if lines:
         t = t.select("row", "doc", F.posexplode(F.split("__t", "\n")).alias("line", "__t"))
         words = F.split("__t", " ", -1)
     else:
         t = t.select("row", "doc", F.lit(0).alias("line"), "__t")
         words = squeezed(F.col("__t"))
-    return cut(t.select("row", "doc", "line", F.posexplode(words).alias("pos", "word")).sortWithinPartitions("word"), "postings")
+    postings = t.select("row", "doc", "line", F.posexplode(words).alias("pos", "word"))
+    return cut(postings.sortWithinPartitions("word") if ordered else postings, "postings")
 
 
 def parts_of(passages: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -63,12 +68,13 @@ def occurrences(postings: DataFrame, parts: DataFrame) -> DataFrame:
     place = postings.select(*at)
     keep = ["phrase", "length", "row", "doc", "line", "start"]
 
-    def expected(df: DataFrame, which: str) -> DataFrame:
-        return df.join(ranked.where(which).select("phrase", "off", "word"), "phrase").withColumn("pos", F.col("start") + F.col("off"))
+    def confirmed(df: DataFrame, which: str) -> DataFrame:
+        """Candidates with each of the parts ``which`` that stands where it should. The parts are written first: few, they go to the postings."""
+        parts = df.join(ranked.where(which).select("phrase", "off", "word"), "phrase").withColumn("pos", F.col("start") + F.col("off"))
+        return cut(parts.select(*keep, "pos", "word"), "expected").join(place, at).select(*keep)
 
-    second = expected(found.where("length > 1"), "rank = 1").join(place, at, "left_semi").select(*keep)
-    found = cut(found.where("length = 1").unionByName(second), "candidates")
-    rest = expected(found.where("length > 2"), "rank > 1").join(place, at).groupBy(*keep).agg(F.count(F.lit(1)).alias("n")).where("n = length - 2").select(*keep)
+    found = cut(found.where("length = 1").unionByName(confirmed(found.where("length > 1"), "rank = 1")), "candidates")
+    rest = confirmed(found.where("length > 2"), "rank > 1").groupBy(*keep).agg(F.count(F.lit(1)).alias("n")).where("n = length - 2").select(*keep)
     return found.where("length <= 2").unionByName(rest).drop("length")
 
 
@@ -77,7 +83,7 @@ def containment(passages: DataFrame, texts: DataFrame) -> DataFrame:
 
     An empty or null passage is in no text. Repeated rows give a pair once, null ids none.
     """
-    found = occurrences(index(texts), parts_of(passages))
+    found = occurrences(index(texts, ordered=False), parts_of(passages))
     return found.where("doc is not null").select(F.col("phrase").alias("item_id"), F.col("doc").alias("doc_id")).distinct()
 
 
