@@ -135,7 +135,7 @@ VOLUME_CLASSES = [("volume", "root", None), ("section", "root", None), ("part",
 WITH c AS (SELECT n_nationkey AS doc, n_regionkey::VARCHAR AS r, c_mktsegment AS seg, c_custkey AS c, c_name AS name FROM customer JOIN nation ON c_nationkey = n_nationkey),
 u AS (
   SELECT n_nationkey AS doc, 0 AS a, '' AS seg, 0::BIGINT AS c, 0 AS b, 'page' AS kind, true AS overview, '' AS id, n_name AS title, 'S' || n_nationkey AS state, n_regionkey::VARCHAR AS section, '' AS container, '' AS supersedes, '' AS building, '' AS category FROM nation
-  UNION ALL SELECT DISTINCT doc, 1, seg, 0, 0, 'page', true, '', seg, 'S' || doc, r, seg, '', '', '' FROM c WHERE seg <> 'BUILDING'
+  UNION ALL SELECT DISTINCT doc, 1, seg, -1, 0, 'page', true, '', seg, 'S' || doc, r, seg, '', '', '' FROM c WHERE seg <> 'BUILDING'
   UNION ALL SELECT doc, 1, seg, c, 0, 'clause', false, 'K' || c, name, 'S' || doc, r, seg, CASE WHEN c % 7 = 0 THEN '' ELSE 'A' || c END, CASE WHEN c % 2 = 0 THEN 'Class ' || c % 3 ELSE '' END, '' FROM c
   UNION ALL SELECT doc, 1, seg, c, 1, 'clause', false, 'K' || c, name || ' here', 'NSW', r, seg, '', '', '' FROM c WHERE c % 5 = 0
   UNION ALL SELECT s_nationkey, 2, '', s_suppkey, 0, 'glossary', false, '', s_name, 'S' || s_nationkey, '', '', '', '', CASE WHEN s_suppkey % 2 = 0 THEN 'symbols' ELSE 'glossary' END FROM supplier)
