@@ -9,6 +9,8 @@ that Spark knows how few they are and sends them to the postings instead of movi
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +22,29 @@ def squeezed(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(text, "\\s+", " "), " "), lambda w: w != "")
 
 
-def index(texts: DataFrame, doc: str = "doc_id", text: str = "text", lines: bool = False, ordered: bool = True) -> DataFrame:
+def _fits(phrases: list[str]) -> list[tuple[str, int, Column]]:
+    """(phrase, offset, whether ``word`` may stand there in a line that holds the phrase). The first word of a phrase may be the
+    end of a longer one, the last its beginning, a single one any part. An empty phrase is refused."""
+    if not all(phrases):
+        raise ValueError("an empty phrase is in every line")
+    word = F.col("word")
+
+    def fits(pieces: list[str], i: int) -> Column:
+        if len(pieces) == 1:
+            return F.contains(word, F.lit(pieces[0]))
+        return word.endswith(pieces[0]) if i == 0 else word.startswith(pieces[i]) if i == len(pieces) - 1 else word == pieces[i]
+
+    return [(p, i, fits(p.split(" "), i)) for p in dict.fromkeys(phrases) for i in range(len(p.split(" ")))]
+
+
+def index(texts: DataFrame, doc: str = "doc_id", text: str = "text", lines: bool = False, ordered: bool = True, phrases: list[str] | None = None) -> DataFrame:
     """Postings (row, doc, line, pos, word) of ``texts``, written once and, if ``ordered``, sorted by word within a
     file, so that a filter on words reads the pages of those words only: for an index that is to be kept.
 
     lines: each line is cut at single spaces, so that words and places say all of it (two spaces
     enclose an empty word). Else a text is one line of its words. row tells texts apart whose
-    ids repeat or are null. A null text has no postings.
+    ids repeat or are null. A null text has no postings. phrases: only the words that ``lines_with``
+    looks up for these, for an index of lines that serves them and no others.
     """
     t = texts.select(F.col(doc).alias("doc"), F.col(text).alias("__t"))
     cores = texts.sparkSession.sparkContext.defaultParallelism
@@ -40,6 +58,8 @@ def index(texts: DataFrame, doc: str = "doc_id", text: str = "text", lines: bool
         t = t.select("row", "doc", F.lit(0).alias("line"), "__t")
         words = squeezed(F.col("__t"))
     postings = t.select("row", "doc", "line", F.posexplode(words).alias("pos", "word"))
+    if phrases is not None:
+        postings = postings.where(functools.reduce(Column.__or__, (ok for _, _, ok in _fits(phrases)), F.lit(False)))
     return cut(postings.sortWithinPartitions("word") if ordered else postings, "postings")
 
 
@@ -64,14 +84,15 @@ def occurrences(postings: DataFrame, parts: DataFrame) -> DataFrame:
     first = ranked.where("rank = 0")
     found = first.join(postings, "word").select("phrase", "length", "row", "doc", "line", (F.col("pos") - F.col("off")).alias("start"))
     found = cut(found.where("start >= 0"), "candidates")
-    at = ["row", "line", "pos", "word"]
-    place = postings.select(*at)
+    at = ["row", "line", "pos"]
+    place = postings.select(*at, "word")
     keep = ["phrase", "length", "row", "doc", "line", "start"]
 
     def confirmed(df: DataFrame, which: str) -> DataFrame:
-        """Candidates with each of the parts ``which`` that stands where it should. The parts are written first: few, they go to the postings."""
-        parts = df.join(ranked.where(which).select("phrase", "off", "word"), "phrase").withColumn("pos", F.col("start") + F.col("off"))
-        return cut(parts.select(*keep, "pos", "word"), "expected").join(place, at).select(*keep)
+        """Candidates with each of the offsets ``which`` where one of its words stands. A candidate asks for the word at a
+        place, once however many would do; what is asked is written first: little, it goes to the postings."""
+        asked = df.join(ranked.where(which).select("phrase", "off").distinct(), "phrase").withColumn("pos", F.col("start") + F.col("off"))
+        return cut(asked.select(*keep, "off", "pos"), "expected").join(place, at).join(parts, ["phrase", "off", "word"], "left_semi").select(*keep)
 
     found = cut(found.where("length = 1").unionByName(confirmed(found.where("length > 1"), "rank = 1")), "candidates")
     rest = confirmed(found.where("length > 2"), "rank > 1").groupBy(*keep).agg(F.count(F.lit(1)).alias("n")).where("n = length - 2").select(*keep)
@@ -90,21 +111,13 @@ def containment(passages: DataFrame, texts: DataFrame) -> DataFrame:
 def lines_with(postings: DataFrame, phrases: list[str]) -> DataFrame:
     """(phrase, row, doc, line): lines that hold one of ``phrases`` as a substring, from an index of lines.
 
-    The first word of a phrase may be the end of a longer one, the last its beginning, a single one
-    any part: such words are looked up among the distinct words of the index. A phrase with a line
-    break is in no line; an empty one is refused.
+    Words that may stand at a phrase's ends as parts of longer ones are looked up among the distinct words of
+    the index, and only their postings are read on. A phrase with a line break is in no line; an empty one is refused.
     """
-    if not all(phrases):
-        raise ValueError("an empty phrase is in every line")
-    word = F.col("word")
-
-    def fits(pieces: list[str], i: int) -> Column:
-        if len(pieces) == 1:
-            return F.contains(word, F.lit(pieces[0]))
-        return word.endswith(pieces[0]) if i == 0 else word.startswith(pieces[i]) if i == len(pieces) - 1 else word == pieces[i]
-
-    each = [F.struct(F.lit(p).alias("phrase"), F.lit(i).alias("off"), fits(p.split(" "), i).alias("ok")) for p in dict.fromkeys(phrases) for i in range(len(p.split(" ")))]
+    each = [F.struct(F.lit(p).alias("phrase"), F.lit(i).alias("off"), ok.alias("ok")) for p, i, ok in _fits(phrases)]
     if not each:
         return postings.limit(0).select(F.lit("").alias("phrase"), "row", "doc", "line")
-    words = postings.select("word").distinct().select(word, F.explode(F.filter(F.array(*each), lambda x: x["ok"])).alias("x"))
-    return occurrences(postings, words.select("x.phrase", "x.off", "word")).select("phrase", "row", "doc", "line").distinct()
+    words = postings.select("word").distinct().select("word", F.explode(F.filter(F.array(*each), lambda x: x["ok"])).alias("x"))
+    words = cut(words.select("x.phrase", "x.off", "word"), "words")
+    postings = postings.join(words.select("word").distinct(), "word", "left_semi")
+    return occurrences(postings, words).select("phrase", "row", "doc", "line").distinct()

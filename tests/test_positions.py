@@ -39,6 +39,33 @@ def test_lines_against_contains(spark):
         search.phrases(index, ["x", ""])
 
 
+def test_words_that_would_do_don_t_multiply_candidates(spark, monkeypatch):
+    n = 40
+    texts = spark.createDataFrame([(i, f"x{i}of the{i} y of the{i} then") for i in range(n)], "doc_id int, text string")
+    written, cut = {}, positions.cut
+
+    def counted(df, name="cut", by=()):
+        out = cut(df, name, by)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(positions, "cut", counted)
+    got = {kind: sorted(map(tuple, search.phrases(index, ["of the", "y of the"]).collect())) for kind, index in (("all", positions.index(texts, lines=True)), ("few", positions.index(texts, lines=True, phrases=["of the", "y of the"])))}
+    assert got["few"] == got["all"] == sorted((p, i, 1) for p in ("of the", "y of the") for i in range(n))
+    # a candidate asks for one word at one place, however many words may stand there
+    assert written["expected"] <= 3 * n
+
+
+def test_index_for_phrases_holds_their_words(spark):
+    texts = spark.createDataFrame([(1, "a loft them x\nunworthless of  the"), (2, None)], "doc_id int, text string")
+    got = positions.index(texts, lines=True, phrases=["of the", "worth"])
+    assert sorted((r.line, r.pos, r.word) for r in got.collect()) == [(0, 2, "them"), (1, 0, "unworthless"), (1, 1, "of"), (1, 3, "the")]
+    assert search.phrases(got, ["of the", "worth"]).collect() == [("worth", 1, 1)]
+    assert positions.index(texts, lines=True, phrases=[]).count() == 0
+    with pytest.raises(ValueError):
+        positions.index(texts, lines=True, phrases=["x", ""])
+
+
 def test_common_words_don_t_open_the_join(spark):
     texts = spark.createDataFrame([(i, "the " * 50 + ("seldom the end" if i == 7 else "")) for i in range(30)], "doc_id int, text string")
     index = positions.index(texts)
