@@ -68,11 +68,12 @@ def parts_of(passages: DataFrame, key: str = "item_id", text: str = "text") -> D
     return passages.select(F.col(key).alias("phrase"), F.posexplode(squeezed(F.col(text))).alias("off", "word"))
 
 
-def occurrences(postings: DataFrame, parts: DataFrame) -> DataFrame:
+def occurrences(postings: DataFrame, parts: DataFrame, alternatives: bool = False) -> DataFrame:
     """(phrase, row, doc, line, start): where all parts of a phrase stand one after the other.
 
     parts (phrase, off, word): offsets from 0 on; several words may stand for one offset. A phrase
     without parts, or with an offset of which no word is in the index, is nowhere. Repeated phrases are one.
+    alternatives: many words may; a candidate then asks for the word at a place, not for each that would do there.
     """
     parts = cut(parts.where("phrase is not null").distinct(), "parts")
     words = parts.select("word").distinct()
@@ -89,8 +90,10 @@ def occurrences(postings: DataFrame, parts: DataFrame) -> DataFrame:
     keep = ["phrase", "length", "row", "doc", "line", "start"]
 
     def confirmed(df: DataFrame, which: str) -> DataFrame:
-        """Candidates with each of the offsets ``which`` where one of its words stands. A candidate asks for the word at a
-        place, once however many would do; what is asked is written first: little, it goes to the postings."""
+        """Candidates with each of the offsets ``which`` where one of its words stands. What they expect is written first: little, it goes to the postings."""
+        if not alternatives:
+            parts_ = df.join(ranked.where(which).select("phrase", "off", "word"), "phrase").withColumn("pos", F.col("start") + F.col("off"))
+            return cut(parts_.select(*keep, "pos", "word"), "expected").join(place, [*at, "word"]).select(*keep)
         asked = df.join(ranked.where(which).select("phrase", "off").distinct(), "phrase").withColumn("pos", F.col("start") + F.col("off"))
         return cut(asked.select(*keep, "off", "pos"), "expected").join(place, at).join(parts, ["phrase", "off", "word"], "left_semi").select(*keep)
 
@@ -120,4 +123,4 @@ def lines_with(postings: DataFrame, phrases: list[str]) -> DataFrame:
     words = postings.select("word").distinct().select("word", F.explode(F.filter(F.array(*each), lambda x: x["ok"])).alias("x"))
     words = cut(words.select("x.phrase", "x.off", "word"), "words")
     postings = postings.join(words.select("word").distinct(), "word", "left_semi")
-    return occurrences(postings, words).select("phrase", "row", "doc", "line").distinct()
+    return occurrences(postings, words, alternatives=True).select("phrase", "row", "doc", "line").distinct()
